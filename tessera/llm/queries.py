@@ -3,10 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.pii import BASE_KINDS, personal_data, spelled
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"))
+
+
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.html_text import page_text
+
+    return page_text(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.tokens import token_files
 
@@ -41,8 +69,12 @@ FROM d
 
 def queries() -> dict:
     return {
+        "op1_quality": op1_quality,
+        "op3_personal_data": op3_personal_data,
+        "op4_page_text": op4_page_text,
         "op5_token_files": op5_token_files,
         "op6_simhash": op6_simhash,
+        "op8_toxicity": op8_toxicity,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
