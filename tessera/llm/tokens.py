@@ -89,29 +89,29 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        """All of ``new``, parted by blanks, in calls of some size; a token that begins with a blank begins a word."""
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.append(np.flatnonzero(self.blank[ids]), len(ids)) * 4
-            raw = ids.tobytes()
-            self.words.update((w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    def _missing(self, cache: dict[str, bytes], used: set[str]) -> list[str]:
+        """Those of ``used`` that the cache lacks; where they don't fit, it starts anew with all of them."""
+        missing = used - cache.keys()
+        if len(cache) + len(missing) > CACHE:
+            cache.clear()
+            missing = used
+        return sorted(missing)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lines = [None if ODD_SPACE.search(t) or any(s in t for s in self.special) else [x.split(" ") for x in t.split("\n")] for t in texts]
         known = self.words
-        new = {w for doc in lines if doc for line in doc for w in line[1:] if w not in known}
-        if new:
-            self._learn(sorted(new))
-        starts = {line[0] for doc in lines if doc for line in doc if line[0] not in self.first}
-        if starts:
-            if len(self.first) + len(starts) > CACHE:
-                self.first.clear()
-            order = sorted(starts)
-            self.first.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(order, self.library.encode_batch(order, add_special_tokens=False), strict=True))
+        new = self._missing(known, {w for doc in lines if doc for line in doc for w in line[1:]})
+        for i in range(0, len(new), 4096):  # parted by blanks; a token that begins with a blank begins a word
+            part = new[i : i + 4096]
+            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = np.append(np.flatnonzero(self.blank[ids]), len(ids)) * 4
+            raw = ids.tobytes()
+            known.update((w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        new = self._missing(self.first, {line[0] for doc in lines if doc for line in doc})
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            codes = self.library.encode_batch(part, add_special_tokens=False)
+            self.first.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, codes, strict=True))
         out = []
         for text, doc in zip(texts, lines, strict=True):
             if doc is None:

@@ -17,16 +17,21 @@ from tessera.llm.common import fold, written
 BREAK = re.compile(rb"[.!?\n\r]+|\xe3\x80\x82")
 #: Words are runs of letters; every byte of a letter beyond ASCII has its high bit set.
 WORD = re.compile(rb"[a-z\x80-\xff]+")
-PREFIXES = range(3, 9)
+PREFIXES = range(3, 7)
 #: Bits of a feature's hash, and words whose weight one worker remembers.
 HASH_BITS, CACHE = 22, 400_000
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
 def word_features(word: bytes) -> list[int]:
-    """Hashes of a word and of its beginnings."""
+    """Hashes of a word's beginnings, and of the whole word where it is no longer than those.
+
+    Longer words count by what they begin with, so inflected and compound forms share their weight.
+    """
     letters = word.decode("utf-8", "ignore")
-    names = ["=" + letters, *("^" + letters[:n] for n in PREFIXES if n <= len(letters))]
+    names = ["^" + letters[:n] for n in PREFIXES if n <= len(letters)]
+    if len(letters) < PREFIXES.stop:
+        names.append("=" + letters)
     return [xxhash.xxh32_intdigest(x.encode()) >> (32 - HASH_BITS) for x in names]
 
 
@@ -170,7 +175,7 @@ def toxicity(
     held_fold: int = 0,
     most_labelled: int = 20_000,
     features: int = 4096,
-    rounds: int = 24,
+    rounds: int = 32,
     rate: float = 1.0,
     decay: float = 0.05,
 ) -> DataFrame:

@@ -33,6 +33,14 @@ def test_encoder_is_the_library():
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr("tessera.llm.tokens.CACHE", 6)
+    library, coder = Tokenizer.from_file(PATH), Encoder(PATH)
+    for n in range(20):
+        texts = [" ".join(f"w{(n + i) % 9}" for i in range(k)) + "\nq" * (n % 3) for k in range(1, 9)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_documents(spark):
     df = awkward(spark, [(i, f"Doc {i} " * (i % 40)) for i in range(400, 9, -1)])
     library = Tokenizer.from_file(PATH)
