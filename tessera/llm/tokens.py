@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +18,9 @@ BLOCK, SEGMENT = 1024, 1 << 17
 #: Share of a block's ids that its bit width must hold; the others are stored as exceptions.
 PERCENTILE = 95
 #: Words that one worker keeps encoded.
-CACHE = 400_000
+CACHE = 1_000_000
 HEADER = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("patches", "<u2")])
 SEGMENTS = "shard int, first long, n_ids long, doc_ids array<long>, doc_lens array<long>, starts binary, payload binary"
-#: White space other than single blanks or line ends between two words.
-ODD_SPACE = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
@@ -31,96 +29,108 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
     A block is its header, the ids less the block's least packed at a width that holds PERCENTILE of them, then
     the places (uint16) and high bits (uint32) of those that need more.
     """
-    out, starts, at = [], [], 0
-    for i in range(0, len(ids), BLOCK):
-        part = ids[i : i + BLOCK].astype(np.uint32)
-        low = int(part.min())
-        rest = part - np.uint32(low)
-        width = int(np.percentile(rest, PERCENTILE, method="higher")).bit_length()
-        over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-        head = np.array([(low, len(part), width, len(over))], HEADER).tobytes()
-        bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-        body = np.packbits(bits, bitorder="little").tobytes()
-        patch = over.astype("<u2").tobytes() + (rest[over] >> np.uint32(min(width, 31))).astype("<u4").tobytes()
-        starts.append(at)
-        out.append(head + body + patch)
-        at += len(out[-1])
-    return b"".join(out), np.array(starts, "<u4").tobytes()
+    out: list[bytes] = []
+    whole = len(ids) // BLOCK * BLOCK
+    for part in (ids[:whole].reshape(-1, BLOCK), ids[whole:].reshape(1, -1)):
+        if not part.size:
+            continue
+        lows = part.min(axis=1)
+        rests = part.astype(np.uint32) - lows[:, None].astype(np.uint32)
+        lengths = np.frexp(rests)[1]  # of each id in bits
+        at = min(part.shape[1] - 1, part.shape[1] * PERCENTILE // 100)
+        for low, rest, length, width in zip(lows.tolist(), rests, lengths, np.partition(lengths, at, axis=1)[:, at].tolist(), strict=True):
+            over = np.flatnonzero(length > width)
+            if width in (8, 16):
+                body = rest.astype(f"<u{width // 8}").tobytes()
+            else:
+                body = np.packbits(np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width], bitorder="little").tobytes()
+            head = np.array([(low, len(rest), width, len(over))], HEADER).tobytes()
+            patch = over.astype("<u2").tobytes() + (rest[over] >> np.uint32(width)).astype("<u4").tobytes() if len(over) else b""
+            out.append(head + body + patch)
+    starts = np.cumsum([0, *map(len, out[:-1])] if out else [])
+    return b"".join(out), starts.astype("<u4").tobytes()
 
 
 def unpack(payload: bytes, starts: bytes) -> np.ndarray:
     """The ids of every block of ``payload``, as uint32."""
     out = [np.empty(0, np.uint32)]
-    for at in np.frombuffer(starts, "<u4"):
-        head = np.frombuffer(payload, HEADER, 1, at)[0]
-        n, width, k = int(head["count"]), int(head["width"]), int(head["patches"])
-        at = int(at) + HEADER.itemsize
+    for at in np.frombuffer(starts, "<u4").tolist():
+        low, n, width, k = np.frombuffer(payload, HEADER, 1, at)[0].tolist()
+        at += HEADER.itemsize
         size = (n * width + 7) // 8
-        bits = np.unpackbits(np.frombuffer(payload, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-        wide = np.zeros((n, 32), np.uint8)
-        wide[:, :width] = bits
-        rest = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
-        where = np.frombuffer(payload, "<u2", k, at + size)
-        rest[where] |= np.frombuffer(payload, "<u4", k, at + size + 2 * k) << np.uint32(min(width, 31))
-        out.append(rest + head["low"])
+        if width in (8, 16):
+            rest = np.frombuffer(payload, f"<u{width // 8}", n, at).astype(np.uint32)
+        else:
+            wide = np.zeros((n, 32), np.uint8)
+            wide[:, :width] = np.unpackbits(np.frombuffer(payload, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
+            rest = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
+        if k:
+            rest[np.frombuffer(payload, "<u2", k, at + size)] |= np.frombuffer(payload, "<u4", k, at + size + 2 * k).astype(np.uint32) << np.uint32(width)
+        out.append(rest + np.uint32(low))
     return np.concatenate(out)
 
 
 class Encoder:
     """Encodes texts with the tokenizers library; ids come as little-endian uint32 bytes.
 
-    A byte-level BPE never joins what a single blank or line end between two words parts, so each distinct word
-    is encoded once by the library and then taken from a bounded cache. Texts with any other white space,
-    or with a special token's string, go to the library whole.
+    A byte-level BPE never joins what a single blank or line end between two words parts, so the library encodes
+    each distinct word once, with the blank or line end before it, and a bounded cache keeps the ids.
+    Texts with any other white space, or with a special token's string, go to the library whole.
     """
 
     def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         vocab = self.library.get_vocab(with_added_tokens=True)
-        self.blank = np.zeros(max(vocab.values()) + 1, bool)
-        self.blank[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True  # how byte-level files spell a blank
+        self.begins = {" ": np.zeros(max(vocab.values()) + 1, bool), "\n": np.zeros(max(vocab.values()) + 1, bool)}
+        for token, i in vocab.items():  # how byte-level files spell a blank and a line end
+            self.begins[" "][i], self.begins["\n"][i] = token.startswith("Ġ"), token == "Ċ"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.line_end = self._whole("\n")
-        self.words: dict[str, bytes] = {}  # after a blank
-        self.first: dict[str, bytes] = {}  # at a line's start
+        self.words: dict[str, bytes | None] = {}  # None: its text goes to the library whole
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _missing(self, cache: dict[str, bytes], used: set[str]) -> list[str]:
-        """Those of ``used`` that the cache lacks; where they don't fit, it starts anew with all of them."""
-        missing = used - cache.keys()
-        if len(cache) + len(missing) > CACHE:
-            cache.clear()
-            missing = used
-        return sorted(missing)
+    def _learn(self, new: list[str], before: str) -> None:
+        """The ids of each of ``new`` after the character ``before``; a token that begins with it begins a word."""
+        for i in range(0, len(new), 2048):
+            part = new[i : i + 2048]
+            joined = before + before.join(part)
+            if joined.split() != part or any(s in joined for s in self.special):
+                for w in part:
+                    self.words[before.strip(" ") + w] = None if w.split() != [w] or any(s in w for s in self.special) else self._whole(before + w)
+                continue
+            ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.append(np.flatnonzero(self.begins[before][ids]), len(ids)) * 4
+            raw, mark = ids.tobytes(), before.strip(" ")
+            self.words.update((mark + w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lines = [None if ODD_SPACE.search(t) or any(s in t for s in self.special) else [x.split(" ") for x in t.split("\n")] for t in texts]
-        known = self.words
-        new = self._missing(known, {w for doc in lines if doc for line in doc for w in line[1:]})
-        for i in range(0, len(new), 4096):  # parted by blanks; a token that begins with a blank begins a word
-            part = new[i : i + 4096]
-            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.append(np.flatnonzero(self.blank[ids]), len(ids)) * 4
-            raw = ids.tobytes()
-            known.update((w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-        new = self._missing(self.first, {line[0] for doc in lines if doc for line in doc})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            codes = self.library.encode_batch(part, add_special_tokens=False)
-            self.first.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, codes, strict=True))
+        docs = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]  # words after a line end keep it
+        used = set().union(*docs)
+        new = used - self.words.keys()
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = used
+        self._learn([w for w in new if w[:1] != "\n"], " ")
+        self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
         out = []
-        for text, doc in zip(texts, lines, strict=True):
-            if doc is None:
-                out.append(self._whole(text))
-            else:
-                out.append(self.line_end.join([self.first[line[0]] + b"".join([known[w] for w in line[1:]]) for line in doc]))
+        for text, doc in zip(texts, docs, strict=True):
+            codes = [self.words[w] for w in doc]
+            out.append(self._whole(text) if None in codes else b"".join(codes)[4:])  # less the line end put before
         return out
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker process, which may run many tasks."""
+    return Encoder(path)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every whole text, each followed by ``end_id``, in ascending order of id.
 
@@ -131,10 +141,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         shard, first = -1, 0
         ids: list = []
         raw: list[bytes] = []
