@@ -14,6 +14,17 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_domains(labels: DataFrame) -> DataFrame:
+    """Domains of the mixing queries: the quality that the labelled table gives a document."""
+    return labels.select("doc_id", F.concat(F.lit("quality"), F.col("quality").cast("string")).alias("domain"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.mixing import mixing_rates
+
+    return mixing_rates(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.pii import BASE_KINDS, personal_data, spelled
 
@@ -29,6 +40,12 @@ def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text(table(spark, sf_dir, "pages"))
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lattice_lm import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.toxicity import toxicity
 
@@ -47,6 +64,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontamination import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.exact_dedup import exact_duplicates
 
@@ -70,11 +93,14 @@ FROM d
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
+        "op2_mixing": op2_mixing,
         "op3_personal_data": op3_personal_data,
         "op4_page_text": op4_page_text,
         "op5_token_files": op5_token_files,
         "op6_simhash": op6_simhash,
+        "op7_lattice_lm": op7_lattice_lm,
         "op8_toxicity": op8_toxicity,
+        "op9_decontamination": op9_decontamination,
         "op10_exact_dedup": op10_exact_dedup,
     }
 

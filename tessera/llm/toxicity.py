@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -165,7 +166,37 @@ def _fit(sample: DataFrame, features: int, rounds: int, rate: float, decay: floa
     return chosen, weights
 
 
-def toxicity(
+class Model:
+    """Weights of chosen features and the bias; without any, nothing is toxic."""
+
+    def __init__(self, fitted: tuple[np.ndarray, np.ndarray] | None):
+        self.empty = fitted is None
+        self.weight = {} if self.empty else dict(zip(fitted[0].tolist(), fitted[1][:-1].tolist(), strict=True))
+        self.bias = -np.inf if self.empty else float(fitted[1][-1])
+        self.words: dict[bytes, float] = {}
+
+    def _learn(self, word: bytes) -> float:
+        if len(self.words) > CACHE:
+            self.words.clear()
+        self.words[word] = total = sum(self.weight.get(f, 0.0) for f in word_features(word))
+        return total
+
+    def score(self, text: bytes) -> tuple[float, list[dict]]:
+        """The noisy-or of all sentences, and those that score a half or more."""
+        known, clean, own, at, points = self.words, 0.0, [], 0, 0
+        for start, end, words in sentences(text) if not self.empty else ():
+            z = self.bias + sum([w if (w := known.get(x)) is not None else self._learn(x) for x in words])
+            p = 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
+            clean += math.log1p(-p)
+            if p >= 0.5:
+                points += len(text[at:start].decode("utf-8", "ignore"))
+                size = len(text[start:end].decode("utf-8", "ignore"))
+                own.append({"start": points, "end": points + size, "score": p})
+                at, points = end, points + size
+        return -math.expm1(clean) + 0.0, own
+
+
+def fit(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -178,56 +209,56 @@ def toxicity(
     rounds: int = 32,
     rate: float = 1.0,
     decay: float = 0.05,
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted, offending) for each row of ``docs``.
-
-    Trained from document labels outside the held-out fold: about ``most_labelled`` of the labelled rows,
-    chosen by a hash of their id, are fitted; a table with fewer is used whole. score is one less the product
-    over sentences of one less their score; offending lists the sentences (code points, end exclusive) that
-    score a half or more on their own. Every sentence of every whole text is scored. Texts without a word,
-    null and empty ones too, score 0. Of several labels for an id the largest counts; null labels and ids
-    count for nothing; where a label is missing altogether every score is 0. Repeated rows stay; other columns
-    are ignored; an empty table gives an empty result.
+    parts: int = 6,
+) -> Model:
+    """A model of document labels outside the held-out fold.
+
+    About ``most_labelled`` of the labelled rows, chosen by a hash of their id, are fitted; a table with fewer
+    is used whole. Of several labels for an id the largest counts; null labels and ids count for nothing.
     """
     doc_id = F.col(id_col).cast("long").alias("doc_id")
     known = labels.groupBy(doc_id).agg(F.max(F.col(label_col).cast("int")).alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
-    held = fold(F.col("doc_id"), folds) == held_fold
-    known = known.filter(~held)
+    known = known.filter(fold(F.col("doc_id"), folds) != held_fold)
     share = min(1.0, most_labelled / max(1, known.count()))
     few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))), "labels")  # most_labelled rows, give or take chance
     rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
     sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
-    parts = 6
-    model = _fit(sample, features, rounds, rate, decay, parts)
-    weight = dict(zip(model[0].tolist(), model[1][:-1].tolist(), strict=True)) if model else {}
-    bias = float(model[1][-1]) if model else -np.inf
+    return Model(_fit(sample, features, rounds, rate, decay, parts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, float] = {}
 
-        def of(word: bytes) -> float:
-            if len(cache) > CACHE:
-                cache.clear()
-            cache[word] = total = sum(weight.get(f, 0.0) for f in set(word_features(word)))
-            return total
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, **options) -> DataFrame:
+    """(doc_id, held_out, score, predicted, offending) for each row of ``docs``; ``options`` go to fit.
+
+    Trained from document labels alone. score is one less the product over sentences of one less their score;
+    offending lists the sentences (code points, end exclusive) that score a half or more on their own. Every
+    sentence of every whole text is scored. Texts without a word, null and empty ones too, score 0; where a
+    label is missing altogether every score is 0. Repeated rows stay; other columns are ignored; an empty
+    table gives an empty result.
+    """
+    model = fit(docs, labels, id_col, text_col, folds=folds, held_fold=held_fold, **options)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
         for batch in batches:
-            scores, found = [], []
-            for text in _batches(batch.column(1)):
-                clean, own, at, points = 0.0, [], 0, 0
-                for start, end, words in sentences(text) if model else ():
-                    z = bias + sum([w if (w := cache.get(x)) is not None else of(x) for x in words])
-                    p = 1 / (1 + np.exp(-min(30.0, z))) if z > -30 else 0.0
-                    clean += np.log1p(-min(p, 1 - 1e-12))
-                    if p >= 0.5:
-                        points += len(text[at:start].decode("utf-8", "ignore"))
-                        size = len(text[start:end].decode("utf-8", "ignore"))
-                        own.append({"start": points, "end": points + size, "score": p})
-                        at, points = end, points + size
-                scores.append(-np.expm1(clean) + 0.0)
-                found.append(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(found, pa.list_(kind))], names=["doc_id", "score", "offending"])
+            found = [model.score(t) for t in _batches(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([p for p, _ in found], pa.float64()), pa.array([o for _, o in found], pa.list_(kind))],
+                names=["doc_id", "score", "offending"],
+            )
 
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     scored = rows.mapInArrow(run, f"doc_id long, score double, offending {SENTENCES}")
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+    held = (fold(F.col("doc_id"), folds) == held_fold).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``."""
+    model, at = fit(docs, labels, text_col=text_col, **options), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary())
+            yield batch.filter(pa.array([model.score(t)[0] < threshold for t in _batches(texts)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
