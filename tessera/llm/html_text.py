@@ -50,6 +50,8 @@ class Tree(HTMLParser):
         self.skip: list[str] = []  # open elements from the first that is left out
 
     def handle_starttag(self, tag, attrs):
+        if len(self.skip) == 1 and (self.skip[0] == "p" and tag in CLOSES_P or tag in SAME.get(self.skip[0], ())):
+            self.skip.clear()  # what is left out ends where its end tag may be left out
         if self.skip:
             if tag not in VOID:
                 self.skip.append(tag)

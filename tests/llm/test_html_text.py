@@ -21,6 +21,7 @@ PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style><scrip
         ("<main><div id=cookie-notice>We use cookies</div><article><section><p>long enough text a</p></section><section><p>b</p></section></article></main>", "long enough text a\n\nb"),
         ("<div class=sidebar><p>Some words to the side</p></div><div class=story><h2>Head</h2><p>First paragraph of it.</p><p>Second paragraph of it.</p></div>", "Head\n\nFirst paragraph of it.\n\nSecond paragraph of it."),
         ("<article><header><h1>Kept</h1></header><p>w&#x20AC;&eacute;&am;p</p></article>", "Kept\n\nw€é&am;p"),
+        ("<article><p class=ad>Buy<p>real</p><ul><li class=share>tweet<li>kept</ul></article>", "real\n\nkept"),
         ("", ""),
     ],
 )
