@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.binding import LIST_SQL, PROPS_SQL, listings, properties, table
 from tessera.functions import geo, text
-from tessera.operators import explore, extraction, places, quality, resolve, serving, snapshots, tables
+from tessera.operators import detect, explore, extraction, places, quality, resolve, serving, snapshots, tables
 from tessera.plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -752,6 +752,126 @@ def _(s, d):
     return explorer(s, d).map_points(explore.replace(FILTERS, query="supplier"))[1]
 
 
+# --- rosters, references and landed elements ---
+@query(
+    "roster_extension",
+    """SELECT p_brand, false AS is_new, count(*) AS n FROM part WHERE p_size < 3 GROUP BY 1
+UNION ALL SELECT p_brand, true, count(*) FROM (SELECT DISTINCT p_brand FROM part WHERE p_size > 40) ANTI JOIN (SELECT DISTINCT p_brand FROM part WHERE p_size < 3) USING (p_brand) GROUP BY 1""",
+)
+def _(s, d):
+    part = table(s, d, "part").select("p_brand", "p_size")
+    live = part.filter("p_size > 40").select("p_brand").distinct()
+    return tables.count_by(snapshots.extended_roster(part.filter("p_size < 3"), live, "p_brand"), "p_brand", "is_new")
+
+
+BUCKETS = """b AS (SELECT CAST(s_suppkey AS VARCHAR) AS mall_id, 'north' AS region, 1 AS bucket FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'south', 2 FROM supplier WHERE s_suppkey % 3 = 0
+UNION ALL SELECT concat('x', s_suppkey), 'east', 3 FROM supplier WHERE s_suppkey % 11 = 0)"""
+
+
+def _buckets(s, d) -> DataFrame:
+    k, sup = F.col("s_suppkey"), table(s, d, "supplier")
+    row = lambda test, key, region, n: sup.filter(test).select(key.alias("mall_id"), F.lit(region).alias("region"), F.lit(n).alias("bucket"))
+    return row(k % 2 == 0, k.cast("string"), "north", 1).union(row(k % 3 == 0, k.cast("string"), "south", 2)).union(row(k % 11 == 0, F.concat(F.lit("x"), k), "east", 3))
+
+
+@query("region_tags", f"WITH {BUCKETS}, l AS (SELECT mall_id, arg_max(region, bucket) AS region FROM b GROUP BY 1) SELECT CAST(s_suppkey AS VARCHAR) AS mall_id, l.region FROM supplier LEFT JOIN l ON l.mall_id = CAST(s_suppkey AS VARCHAR)")
+def _(s, d):
+    return snapshots.tagged_regions(properties(s, d).select("mall_id", "region"), _buckets(s, d))[0]
+
+
+@query("region_tag_orphans", f"WITH {BUCKETS} SELECT mall_id, region, bucket FROM b WHERE mall_id LIKE 'x%'")
+def _(s, d):
+    return snapshots.tagged_regions(properties(s, d).select("mall_id", "region"), _buckets(s, d))[1]
+
+
+@query("bridged_references", "SELECT s_name, count(*) AS n FROM (SELECT unnest([p_partkey % 10, (p_partkey + 3) % 10]) AS k FROM part) JOIN supplier ON k = s_suppkey GROUP BY 1")
+def _(s, d):
+    part = table(s, d, "part").withColumn("refs", F.array(F.col("p_partkey") % 10, (F.col("p_partkey") + 3) % 10))
+    return tables.count_by(extraction.bridged(part, "refs", table(s, d, "supplier"), "s_suppkey"), "s_name")
+
+
+@query("embedded_json", "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1")
+def _(s, d):
+    page = table(s, d, "events").select(F.concat(F.lit('<div data-page="'), F.replace("props", F.lit('"'), F.lit("&quot;")), F.lit('">')).alias("html"))
+    return tables.count_by(extraction.embedded_json(page, "data-page", "k long").select("doc.k"), "k")
+
+
+@query(
+    "map_elements",
+    f"WITH {PROPS_SQL} SELECT concat(CASE WHEN CAST(mall_id AS INTEGER) % 2 = 0 THEN 'node' ELSE 'way' END, '/', mall_id) AS id, mall_name AS first_name, lat FROM props WHERE lat IS NOT NULL AND CAST(mall_id AS INTEGER) % 5 <> 2",
+)
+def _(s, d):
+    k = F.col("mall_id").cast("int")
+    name = F.when(k % 5 != 2, F.col("mall_name")).otherwise("")
+    node = k % 2 == 0
+    elements = properties(s, d).select(
+        F.when(node, "node").otherwise("way").alias("type"), "mall_id", k.alias("id"), F.when(node, F.col("lat")).alias("lat"), F.when(node, F.col("lon")).alias("lon"),
+        F.when(~node, F.struct("lat", "lon")).alias("center"), F.create_map(F.lit("name"), name).alias("tags"),
+    )
+    return extraction.map_features(elements).select("id", F.col("names")[0].alias("first_name"), "lat")
+
+
+@query("record_assembly")
+def _(s, d):
+    k = F.col("event_id")
+    text_ = F.when(k % 5 == 0, F.concat(F.lit("Section "), F.col("event_type"))).when(k % 5 == 1, F.concat(F.lit("Name "), k)).when(k % 5 == 2, "📍 Level 2").when(k % 5 == 3, "Bldg").otherwise(F.concat(F.lit("Shop "), k, F.lit(" | 📍 GF")))
+    lines = table(s, d, "events").select(F.col("user_id").alias("page_id"), k.alias("pos"), F.when(k % 5 == 0, "h2").otherwise("p").alias("tag"), text_.alias("text"))
+    return extraction.assembled(lines)
+
+
+# --- detectors ---
+KNOWN = """sp AS (SELECT DISTINCT p_name AS brand_key, r_name AS chain, l_suppkey AS mall_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE p_size < 2),
+own AS (SELECT brand_key, chain, count(*) AS own FROM sp GROUP BY ALL), tot AS (SELECT brand_key, sum(own) AS t FROM own GROUP BY 1),
+known AS (SELECT g.chain, tot.brand_key FROM tot CROSS JOIN (SELECT DISTINCT chain FROM sp) g LEFT JOIN own ON own.brand_key = tot.brand_key AND own.chain = g.chain WHERE t - coalesce(own, 0) >= 3)"""
+
+
+def _named(s, d, size: str) -> DataFrame:
+    rows = listings(s, d).withColumn("p_size", F.element_at(F.split("brand_key", " "), -1).cast("int")).filter(size)
+    return rows.withColumn("brand_key", F.regexp_extract("brand_key", r"^(\S+ \S+)", 1))
+
+
+@query("attested_entities", f"WITH {KNOWN} SELECT * FROM known")
+def _(s, d):
+    return detect.attested(_named(s, d, "p_size < 2"))
+
+
+@query(
+    "combined_names",
+    f"""WITH {KNOWN}, l AS (SELECT r_name AS chain, CAST(l_suppkey AS VARCHAR) AS mall_id, p_name, CASE WHEN p_size % 2 = 0 THEN 2 ELSE 4 END AS words FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT chain, mall_id, median(words) AS median_words, round(avg(CASE WHEN words = 4 AND (chain, p_name) IN (SELECT (chain, brand_key) FROM known) THEN 1 ELSE 0 END), 6) AS share_begun,
+  median(words) >= 4 OR avg(CASE WHEN words = 4 AND (chain, p_name) IN (SELECT (chain, brand_key) FROM known) THEN 1 ELSE 0 END) >= 0.4 AS combined FROM l GROUP BY ALL""",
+)
+def _(s, d):
+    size = F.element_at(F.split("brand_key", " "), -1).cast("int")
+    name = F.regexp_extract("brand_key", r"^(\S+ \S+)", 1)
+    rows = listings(s, d).withColumn("brand_key", F.when(size % 2 == 0, name).otherwise(F.concat(name, F.lit(" old town"))))
+    return detect.combined_names(rows, detect.attested(_named(s, d, "p_size < 2"))).withColumn("share_begun", F.round("share_begun", 6))
+
+
+@query(
+    "entity_mentions",
+    f"""WITH {KNOWN}, l AS (SELECT DISTINCT r_name AS chain, CAST(l_suppkey AS VARCHAR) AS mall_id, p_name FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE p_size > 45)
+SELECT chain, mall_id, concat('the ', p_name, ' corner') AS name, p_name AS mention FROM l WHERE (chain, p_name) IN (SELECT (chain, brand_key) FROM known)""",
+)
+def _(s, d):
+    rows = _named(s, d, "p_size > 45").withColumn("brand_key", F.concat(F.lit("the "), "brand_key", F.lit(" corner")))
+    return detect.mentions(rows, detect.attested(_named(s, d, "p_size < 2")))
+
+
+@query("freshness", f"WITH {PROPS_SQL} SELECT chain, CAST(max(CAST(scraped_at AS DATE)) AS VARCHAR) AS newest, CAST(date_diff('day', max(CAST(scraped_at AS DATE)), DATE '2026-02-15') AS INTEGER) AS age, date_diff('day', max(CAST(scraped_at AS DATE)), DATE '2026-02-15') > 730 AS stale FROM props GROUP BY 1")
+def _(s, d):
+    return detect.freshness(properties(s, d), "2026-02-15").withColumn("newest", F.col("newest").cast("string"))
+
+
+@query(
+    "gaps_in_runs",
+    f"""{WITH}, o AS (SELECT scraped_at, row_number() OVER (ORDER BY scraped_at) AS n FROM (SELECT DISTINCT scraped_at FROM list)), s AS (SELECT DISTINCT chain, mall_id, scraped_at, n FROM list JOIN o USING (scraped_at) WHERE floor = 'Level 7'),
+w AS (SELECT *, lead(n) OVER (PARTITION BY chain, mall_id ORDER BY n) - n - 1 AS missed FROM s) SELECT chain, mall_id, scraped_at AS after, CAST(missed AS INTEGER) AS missed FROM w WHERE missed > 0""",
+)
+def _(s, d):
+    return detect.gaps_in_runs(listings(s, d).filter("floor = 'Level 7'"), "scraped_at")
+
+
 # --- whole stages ---
 @query("clean_stage")
 def _(s, d):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import geo
-from tessera.operators import explore, extraction, places, quality, resolve, serving, snapshots, tables
+from tessera.operators import detect, explore, extraction, places, quality, resolve, serving, snapshots, tables
 from tessera.plans import stages
 from tessera.sources import registries
 from tessera.sources.snapshots import STAGES, Snapshots
@@ -206,6 +206,22 @@ def test_map_features(spark):
     assert [(r.id, r.names, r.lat) for r in extraction.map_features(df).orderBy("id").collect()] == [("node/1", ["A", "B"], 10.0), ("way/2", ["C"], 11.0)]
 
 
+def test_detectors(spark):
+    many = [("kfc burger", c, str(m)) for c in "ab" for m in range(4)] + [("solo", "a", "1")]
+    odd = [("kfc burger extra crispy", "c", "9"), ("the kfc burger and kfc burger place", "c", "9"), ("short", "c", "8")]
+    rows = spark.createDataFrame(many + odd, "brand_key string, chain string, mall_id string")
+    known = detect.attested(rows)
+    assert {tuple(r) for r in known.collect()} == {(c, "kfc burger") for c in "abc"}
+    got = {r.mall_id: (r.median_words, r.share_begun, r.combined) for r in detect.combined_names(rows, known).collect() if r.chain == "c"}
+    assert got == {"9": (5.5, 0.5, True), "8": (1.0, 0.0, False)}
+    assert sorted(tuple(r) for r in detect.mentions(rows, known).collect()) == [
+        ("c", "9", "kfc burger extra crispy", "kfc burger"),
+        ("c", "9", "the kfc burger and kfc burger place", "kfc burger"),
+    ]
+    old = detect.freshness(spark.createDataFrame([("a", "2020-01-01"), ("b", "2024-01-01")], "chain string, scraped_at string"), "2024-06-01")
+    assert {r.chain: r.stale for r in old.collect()} == {"a": True, "b": False}
+
+
 def test_facets_need_one_property(spark):
     p = spark.createDataFrame([("a", "1", "One", "x", "mall", 5, 1.0), ("b", "2", "Two", "y", "office", 3, None), ("b", "3", "Three", "x", "mall", 9, 2.0)], "chain string, mall_id string, mall_name string, region string, property_type string, listings long, lat double")
     e = spark.createDataFrame([("k1", "Kay", None, ["dining"], 2), ("k2", "Tea", "alias", ["dining", "home"], 1)], "brand_canonical string, name string, alias string, categories array<string>, malls long")
