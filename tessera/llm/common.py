@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +55,17 @@ def fold(doc_id: Column, folds: int) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is; null becomes the empty string."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
+_held: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a worker process keeps from one task to the next: one object, until another key takes its place.
+
+    Workers outlive their tasks, so models and their caches of words stay warm, but no two operators' at once.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]

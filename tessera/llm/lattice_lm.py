@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
+from functools import cache, cached_property
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, written
+from tessera.llm.common import fold, held, written
 
 #: Words counted before a task hands its counts on, words whose log probability one worker remembers.
-FLUSH, CACHE = 200_000, 600_000
+FLUSH, CACHE = 200_000, 800_000
 #: Words whose counts every task gets, and the longest of them: at most HEADS * (LONGEST + 8) bytes are broadcast.
 HEADS, LONGEST = 100_000, 64
 MARK = "▁"
@@ -101,38 +103,68 @@ class Lattice:
                 self.byte[int(piece[3:5], 16)] = float(scores[i])
             elif not (model.is_control(i) or model.is_unknown(i)):
                 self.score[piece] = float(scores[i])
-        self.longest = max(map(len, self.score), default=1)
-        #: Longest piece by its first two characters, so that a position tries no length that can't match.
-        self.reach: dict[str, int] = {}
-        for p in self.score:
-            self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
+        self.words: dict[bytes, float] = {}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("arcs", "words")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.words = {}
+
+    @cached_property
+    def arcs(self):
+        """An automaton that names every piece in a text, by where it ends, as (length, score)."""
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for piece, score in self.score.items():
+            found.add_word(piece, (len(piece), score))
+        found.make_automaton()
+        return found
 
     def log_probability(self, word: str) -> float:
-        """Forward recursion in log space over the mark of a word's start and the word."""
-        s = MARK + word
-        n, score, reach, exp, log = len(s), self.score, self.reach, math.exp, math.log
-        arriving: list[list[float]] = [[] for _ in range(n + 1)]
-        at = 0.0
-        for i in range(n):
-            if i:
-                terms = arriving[i]
+        """Forward recursion in log space over the mark of a word's start and the word.
+
+        A character that is no piece is spelled by the pieces of its bytes.
+        """
+        s, score, exp, log = MARK + word, self.score, math.exp, math.log
+        at = [0.0]  # log probability of all segmentations of each beginning
+        terms: list[float] = []
+        last = 0
+        spelled = {i: sum(self.byte[b] for b in c.encode("utf-8", "replace")) for i, c in enumerate(s) if c not in score}
+
+        def settle(upto: int) -> None:
+            """Closes the ends before ``upto``; those without any piece are spelled."""
+            nonlocal last
+            while last < upto:
+                if last in spelled:
+                    terms.append(at[last] + spelled[last])
                 if len(terms) == 1:
-                    at = terms[0]
-                elif terms:
-                    top = max(terms)
-                    at = top + log(sum([exp(t - top) for t in terms]))
+                    at.append(terms[0])
                 else:
-                    continue
-            c = s[i]
-            own = score.get(c)
-            if own is None:
-                own = sum([self.byte[b] for b in c.encode("utf-8", "replace")])
-            arriving[i + 1].append(at + own)
-            for j in range(i + 2, min(n, i + reach.get(s[i : i + 2], 0)) + 1):
-                if (v := score.get(s[i:j])) is not None:
-                    arriving[j].append(at + v)
-        top = max(arriving[n])
-        return top + log(sum([exp(t - top) for t in arriving[n]]))
+                    top = max(terms)
+                    at.append(top + log(sum([exp(t - top) for t in terms])))
+                terms.clear()
+                last += 1
+
+        for end, (size, v) in self.arcs.iter(s):
+            if end != last:
+                settle(end)
+            terms.append(at[end + 1 - size] + v)
+        settle(len(s))
+        return at[-1]
+
+    def log_probabilities(self, words: Iterable[bytes]) -> list[float]:
+        """Those of some words, kept for when they come again."""
+        known = self.words
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = list(words)
+        for w in new:
+            known[w] = self.log_probability(w.decode("utf-8", "replace"))
+        return list(map(known.__getitem__, words))
 
 
 def lm_scores(
@@ -163,9 +195,9 @@ def lm_scores(
 
         vocabulary = public_tokenizers.path("piece_bpe_32k.model")
     spark = docs.sparkSession
-    held = fold(F.col("doc_id"), folds) == held_fold
+    held_out = fold(F.col("doc_id"), folds) == held_fold
     texts = _texts(docs, id_col, text_col)
-    counts = written(word_counts(texts.filter(~held)), "words")
+    counts = written(word_counts(texts.filter(~held_out)), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
     n_train, v, ends = total["n"], total["v"], total["ends"]
     lattice = Lattice(vocabulary, piece_counts(counts, vocabulary), ends)
@@ -178,32 +210,20 @@ def lm_scores(
             break
         least = r["n"]
     known = {bytes(r["word"]): math.log10(r["n"] + 1) for r in short.filter(F.col("n") >= least).collect()} if least else {}
-    shared = spark.sparkContext.broadcast((known, lattice))
+    shared, key = spark.sparkContext.broadcast((known, lattice)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, model = shared.value
-        memory: dict[bytes, float] = {}
+        common, model = held(key, lambda: shared.value)
         for batch in batches:
             cols: tuple[list, ...] = ([], [], [], [], [], [])
             for text in batch.column(2).to_pylist():
                 own = Counter(words_of(text))
-                lat = base = 0.0
-                hits, rare, times = 0, [], []
-                for w, k in own.items():
-                    p = memory.get(w)
-                    if p is None:
-                        if len(memory) > CACHE:
-                            memory.clear()
-                        p = memory[w] = model.log_probability(w.decode("utf-8", "replace"))
-                    lat += p * k
-                    c = common.get(w)
-                    if c is None:
-                        rare.append(w)
-                        times.append(k)
-                    else:
-                        base += c * k
-                        hits += k
-                for col, value in zip(cols, (sum(own.values()) + 1, hits, base, (lat + model.end) / math.log(10), rare, times), strict=True):
+                score = sum(map(mul, model.log_probabilities(own), own.values())) + model.end
+                base = sum(map(mul, [common.get(w, 0.0) for w in own], own.values()))
+                rare = [w for w in own if w not in common]
+                times = [own[w] for w in rare]
+                n = own.total()
+                for col, value in zip(cols, (n + 1, n - sum(times), base, score / math.log(10), rare, times), strict=True):
                     col.append(value)
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -222,7 +242,7 @@ def lm_scores(
     zero = lambda c: F.coalesce(c, F.lit(0))
     return scanned.drop("rare", "times").join(tail, "row", "left").select(
         "doc_id",
-        held.alias("held_out"),
+        held_out.alias("held_out"),
         "n_tokens",
         (F.col("hits") + zero(F.col("tail_hits")) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
