@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import held
+
 HITS = "doc_id long, item_id long, distance int, start long, end long"
 
 
@@ -139,10 +142,10 @@ def contaminated(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for held in _blocks(benchmark, item_col, item_text_col, block_chars):
+    for block in _blocks(benchmark, item_col, item_text_col, block_chars):
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Items(held.value, percent)
+        def run(batches: Iterator[pa.RecordBatch], block=block, key=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            index = held(key, lambda: Items(block.value, percent))
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
             for batch in batches:
                 found = [(i, *m) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for m in index.search(normalised(t))]
@@ -159,10 +162,10 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item as ``contaminated`` finds them."""
     at = docs.columns.index(text_col)
-    for held in _blocks(benchmark, item_col, item_text_col, block_chars):
+    for block in _blocks(benchmark, item_col, item_text_col, block_chars):
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Items(held.value, percent)
+        def run(batches: Iterator[pa.RecordBatch], block=block, key=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            index = held(key, lambda: Items(block.value, percent))
             for batch in batches:
                 yield batch.filter(pa.array([not index.search(normalised(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
 

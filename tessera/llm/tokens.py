@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shared_dir
+from tessera.llm.common import held, shared_dir
 
 #: Ids in a block, and ids after which a segment (one row) is closed at the next document's end.
 BLOCK, SEGMENT = 1024, 1 << 17
@@ -125,12 +124,6 @@ class Encoder:
         return out
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    """One for each worker process, which may run many tasks."""
-    return Encoder(path)
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every whole text, each followed by ``end_id``, in ascending order of id.
 
@@ -141,7 +134,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder, end = held(("tokens", tokenizer), lambda: Encoder(tokenizer)), np.array([end_id], "<u4").tobytes()
         shard, first = -1, 0
         ids: list = []
         raw: list[bytes] = []

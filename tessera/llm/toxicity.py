@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, written
+from tessera.llm.common import fold, held, written
 
 #: Ends of sentences: . ! ? line ends, and the ideographic full stop.
 BREAK = re.compile(rb"[.!?\n\r]+|\xe3\x80\x82")
@@ -21,6 +22,8 @@ WORD = re.compile(rb"[a-z\x80-\xff]+")
 PREFIXES = range(3, 7)
 #: Bits of a feature's hash, and words whose weight one worker remembers.
 HASH_BITS, CACHE = 22, 400_000
+#: Least z-score of a feature: one that only toxic texts have needs some nine of them, so chance words don't stand in for real ones.
+CLEAR = 8.0
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
@@ -70,7 +73,7 @@ def _selected(sample: DataFrame, positives: int, negatives: int, features: int)
     p, q = (F.col("toxic") + 0.5) / (positives + 1), (F.col("clean") + 0.5) / (negatives + 1)
     mean = (F.col("toxic") + F.col("clean") + 1) / (positives + negatives + 2)
     z = (p - q) / F.sqrt(mean * (1 - mean) * (1 / (positives + 1) + 1 / (negatives + 1)))
-    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > 3).orderBy(F.desc("z"), "feature").limit(features).collect()
+    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > CLEAR).orderBy(F.desc("z"), "feature").limit(features).collect()
     return np.array(sorted(r["feature"] for r in best), np.int64)
 
 
@@ -173,6 +176,7 @@ class Model:
         self.empty = fitted is None
         self.weight = {} if self.empty else dict(zip(fitted[0].tolist(), fitted[1][:-1].tolist(), strict=True))
         self.bias = -np.inf if self.empty else float(fitted[1][-1])
+        self.key = uuid.uuid4().hex
         self.words: dict[bytes, float] = {}
 
     def _learn(self, word: bytes) -> float:
@@ -222,7 +226,7 @@ def fit(
     share = min(1.0, most_labelled / max(1, known.count()))
     few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))), "labels")  # most_labelled rows, give or take chance
     rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
-    sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
+    sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y").dropDuplicates(["text"]), "sample")  # copies of a text tell nothing new
     return Model(_fit(sample, features, rounds, rate, decay, parts))
 
 
@@ -239,8 +243,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
+        own = held(model.key, lambda: model)
         for batch in batches:
-            found = [model.score(t) for t in _batches(batch.column(1))]
+            found = [own.score(t) for t in _batches(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([p for p, _ in found], pa.float64()), pa.array([o for _, o in found], pa.list_(kind))],
                 names=["doc_id", "score", "offending"],
@@ -248,8 +253,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     scored = rows.mapInArrow(run, f"doc_id long, score double, offending {SENTENCES}")
-    held = (fold(F.col("doc_id"), folds) == held_fold).alias("held_out")
-    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+    held_out = (fold(F.col("doc_id"), folds) == held_fold).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.5, **options) -> DataFrame:
@@ -257,8 +262,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", th
     model, at = fit(docs, labels, text_col=text_col, **options), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held(model.key, lambda: model)
         for batch in batches:
             texts = batch.column(at).cast(pa.binary())
-            yield batch.filter(pa.array([model.score(t)[0] < threshold for t in _batches(texts)], pa.bool_()))
+            yield batch.filter(pa.array([own.score(t)[0] < threshold for t in _batches(texts)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
