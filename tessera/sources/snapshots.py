@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.functions.text import entity_key
 from tessera.operators.quality import LISTING_COLUMNS, PROPERTY_COLUMNS
 
 STAGES = ("1_scrape", "2_clean", "3_report", "4_website")
@@ -57,7 +59,7 @@ class Snapshots:
         fs, where = self._fs(self.root)
         if not fs.exists(where):
             return []
-        return sorted(n for s in fs.listStatus(where) if s.isDirectory() and (n := s.getPath().getName()) != LATEST)
+        return sorted(n for s in fs.listStatus(where) if s.isDirectory() and (n := s.getPath().getName()) != LATEST and n[0] not in "._")
 
     def previous(self, run_date: str) -> str | None:
         return max((r for r in self.runs() if r < run_date), default=None)
@@ -82,15 +84,15 @@ class Snapshots:
             raise ValueError(f"{run_date} is not usable")
         fs, source = self._fs(f"{self.root}/{run_date}")
         _, target = self._fs(f"{self.root}/{LATEST}")
+        _, fresh = self._fs(f"{self.root}/_{LATEST}")
         jvm = self.spark.sparkContext._jvm
-        fs.delete(target, True)
-        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, True, self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(fresh, True)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, fresh, False, True, self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(target, True)  # only once its successor is whole
+        fs.rename(fresh, target)
 
     def listings(self, run_date: str) -> DataFrame:
         """Cleaned listings where there are any; else raw ones, keyed by their raw name."""
-        from tessera.functions.text import entity_key
-        from pyspark.sql import functions as F
-
         cleaned = self.read(run_date, STAGES[1], "stores_clean")
         if cleaned is not None:
             return cleaned
