@@ -17,7 +17,7 @@ BLOCK, SEGMENT = 1024, 1 << 17
 #: Share of a block's ids that its bit width must hold; the others are stored as exceptions.
 PERCENTILE = 95
 #: Words that one worker keeps encoded.
-CACHE = 1_000_000
+CACHE = 600_000
 HEADER = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("patches", "<u2")])
 SEGMENTS = "shard int, first long, n_ids long, doc_ids array<long>, doc_lens array<long>, starts binary, payload binary"
 
