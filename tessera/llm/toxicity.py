@@ -22,8 +22,6 @@ WORD = re.compile(rb"[a-z\x80-\xff]+")
 PREFIXES = range(3, 7)
 #: Bits of a feature's hash, and words whose weight one worker remembers.
 HASH_BITS, CACHE = 22, 400_000
-#: Least z-score of a feature: one that only toxic texts have needs some nine of them, so chance words don't stand in for real ones.
-CLEAR = 8.0
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
@@ -68,13 +66,17 @@ def _counted(sample: DataFrame) -> DataFrame:
     return partial.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _selected(sample: DataFrame, positives: int, negatives: int, features: int) -> np.ndarray:
-    """The ``features`` features that tell the labels apart best: z-score of the two shares, smoothed."""
+def _selected(sample: DataFrame, positives: int, negatives: int, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``features`` features that speak for the toxic label best, and their z-scores: of the two shares, smoothed.
+
+    They are ranked and never cut at a fixed z, since z grows with the number of labelled rows.
+    """
     p, q = (F.col("toxic") + 0.5) / (positives + 1), (F.col("clean") + 0.5) / (negatives + 1)
     mean = (F.col("toxic") + F.col("clean") + 1) / (positives + negatives + 2)
     z = (p - q) / F.sqrt(mean * (1 - mean) * (1 / (positives + 1) + 1 / (negatives + 1)))
-    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > CLEAR).orderBy(F.desc("z"), "feature").limit(features).collect()
-    return np.array(sorted(r["feature"] for r in best), np.int64)
+    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > 0).orderBy(F.desc("z"), "feature").limit(features).collect()
+    best.sort(key=lambda r: r["feature"])
+    return np.array([r["feature"] for r in best], np.int64), np.array([r["z"] for r in best])
 
 
 def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
@@ -154,16 +156,21 @@ def _gradient(encoded: DataFrame, weights: np.ndarray) -> np.ndarray:
 
 
 def _fit(sample: DataFrame, features: int, rounds: int, rate: float, decay: float, parts: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Chosen features and their weights, bias last. Each round sums one gradient a task."""
+    """Chosen features and their weights, bias last. Each round sums one gradient a task.
+
+    A weight's decay grows as the square of how far its feature's z-score lies below the best one, so chance
+    words stay near zero beside clear ones at any number of labels.
+    """
     seen = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not seen.get(0) or not seen.get(1):
         return None
-    chosen = _selected(sample, seen[1], seen[0], features)
+    chosen, z = _selected(sample, seen[1], seen[0], features)
+    shrink = decay * np.append((z.max(initial=0) / z) ** 2, 0)
     encoded = written(_encoded(sample, chosen).repartition(parts), "encoded").coalesce(parts)
     weights, total = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     weights[-1] = -6.0
     for _ in range(rounds):
-        gradient = _gradient(encoded, weights) + decay * np.append(weights[:-1], 0)
+        gradient = _gradient(encoded, weights) + shrink * weights
         total += gradient**2
         weights -= rate * gradient / np.sqrt(total + 1e-9)
     return chosen, weights

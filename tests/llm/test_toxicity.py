@@ -58,3 +58,14 @@ def test_awkward_rows(spark):
     assert by[101].predicted == 1 and by[102].predicted == 0 and by[3].score == by[4].score == 0
     assert [(s.start, s.end) for s in by[101].offending] == [(0, 9)]
     assert toxicity(empty(spark), some).collect() == []
+
+
+def test_few_labels(spark):
+    """Ten toxic documents are enough to learn from: no z-score reaches 8 there."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows, truth = toxicity(docs, labels).collect(), {r.doc_id: (r.toxic, r.quality) for r in labels.collect()}
+    known = [(r.predicted, *truth[r.doc_id]) for r in rows if r.doc_id in truth]
+    toxic, clean = [p for p, t, q in known if t and q], [p for p, t, _ in known if not t]
+    assert sum(toxic) >= 0.9 * len(toxic) > 0 and sum(clean) <= 0.05 * len(clean)
+    assert all(r.predicted for r in rows if r.held_out and truth.get(r.doc_id, (0, 0))[0])
+    assert any(r.offending for r in rows)
