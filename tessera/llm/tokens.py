@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import held, shared_dir
 
@@ -16,7 +17,7 @@ from tessera.llm.common import held, shared_dir
 BLOCK, SEGMENT = 1024, 1 << 17
 #: Share of a block's ids that its bit width must hold; the others are stored as exceptions.
 PERCENTILE = 95
-#: Words that one worker keeps encoded.
+#: Words that one worker keeps encoded, in two halves: the older is given up when the newer is full.
 CACHE = 600_000
 HEADER = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("patches", "<u2")])
 SEGMENTS = "shard int, first long, n_ids long, doc_ids array<long>, doc_lens array<long>, starts binary, payload binary"
@@ -89,7 +90,9 @@ class Encoder:
         for token, i in vocab.items():  # how byte-level files spell a blank and a line end
             self.begins[" "][i], self.begins["\n"][i] = token.startswith("Ġ"), token == "Ċ"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes | None] = {}  # None: its text goes to the library whole
+        # Ids of words; False: its text goes to the library whole. Words in use move from the older half to the newer.
+        self.words: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -101,26 +104,39 @@ class Encoder:
             joined = before + before.join(part)
             if joined.split() != part or any(s in joined for s in self.special):
                 for w in part:
-                    self.words[before.strip(" ") + w] = None if w.split() != [w] or any(s in w for s in self.special) else self._whole(before + w)
+                    self.words[before.strip(" ") + w] = False if w.split() != [w] or any(s in w for s in self.special) else self._whole(before + w)
                 continue
             ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.append(np.flatnonzero(self.begins[before][ids]), len(ids)) * 4
             raw, mark = ids.tobytes(), before.strip(" ")
             self.words.update((mark + w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        docs = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]  # words after a line end keep it
-        used = set().union(*docs)
-        new = used - self.words.keys()
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = used
+    def _add(self, used: set[str]) -> None:
+        """Puts words that the newer half lacks into it; where it is full, it becomes the older half first."""
+        if len(self.words) + len(used) > CACHE // 2:
+            self.older, self.words = self.words, {}
+        new = []
+        for w in used:
+            if (code := self.older.get(w)) is None:
+                new.append(w)
+            else:
+                self.words[w] = code
         self._learn([w for w in new if w[:1] != "\n"], " ")
         self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        docs = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]  # words after a line end keep it
+        coded = [list(map(self.words.get, doc)) for doc in docs]
+        gaps = [[i for i, code in enumerate(codes) if code is None] for codes in coded]
+        self._add({doc[i] for doc, own in zip(docs, gaps, strict=True) for i in own})
         out = []
-        for text, doc in zip(texts, docs, strict=True):
-            codes = [self.words[w] for w in doc]
-            out.append(self._whole(text) if None in codes else b"".join(codes)[4:])  # less the line end put before
+        for text, doc, codes, own in zip(texts, docs, coded, gaps, strict=True):
+            for i in own:
+                codes[i] = self.words[doc[i]]
+            try:
+                out.append(b"".join(codes)[4:])  # less the line end put before
+            except TypeError:
+                out.append(self._whole(text))
         return out
 
 
@@ -202,9 +218,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     rows = spark.read.schema(SEGMENTS).parquet(path)
-    sizes = rows.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # a row for each shard
-    before = sizes.alias("s").join(F.broadcast(sizes.alias("p")), F.col("p.shard") < F.col("s.shard"), "left")
-    base = before.groupBy(F.col("s.shard").alias("shard")).agg(F.coalesce(F.sum("p.n"), F.lit(0)).cast("long").alias("base"))
+    sizes = rows.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # a row for each shard, as many as a shuffle has tasks
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("base"))
     return rows.join(F.broadcast(base), "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
