@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +22,15 @@ WORD = re.compile(rb"[a-z\x80-\xff]+")
 PREFIXES = range(3, 7)
 #: Bits of a feature's hash, and words whose weight one worker remembers.
 HASH_BITS, CACHE = 22, 400_000
+#: Log odds of a sentence of which nothing is known, the mean of the bias's unit normal prior.
+PRIOR = -6.0
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
 def word_features(word: bytes) -> list[int]:
-    """Hashes of a word's beginnings, and of the whole word where it is no longer than those.
-
-    Longer words count by what they begin with, so inflected and compound forms share their weight.
-    """
+    """Hashes of a word's beginnings and of the whole word, so inflected and compound forms share some of their weight."""
     letters = word.decode("utf-8", "ignore")
-    names = ["^" + letters[:n] for n in PREFIXES if n <= len(letters)]
-    if len(letters) < PREFIXES.stop:
-        names.append("=" + letters)
+    names = ["^" + letters[:n] for n in PREFIXES if n <= len(letters)] + ["=" + letters]
     return [xxhash.xxh32_intdigest(x.encode()) >> (32 - HASH_BITS) for x in names]
 
 
@@ -67,14 +64,14 @@ def _counted(sample: DataFrame) -> DataFrame:
 
 
 def _selected(sample: DataFrame, positives: int, negatives: int, features: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``features`` features that speak for the toxic label best, and their z-scores: of the two shares, smoothed.
+    """The ``features`` features that tell the labels apart best, either way, and their z-scores: of the two shares, smoothed.
 
     They are ranked and never cut at a fixed z, since z grows with the number of labelled rows.
     """
     p, q = (F.col("toxic") + 0.5) / (positives + 1), (F.col("clean") + 0.5) / (negatives + 1)
     mean = (F.col("toxic") + F.col("clean") + 1) / (positives + negatives + 2)
     z = (p - q) / F.sqrt(mean * (1 - mean) * (1 / (positives + 1) + 1 / (negatives + 1)))
-    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > 0).orderBy(F.desc("z"), "feature").limit(features).collect()
+    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") != 0).orderBy(F.desc(F.abs("z")), "feature").limit(features).collect()
     best.sort(key=lambda r: r["feature"])
     return np.array([r["feature"] for r in best], np.int64), np.array([r["z"] for r in best])
 
@@ -131,14 +128,16 @@ def noisy_or_gradient(weights: np.ndarray, y: np.ndarray, plain: np.ndarray, doc
     loss = -np.where(y == 1, np.log(any_toxic), clean).sum()
     factor = np.where(y == 1, -np.exp(clean) / any_toxic, 1.0)
     dz = factor[doc] * p
-    gradient = np.bincount(cols, dz[sent], len(weights))
+    gradient = np.bincount(cols, dz[sent], len(weights)).astype(float)  # without entries bincount counts in integers
     gradient[-1] = dz.sum() + (factor * plain).sum() * p0
     return float(loss), gradient
 
 
-def _gradient(encoded: DataFrame, weights: np.ndarray) -> np.ndarray:
+def _loss(encoded: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
+    """noisy_or_gradient over all of ``encoded``: each task sends one loss and one gradient."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(weights))
+        total = np.zeros(1 + len(weights))
         for batch in batches:
             sizes, starts, docs = [], [], []
             for i, at in enumerate(batch.column(2).to_pylist()):
@@ -149,31 +148,66 @@ def _gradient(encoded: DataFrame, weights: np.ndarray) -> np.ndarray:
             flat = np.array(batch.column(2).flatten().to_numpy(), np.int64) + np.repeat(starts, sizes).astype(np.int64)
             cols = np.array(batch.column(3).flatten().to_numpy(), np.int64)
             y, plain = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            total += noisy_or_gradient(weights, y, plain, np.array(docs, np.int64), flat, cols)[1]
+            loss, gradient = noisy_or_gradient(weights, y, plain, np.array(docs, np.int64), flat, cols)
+            total += np.append(loss, gradient)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
 
-    return np.sum([np.frombuffer(r["g"]) for r in encoded.mapInArrow(run, "g binary").collect()], axis=0)
+    total = np.sum([np.frombuffer(r["g"]) for r in encoded.mapInArrow(run, "g binary").collect()], axis=0)
+    return float(total[0]), total[1:]
 
 
-def _fit(sample: DataFrame, features: int, rounds: int, rate: float, decay: float, parts: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Chosen features and their weights, bias last. Each round sums one gradient a task.
+def minimised(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, rounds: int, tolerance: float, memory: int = 10) -> np.ndarray:
+    """Where ``f``, which gives a value and its gradient, is least near ``x``: limited-memory quasi-Newton steps.
+
+    A step is halved until it lowers ``f`` enough. Rounds end when the gradient is ``tolerance`` of its first
+    length or no step lowers ``f`` any more; ``rounds`` of them without that are an error.
+    """
+    value, g = f(x)
+    least = tolerance * np.linalg.norm(g)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        if np.linalg.norm(g) <= least:
+            return x
+        q, used = g.copy(), []
+        for s, y, r in reversed(past):
+            used.append(r * (s @ q))
+            q -= used[-1] * y
+        q *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.linalg.norm(g))
+        for (s, y, r), a in zip(past, reversed(used), strict=True):
+            q += (a - r * (y @ q)) * s
+        step, slope = 1.0, g @ q
+        while (new := f(x - step * q))[0] > value - 1e-4 * step * slope:
+            step /= 2
+            if step < 1e-6:
+                return x
+        s, y = -step * q, new[1] - g
+        if s @ y > 1e-10 * (y @ y):
+            past = [*past[1 - memory :], (s, y, 1 / (s @ y))]
+        x, (value, g) = x + s, new
+    raise RuntimeError(f"no minimum in {rounds} rounds")
+
+
+def _fit(sample: DataFrame, features: int, rounds: int, decay: float, tolerance: float, parts: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Chosen features and their weights, bias last.
 
     A weight's decay grows as the square of how far its feature's z-score lies below the best one, so chance
-    words stay near zero beside clear ones at any number of labels.
+    words stay near zero beside clear ones at any number of labels. The bias decays towards PRIOR, or the chance
+    words of a small sample would explain all of its toxic documents and push the bias out of reach of others.
     """
     seen = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not seen.get(0) or not seen.get(1):
         return None
     chosen, z = _selected(sample, seen[1], seen[0], features)
-    shrink = decay * np.append((z.max(initial=0) / z) ** 2, 0)
+    scale = np.append(np.abs(z) / np.abs(z).max(initial=0), 1.0)  # in which all weights decay alike
+    start = np.append(np.zeros(len(chosen)), PRIOR)
+    even = np.append(np.full(len(chosen), decay), 1.0)
     encoded = written(_encoded(sample, chosen).repartition(parts), "encoded").coalesce(parts)
-    weights, total = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
-    weights[-1] = -6.0
-    for _ in range(rounds):
-        gradient = _gradient(encoded, weights) + shrink * weights
-        total += gradient**2
-        weights -= rate * gradient / np.sqrt(total + 1e-9)
-    return chosen, weights
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        value, gradient = _loss(encoded, x * scale)
+        return value + (even * (x - start) ** 2).sum() / 2, gradient * scale + even * (x - start)
+
+    return chosen, minimised(loss, start, rounds, tolerance) * scale
 
 
 class Model:
@@ -217,9 +251,9 @@ def fit(
     held_fold: int = 0,
     most_labelled: int = 20_000,
     features: int = 4096,
-    rounds: int = 32,
-    rate: float = 1.0,
+    rounds: int = 200,
     decay: float = 0.05,
+    tolerance: float = 1e-3,
     parts: int = 6,
 ) -> Model:
     """A model of document labels outside the held-out fold.
@@ -233,8 +267,8 @@ def fit(
     share = min(1.0, most_labelled / max(1, known.count()))
     few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))), "labels")  # most_labelled rows, give or take chance
     rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
-    sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y").dropDuplicates(["text"]), "sample")  # copies of a text tell nothing new
-    return Model(_fit(sample, features, rounds, rate, decay, parts))
+    sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
+    return Model(_fit(sample, features, rounds, decay, tolerance, parts))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, **options) -> DataFrame:

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from cases import awkward, empty
 
-from tessera.llm.toxicity import noisy_or_gradient, sentences, toxicity
+from tessera.llm.toxicity import minimised, noisy_or_gradient, sentences, toxicity
 
 DATA = "/root/testdata/sf0.1"
 
@@ -20,6 +20,28 @@ def test_gradient_is_the_slope():
         assert abs(slope - gradient[i]) < 1e-4
 
 
+def test_gradient_without_entries():
+    none = np.array([], np.int64)
+    loss, gradient = noisy_or_gradient(np.array([0.3, -1.0]), np.array([1, 0]), np.array([2, 3]), none, none, none)
+    p = 1 / (1 + np.exp(1.0))
+    assert gradient.dtype == float and gradient[0] == 0
+    assert np.isclose(loss, -np.log(1 - (1 - p) ** 2) - 3 * np.log(1 - p))
+    assert np.isclose(gradient[1], 3 * p - 2 * p * (1 - p) ** 2 / (1 - (1 - p) ** 2))
+
+
+def test_minimum():
+    a = np.diag([1.0, 30.0, 400.0])
+    x = minimised(lambda x: ((x - 2) @ a @ (x - 2), 2 * a @ (x - 2)), np.zeros(3), 60, 1e-8)
+    assert np.allclose(x, 2, atol=1e-6)
+
+
+def test_fits_agree(spark):
+    """One model from the same rows, however they are dealt to tasks."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    one, two = ({r.doc_id: r.score for r in toxicity(docs.repartition(n), labels).collect()} for n in (1, 7))
+    assert all(abs(one[i] - two[i]) < 1e-3 for i in one)
+
+
 def test_sentences():
     text = "One two. Trois é! \n4 5? six".encode()
     assert [(text[a:b], w) for a, b, w in sentences(text)] == [
@@ -42,6 +64,8 @@ def test_held_out_documents(spark):
     clean = [p for p, t, _ in held if not t]
     assert sum(toxic) / len(toxic) > 0.93
     assert sum(clean) / len(clean) < 0.01
+    junk = [p for p, t, q in held if t and not q]  # few of them have a toxic word left whole
+    assert sum(junk) / len(junk) > 0.25
     by = {r.doc_id: r.text for r in docs.collect()}
     found = [by[r.doc_id][s.start : s.end] for r in rows for s in r.offending]
     assert found and sum("idiot" in s.lower() for s in found) > 5
