@@ -23,8 +23,9 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SCHEMES = ("http://", "https://", "ftp://")
 CUES = ("account", "acct", "iban", "ssn", "passport", "token", "secret", "api_key", "apikey", "password")
-URL_REST = re.compile(r"(?:[A-Za-z0-9._%+:~-]{1,64}@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?:[/?#][^\s<>\"'|]*)?")
-ACCOUNT = re.compile(r"(?:[ ](?:no\.?|number|id|key))?[ ]?[:=#]?[ ]?[\"']?([A-Za-z0-9](?:[ -]?[A-Za-z0-9]){7,63})(?![A-Za-z0-9])")
+URL_REST = re.compile(r"(?:[A-Za-z0-9._%+:~-]+@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?:[/?#][^\s<>\"'|]*)?")
+BEFORE_ACCOUNT = re.compile(r"(?:[ ](?:no\.?|number|id|key))?[ ]?[:=#]?[ ]?[\"']?", re.I)
+ACCOUNT = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./+=-]*(?:[ ](?=[A-Za-z-]*[0-9])[A-Za-z0-9-]+)*")
 
 
 def luhn(digits: str) -> bool:
@@ -37,7 +38,7 @@ def luhn(digits: str) -> bool:
 
 @cache
 def anchors():
-    """An automaton whose values are (what was found, length)."""
+    """An automaton over texts in lower case whose values are (what was found, length)."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
@@ -46,15 +47,31 @@ def anchors():
     found.add_word("@", ("at", 1))
     found.add_word("+", ("plus", 1))
     for s in SCHEMES:
-        for spelled in (s, s.upper(), s.capitalize()):
-            found.add_word(spelled, ("scheme", len(s)))
+        found.add_word(s, ("scheme", len(s)))
     for c in CUES:
-        for spelled in (c, c.upper(), c.capitalize()):
-            found.add_word(spelled, ("cue", len(c)))
+        found.add_word(c, ("cue", len(c)))
     found.make_automaton()
     return found
 
 
+def folded(text: str) -> str:
+    """A-Z in lower case; every other code point stays, so places do as well."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+def account(text: str, at: int) -> tuple[int, int, bool]:
+    """Start and end of the identifier after a cue that ends at ``at``, and whether it is one.
+
+    It is a run of letters, digits and the signs that keys use, of any length; parts that follow after a single
+    blank belong to it while they hold a digit. Eight letters or digits and four digits make it valid.
+    """
+    start = BEFORE_ACCOUNT.match(text, at).end()
+    if not (m := ACCOUNT.match(text, start)):
+        return start, start, False
+    value = m[0].rstrip("._/+-")
+    return start, start + len(value), sum(map(str.isalnum, value)) >= 8 and sum(c in DIGITS for c in value) >= 4
+
+
 def spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind as KINDS lists them and then by start.
 
@@ -69,7 +86,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         if valid:
             out[kind].append((kind, start, end))
 
-    for last, (what, size) in anchors().iter(text):
+    for last, (what, size) in anchors().iter(folded(text)):
         at = last - size + 1
         if what == "digit":
             if at and text[at - 1] in DIGITS:
@@ -92,9 +109,10 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         elif what == "scheme":
             if at >= done["url"] and not (at and text[at - 1].isalnum()) and (m := URL_REST.match(text, last + 1)):
                 keep("url", at, last + 1 + len(m[0].rstrip(".,;:!?)]}")), True)
-        elif at >= done["account"] and not (at and text[at - 1].isalnum()) and (m := ACCOUNT.match(text, last + 1)):
-            value = m[1]
-            keep("account", m.start(1), m.end(1), sum(c in DIGITS for c in value) >= 4)
+        elif at >= done["account"] and not (at and text[at - 1].isalnum()):
+            start, end, valid = account(text, last + 1)
+            if end > start:
+                keep("account", start, end, valid)
     return [s for k in KINDS for s in out[k]]
 
 
@@ -121,7 +139,11 @@ def spelled(found: Column) -> Column:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with every span replaced by its kind in angle brackets; overlapping spans become one."""
+    """(doc_id, text) with every span replaced by its kind in angle brackets; overlapping spans become one.
+
+    Null texts stay null and empty ones empty. Repeated rows stay; other columns are left out; an empty table
+    gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

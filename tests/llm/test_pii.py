@@ -54,6 +54,19 @@ def test_added_spans_leave_base_ones():
     assert {"url", "account"} <= {s[0] for s in spans(text)}
 
 
+def test_accounts_of_any_length_and_spelling():
+    found = lambda text: [text[a:b] for k, a, b in spans(text) if k == "account"]
+    long = "a1B2" * 500
+    assert found(f"token: {long} end") == [long]
+    assert found("apiKey=sk_live_51H8xyz99.AbC, next") == ["sk_live_51H8xyz99.AbC"]
+    assert found("PassPort No. X1234567.") == ["X1234567"]
+    assert found("iban: DE89 3704 0044 0532 0130 00 and more words") == ["DE89 3704 0044 0532 0130 00"]
+    assert found("SSN 123-45-6789 of it") == ["123-45-6789"]
+    assert found("the token of my account is gone, password: swordfish") == []
+    assert [k for k, *_ in spans("HTTPS://" + "u" * 200 + "@host.example.org/x")][-1] == "url"
+    assert found("İİ İ token: 12345678") == ["12345678"]
+
+
 def test_rows(spark):
     df = awkward(spark, [(20, "😀 mail a@b.co and 10.0.0.1"), (21, "x" * 50_000 + " +1 (017) 555-7713")])
     got = {(r.doc_id, tuple((s.kind, s.start, s.end) for s in r.spans)) for r in personal_data(df).collect()}
