@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.llm.common import lower_ascii, written
 
@@ -15,8 +14,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical after lower-casing A-Z; the largest id of a group stays. A Misra-Gries
     summary (``freqItems``) names at most ``1 / support`` digests and misses none that holds more than
     ``support`` of the rows. The named digests are counted exactly, and those results, at most
-    ``1 / support`` rows, are broadcast: rows of a hot group never meet in one task. All other groups are
-    smaller than that share and take an ordinary shuffle of (id, digest).
+    ``1 / support`` rows, are broadcast: rows of a hot group never meet in one task. All other digests take an
+    ordinary shuffle: they are counted after partial sums on the map side and joined back by a plain
+    equi-join, which adaptive execution can split where a group below the share is still large.
 
     Returns doc_id, keep_id, group_size, kept, text_sha256. Null and empty texts form one group. A null id
     never outranks another; rows that repeat both id and text are all kept if their id is. Other columns,
@@ -35,10 +35,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     split = digests.join(F.broadcast(heavy), "text_sha256", "left")
     hot = split.filter(F.col("group_size").isNotNull())
-    group = Window.partitionBy("text_sha256")
-    rest = split.filter(F.col("group_size").isNull()).withColumns(
-        {"keep_id": F.max("doc_id").over(group), "group_size": F.count(F.lit(1)).over(group)}
-    )
+    rest = split.filter(F.col("group_size").isNull()).select("doc_id", "text_sha256")
+    counted = rest.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    rest = rest.join(counted, "text_sha256")
     return hot.unionByName(rest).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
