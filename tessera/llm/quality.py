@@ -19,7 +19,7 @@ HIGH = bytes(range(128, 256))
 MARKED = re.compile(rb"[^A-Za-z0-9\x80-\xff](?:\s|\Z)")
 #: Steps between -0.5 and 1.5 in which raw scores are gathered for calibration.
 GRID = 2000
-#: Tasks that sum the normal equations; each sends one matrix to the driver.
+#: Tasks that add up the tasks' normal equations; each sends one matrix to the driver.
 PARTS = 12
 
 
@@ -100,13 +100,23 @@ def _fit(train: DataFrame, features: int, width: float, ridge: float, seed: int)
     }
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((features + 1, features + 2))
+        total = None
         for batch in batches:
             z = fourier(_matrix(batch.column(0)), model)
-            total += z.T @ np.column_stack([z, batch.column(1).to_numpy(zero_copy_only=False)])
+            part = z.T @ np.column_stack([z, batch.column(1).to_numpy(zero_copy_only=False)])
+            total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((features + 1) * (features + 2))
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                total += np.frombuffer(part)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    parts = train.select("x", "y").repartition(PARTS).mapInArrow(sums, "sums binary").collect()
+    # every task sums its own rows, PARTS tasks their sums
+    parts = train.select("x", "y").mapInArrow(sums, "sums binary").repartition(PARTS).mapInArrow(added, "sums binary").collect()
     total = np.sum([np.frombuffer(r["sums"]).reshape(features + 1, -1) for r in parts], axis=0)
     penalty = ridge * first["n"] / features * np.eye(features + 1)
     penalty[-1, -1] = 0
@@ -146,8 +156,8 @@ def quality_scores(
     """(doc_id, held_out, score, predicted) for each row of ``docs``.
 
     Learns from labelled rows outside the held-out fold only, and sees nothing but statistics of the text.
-    Every labelled row counts: tasks sum their parts of the normal equations, the driver adds ``PARTS``
-    matrices of ``features``² numbers and solves them; raw scores are gathered on a fixed grid and made
+    Every labelled row counts: each task sums its part of the normal equations, ``PARTS`` tasks add those up,
+    the driver adds the ``PARTS`` matrices of ``features``² numbers and solves them; raw scores are gathered on a fixed grid and made
     monotone. Null and empty texts get the score of all-zero statistics. Of several labels for an id the
     largest counts; null labels and ids count for nothing. Without any label all scores are 0.5. Repeated
     rows stay; other columns are ignored; an empty table gives an empty result.
