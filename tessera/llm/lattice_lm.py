@@ -11,6 +11,7 @@ from operator import mul
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from tessera.llm.common import fold, held, written
 
 #: Words counted before a task hands its counts on, words whose log probability one worker remembers.
 FLUSH, CACHE = 200_000, 800_000
-#: Words whose counts every task gets, and the longest of them: at most HEADS * (LONGEST + 8) bytes are broadcast.
+#: Words whose counts every task gets, and the longest that stand for themselves; longer ones go by their digest, so at most
+#: HEADS * (LONGEST + 8) bytes are broadcast.
 HEADS, LONGEST = 100_000, 64
 MARK = "▁"
 #: Added to every piece's count.
@@ -29,6 +31,19 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()  # of bytes: A-Z only, and the six ASCII blanks only
 
 
+def head_key(word: bytes) -> bytes:
+    """What a frequent word goes by: itself, or a digest of it that is longer than any such word."""
+    return word if len(word) <= LONGEST else b"".join(xxhash.xxh3_128_digest(word, seed) for seed in range(5))
+
+
+def _head_keys(counts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(map(head_key, batch.column(0).to_pylist()), pa.binary()), batch.column(1)], names=["key", "n"])
+
+    return counts.select("word", "n").mapInArrow(run, "key binary, n long")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
@@ -184,7 +199,7 @@ def lm_scores(
 
     The public file ranks its pieces but has no probabilities for them, so their scores are their shares in
     its own segmentation of all training words. Word counts live in a shuffled table. Its most frequent
-    words, at most ``heads`` of at most LONGEST bytes, are broadcast; the other words of each text are joined
+    words, at most ``heads``, are broadcast, long ones by a digest; the other words of each text are joined
     to it by shuffle, so every token gets its exact count.
 
     Null and empty texts hold their end only. Without training rows all counts are zero. Repeated rows stay;
@@ -202,14 +217,14 @@ def lm_scores(
     n_train, v, ends = total["n"], total["v"], total["ends"]
     lattice = Lattice(vocabulary, piece_counts(counts, vocabulary), ends)
 
-    short = counts.filter((F.length("word") > 0) & (F.length("word") <= LONGEST))
-    kinds = short.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).collect()
+    words = counts.filter(F.length("word") > 0)
+    kinds = words.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).collect()
     room, least = heads, None
     for r in kinds:
         if (room := room - r["k"]) < 0:
             break
         least = r["n"]
-    known = {bytes(r["word"]): math.log10(r["n"] + 1) for r in short.filter(F.col("n") >= least).collect()} if least else {}
+    known = {bytes(r["key"]): math.log10(r["n"] + 1) for r in _head_keys(words.filter(F.col("n") >= least)).collect()} if least else {}
     shared, key = spark.sparkContext.broadcast((known, lattice)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +234,9 @@ def lm_scores(
             for text in batch.column(2).to_pylist():
                 own = Counter(words_of(text))
                 score = sum(map(mul, model.log_probabilities(own), own.values())) + model.end
-                base = sum(map(mul, [common.get(w, 0.0) for w in own], own.values()))
-                rare = [w for w in own if w not in common]
+                keys = list(map(head_key, own)) if max(map(len, own), default=0) > LONGEST else list(own)
+                base = sum(map(mul, [common.get(k, 0.0) for k in keys], own.values()))
+                rare = [w for w, k in zip(own, keys, strict=True) if k not in common]
                 times = [own[w] for w in rare]
                 n = own.total()
                 for col, value in zip(cols, (n + 1, n - sum(times), base, score / math.log(10), rare, times), strict=True):
