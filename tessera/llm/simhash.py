@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,19 +22,28 @@ CHUNK = 1 << 16
 RUNS = (range(0, 21), range(21, 43), range(43, 64))
 
 
-def fingerprint(text: bytes, words: int, seed: int) -> int:
-    """Bit-wise majority of the XXH64 of every shingle of ``words`` words; 0 where there is no word."""
+def shingle_hashes(text: bytes, words: int, seed: int) -> Iterator[np.ndarray]:
+    """The XXH64 of every shingle of ``words`` words, in parts; of the whole sequence where there are fewer words."""
     found = text.lower().split()  # of bytes: A-Z only, and the six ASCII blanks only
-    if not found:
-        return 0
     size = min(words, len(found))
-    n, ones = len(found) - size + 1, np.zeros(BITS, np.int64)
+    n = len(found) - size + 1 if found else 0
     for at in range(0, n, CHUNK):
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(found[i : i + size]), seed) for i in range(at, min(n, at + CHUNK))], "<u8")
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(found[i : i + size]), seed) for i in range(at, min(n, at + CHUNK))], "<u8")
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of a text: bits that more than half of its hashes have; 0 where there is none."""
+    n, ones = 0, np.zeros(BITS, np.int64)
+    for hashes in parts:
+        n += len(hashes)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: bytes, words: int, seed: int) -> int:
+    return majority(shingle_hashes(text, words, seed))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) for each row, fp as a signed long; null and empty texts have fingerprint 0."""
 
@@ -61,7 +70,8 @@ def _with_partner(fps: DataFrame) -> DataFrame:
     """Those fingerprints that may have another within three bits; none with such a partner is missing.
 
     One of three runs of bits holds a third of the differences or more. Without that run at most two are
-    left, so the balls of radius one about what is left meet: 132 variants each.
+    left, so the balls of radius one about what is left meet: 132 variants each. Fingerprints are distinct,
+    so those that share a variant differ in one run and two more bits at most, whatever the corpus holds.
     """
     pairs = []
     for run in RUNS:
@@ -83,7 +93,8 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
 
     Every fingerprint emits its ball of radius ``radius // 2`` and, of two that differ in parity, the odd one
     also the shell beyond it. Those that share a variant and are in its inner ball lie within ``radius`` of
-    all others there, so each links to the least of them: as many rows as members, never all pairs.
+    all others there, so each links to the least of them: as many rows as members, never all pairs. A variant
+    has at most the 2,081 distinct fingerprints within two bits of it, so none is hot.
     """
     if not 1 <= radius <= 3:
         raise ValueError("radius must be 1, 2 or 3")
@@ -108,15 +119,23 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3, seed: int = 42, similarity: float | None = None
+) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of ``docs``.
 
     Fingerprints link at ``radius`` or fewer differing bits; component_id is the smallest doc_id that links
     reach, the row's own included. Only distinct fingerprints are compared, so copies of a text cost one
-    row. Null and empty texts have fingerprint zero and link like any other. Repeated rows stay repeated; a
-    null id never becomes a component's id unless it is alone. Other columns are ignored. An empty table
-    gives an empty result.
+    row. With ``similarity``, texts link where the Jaccard similarity of their shingle sets is that or more:
+    links of fingerprints are verified, and those beyond the radius completed exactly (see similar.py). Null
+    and empty texts have fingerprint zero and link like any other. Repeated rows stay repeated; a null id
+    never becomes a component's id unless it is alone. Other columns are ignored. An empty table gives an
+    empty result.
     """
+    if similarity is not None:
+        from tessera.llm.similar import similar_rows
+
+        return similar_rows(docs, id_col, text_col, words, radius, seed, similarity).select("doc_id", spelled("fp"), F.col("first.doc_id").alias("component_id"))
     prints = written(fingerprints(docs, id_col, text_col, words, seed), "prints")
     groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
     roots = connected_components(links(groups.select("fp"), radius)).withColumnRenamed("id", "fp")
@@ -124,4 +143,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     joined = member.join(least, "root").select("fp", "component_id")
     known = written(groups.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "components")
-    return prints.join(known, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(known, "fp").select("doc_id", spelled("fp"), "component_id")
+
+
+def spelled(fp: str) -> Column:
+    return F.lpad(F.lower(F.hex(fp)), 16, "0").alias("fingerprint")
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, all columns, less those that another row of their group of near duplicates stands for.
+
+    Groups are those of near_duplicates with ``similarity``. The row with the smallest id stays, of several with
+    that id the one whose text hashes least; null ids come last. Rows that repeat both id and text are told
+    apart by nothing and stay together. Null and empty texts form one group. An empty table stays empty.
+    """
+    from tessera.llm.similar import similar_rows, text_key
+
+    marked = similar_rows(docs, id_col, text_col, words, radius, seed, similarity)
+    surplus = marked.filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")))).select(F.col("doc_id").alias("id"), "key").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("own_id"), text_key(F.col(text_col)).alias("own_key"))
+    same = (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("id"))
+    return rows.join(surplus.hint("shuffle_hash"), same, "left_anti").select("row.*")

@@ -1,4 +1,9 @@
-"""Near duplicates by Jaccard similarity: an exact prefix-filter join over shingle sets."""
+"""Exact links of the SimHash operator where it is asked for a similarity of shingle sets.
+
+Two texts that share four fifths of their shingles differ in some ten bits of 64, beyond any ball that can be hashed. So
+fingerprints link what lies close, their links are verified on the sets themselves, and a prefix-filter join
+finds the similar pairs between groups that the fingerprints left apart. No similar pair is missed.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +13,29 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 from tessera.llm.components import connected_components
+from tessera.llm.simhash import links, majority, shingle_hashes
 
 #: Documents whose shingles tell which are common, and the most that are kept; they set an order only, never a result.
 SAMPLE, COMMON = 20_000, 200_000
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells texts apart; null is not the empty text here, though both have no shingle."""
+    return F.xxhash64(text.cast("binary"))
+
+
+def _set(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, "<u8"), *parts]).view("<i8"))
+
+
 def shingles(text: bytes, words: int, seed: int) -> np.ndarray:
-    """Sorted distinct XXH64 of every shingle of ``words`` words; of all words where there are fewer."""
-    found = text.lower().split()  # of bytes: A-Z only, and the six ASCII blanks only
-    size = min(words, len(found))
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(found[i : i + size]), seed) for i in range(len(found) - size + 1) if size], "<u8").view("<i8"))
+    """Sorted distinct hashes of every shingle."""
+    return _set(list(shingle_hashes(text, words, seed)))
 
 
 def _common(rows: DataFrame, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +54,7 @@ def _common(rows: DataFrame, words: int, seed: int) -> tuple[np.ndarray, np.ndar
 
 
 def _sets(rows: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
-    """(doc_id, key, set, size, prefix): prefix lists the rarest shingles, one of which any similar set has in its own."""
+    """(doc_id, key, fp, set, size, prefix): prefix lists the rarest shingles, one of which any similar set has in its own."""
     common, often = _common(rows, words, seed)
 
     def prefix(own: np.ndarray) -> np.ndarray:
@@ -53,14 +66,15 @@ def _sets(rows: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t or b"", words, seed) for t in batch.column(2).to_pylist()]
+            parts = [list(shingle_hashes(t or b"", words, seed)) for t in batch.column(2).to_pylist()]
+            sets = [_set(p) for p in parts]
             ids = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids), pa.array([len(s) for s in sets], pa.int64()), pa.array([prefix(s) for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "key", "set", "size", "prefix"],
+                [batch.column(0), batch.column(1), pa.array(map(majority, parts), pa.int64()), pa.array(ids), pa.array([len(s) for s in sets], pa.int64()), pa.array([prefix(s) for s in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "key", "fp", "set", "size", "prefix"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, key long, set long, size long, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, key long, fp long, set long, size long, prefix array<long>")
 
 
 def _least(share: Fraction, size: int) -> int:
@@ -68,58 +82,69 @@ def _least(share: Fraction, size: int) -> int:
     return -(-share.numerator * size // share.denominator)
 
 
-def _candidates(groups: DataFrame, share: Fraction) -> DataFrame:
-    """(a, b): pairs of sets that may be similar; none that is similar is missing.
+def _close(groups: DataFrame, radius: int) -> DataFrame:
+    """(a, b): sets whose fingerprints meet, each with the least of its own fingerprint and those with one another."""
+    hubs = written(groups.groupBy("fp").agg(F.min("set").alias("hub")), "hubs")
+    own = groups.select("fp", "set").join(hubs, "fp").filter(F.col("set") != F.col("hub")).select(F.col("set").alias("a"), F.col("hub").alias("b"))
+    met = links(hubs.select("fp"), radius)
+    end = lambda s: hubs.select(F.col("fp").alias(s), F.col("hub").alias(f"hub_{s}"))
+    return own.unionByName(met.join(end("a"), "a").join(end("b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b")))
+
+
+def _apart(groups: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): pairs of sets of different ``near`` that may be similar; none that is similar is missing.
 
     Two prefixes share a shingle if their sets are similar, since both list shingles in one order. Of all
     shared shingles, those outside both prefixes' common part lie beyond the prefix that ends first.
     """
     up, down = F.lit(share.numerator), F.lit(share.denominator)
     side = lambda s: groups.select(
-        F.col("set").alias(s), F.col("size").alias(f"n_{s}"), (F.col("size") - F.size("prefix")).alias(f"rest_{s}"), F.explode("prefix").alias("shingle")
+        F.col("set").alias(s), F.col("near").alias(f"near_{s}"), F.col("size").alias(f"n_{s}"), (F.col("size") - F.size("prefix")).alias(f"rest_{s}"), F.explode("prefix").alias("shingle")
     )
-    close = (F.col("a") < F.col("b")) & (F.col("n_a") * down >= F.col("n_b") * up) & (F.col("n_b") * down >= F.col("n_a") * up)
-    shared = side("a").join(side("b"), "shingle").filter(close).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
+    may = (F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b")) & (F.col("n_a") * down >= F.col("n_b") * up) & (F.col("n_b") * down >= F.col("n_a") * up)
+    shared = side("a").join(side("b"), "shingle").filter(may).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
     most = F.col("n") + F.greatest("rest_a", "rest_b")
-    return shared.filter(most * (up + down) >= (F.col("n_a") + F.col("n_b")) * up).select("a", "b", "n_a", "n_b")
+    return shared.filter(most * (up + down) >= (F.col("n_a") + F.col("n_b")) * up).select("a", "b")
 
 
-def _links(rows: DataFrame, groups: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
-    """Pairs (a, b) of sets whose Jaccard similarity is ``share`` or more, counted over all shingles of both."""
+def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
+    """Those pairs (a, b) whose Jaccard similarity is ``share`` or more, counted over all shingles of both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t or b"", words, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["set", "all"])
 
-    pairs = written(_candidates(groups, share), "candidates")
+    pairs = written(candidates, "candidates")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
     wanted = groups.join(ends, "set", "left_semi").select("key", "set")
     texts = rows.select("key", "text").join(wanted, "key").select("set", "text").mapInArrow(run, "set long, all array<long>")
     full = written(texts.groupBy("set").agg(F.any_value("all").alias("all")), "full")
     both = pairs.join(full.withColumnsRenamed({"set": "a", "all": "all_a"}), "a").join(full.withColumnsRenamed({"set": "b", "all": "all_b"}), "b")
     shared = F.size(F.array_intersect("all_a", "all_b"))
-    return both.filter(shared * share.denominator >= (F.col("n_a") + F.col("n_b") - shared) * share.numerator).select("a", "b")
+    return written(both.filter(shared * share.denominator >= (F.size("all_a") + F.size("all_b") - shared) * share.numerator).select("a", "b"), "links")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
-    """(doc_id, component_id) for each row of ``docs``.
+def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int, seed: int, similarity: float) -> DataFrame:
+    """(doc_id, key, fp, first) for each row of ``docs``; first is the struct (doc_id, key) of its component's first row.
 
     Texts link where the Jaccard similarity of their sets of ``words``-word shingles is ``similarity`` or more; no
-    such pair is missed and none below it links. Words are told apart by ASCII blanks, A-Z in lower case.
-    component_id is the smallest doc_id that links reach, the row's own included. Texts without a word, null
-    and empty ones too, are copies of each other. Repeated rows stay repeated; a null id never becomes a
-    component's id unless it is alone. Other columns are ignored. An empty table gives an empty result.
+    such pair is missed and none below it links. Pairs within a group that verified fingerprint links already
+    join are never listed. First is the row of the smallest id, null ids last, then of the least key.
     """
     share = Fraction(str(similarity))
     if not 0 < share <= 1:
         raise ValueError("similarity must be above 0 and at most 1")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), text_key(F.col(text_col)).alias("key"))
     sets = written(_sets(rows.select("doc_id", "key", "text"), words, seed, share), "sets")
-    grouped = sets.groupBy("set").agg(F.min("doc_id").alias("least"), F.any_value(F.struct("key", "size", "prefix")).alias("one"))
-    groups = written(grouped.select("set", "least", "one.*"), "groups")
-    roots = connected_components(_links(rows, groups, words, seed, share)).withColumnRenamed("id", "set")
-    member = written(groups.select("set", "least").join(roots, "set"), "members")
-    joined = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("set", "component_id")
-    known = groups.join(joined, "set", "left").select("set", F.coalesce("component_id", "least").alias("component_id"))
-    return sets.select("doc_id", "set").join(written(known, "components"), "set").select("doc_id", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    grouped = sets.groupBy("set").agg(F.min(order).alias("first"), F.any_value(F.struct("key", "fp", "size", "prefix")).alias("one"))
+    groups = written(grouped.select("set", "first", "one.*"), "groups")
+    tight = _verified(rows, groups, _close(groups, radius), words, seed, share)
+    near = connected_components(tight).select(F.col("id").alias("set"), F.col("root").alias("near"))
+    marked = written(groups.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "marked")
+    both = tight.unionByName(_verified(rows, groups, _apart(marked, share), words, seed, share))
+    member = written(groups.select("set", "first").join(connected_components(both).withColumnRenamed("id", "set"), "set"), "members")
+    joined = member.join(member.groupBy("root").agg(F.min("first").alias("least")), "root").select("set", "least")
+    known = written(groups.join(joined, "set", "left").select("set", F.coalesce("least", "first").alias("first")), "components")
+    return sets.select("doc_id", "key", "fp", "set").join(known, "set").select("doc_id", "key", "fp", F.struct("first.doc_id", "first.key").alias("first"))

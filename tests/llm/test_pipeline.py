@@ -4,13 +4,13 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
+from test_similar import components, plain_set
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tessera.llm.decontamination import contaminated
 from tessera.llm.mixing import mixing_rates
 from tessera.llm.queries import quality_domains
-from tessera.llm.simhash import near_duplicates
 from tessera.llm.toxicity import toxicity
 
 DATA = "/root/testdata/sf0.001"
@@ -32,7 +32,7 @@ def test_stages(spark, tmp_path):
     _, before, after = seen[0]
     assert ids(after) == {r.doc_id for r in toxicity(before, labels).collect() if not r.predicted}
     _, before, after = seen[1]
-    assert ids(after) == {r.component_id for r in near_duplicates(before).collect()}
+    assert ids(after) == set(components({r.doc_id: plain_set(r.text) for r in before.collect()}).values())  # five words, 0.8, all pairs
     _, before, after = seen[2]
     assert ids(after) == ids(before) - ids(contaminated(before, bench))
     _, before, after = seen[3]

@@ -1,7 +1,11 @@
 import corpus_pipeline
 from cases import awkward, empty
 
-from tessera.llm.similar import similar_documents
+from tessera.llm.simhash import near_duplicates, without_near_duplicates
+
+
+def similar_documents(df):
+    return near_duplicates(df, words=5, similarity=0.8)
 
 
 def plain_set(text):
@@ -69,3 +73,23 @@ def test_whole_table(spark):
 
 def test_empty(spark):
     assert similar_documents(empty(spark)).collect() == []
+
+
+def test_large_groups_of_near_copies(spark):
+    """Hundreds of texts that differ in a word each: groups of close fingerprints, and those beyond them."""
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, edited(base, {i})) for i in range(150)] + [(1000 + i, edited(base, {i, i + 100, i + 200})) for i in range(40)]
+    df = spark.createDataFrame([*rows, (5000, "something else altogether in here")], "doc_id long, text string")
+    sets = {r.doc_id: plain_set(r.text) for r in df.collect()}
+    assert {r.doc_id: r.component_id for r in similar_documents(df).collect()} == components(sets)
+
+
+def test_rows_that_stay(spark):
+    df = awkward(spark, [(3, "an id that another row has as well"), (9, "no id at all"), (None, "this one is alone here")])
+    left = [(r.doc_id, r.text) for r in without_near_duplicates(df).collect()]
+    assert without_near_duplicates(df).columns == df.columns
+    assert (3, "an id that another row has as well") in left and (None, "this one is alone here") in left
+    assert (9, "no id at all") in left and (None, "no id at all") not in left  # ids come before none
+    assert left.count((7, "one")) == 2 and (1, "Some plain words in a row here.") in left and 2 not in {i for i, _ in left}
+    assert [i for i, t in left if not (t or "").split()] == [3]  # of null, empty and blank texts
+    assert without_near_duplicates(empty(spark)).collect() == []
