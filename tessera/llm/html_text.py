@@ -29,16 +29,21 @@ ASIDE_WORDS = frozenset(
     "modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related share "
     "sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion replies reply responses".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies".split())
+PLACE_WORDS = frozenset(
+    "area bar block bottom box btn button buttons container content form global group header icons inner item items left links list main outer page panel primary "
+    "right secondary section sidebar site sticky text title top unit wrap wrapper".split()
+)
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 CONTENT = ("article", "main")
 
 
 class Node:
-    __slots__ = ("chars", "density", "kids", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("aside", "chars", "density", "kids", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []
+        self.aside = ""  # what its class, id or role says it is, if not of the article
 
 
 class Tree(HTMLParser):
@@ -66,10 +71,12 @@ class Tree(HTMLParser):
             self._close(SAME[tag], FENCES[tag])
         if tag == "body" and any(isinstance(k, Node) and k.tag == "body" for k in self.root.kids):
             return
-        if self._left_out(tag, {k: (v or "") for k, v in attrs}):
+        named = {k: (v or "") for k, v in attrs}
+        if self._left_out(tag, named):
             self.skip.append(tag)
             return
         node = Node(tag, self.here)
+        node.aside = self._aside(tag, named)
         self.here.kids.append(node)
         self.here = node
 
@@ -114,17 +121,49 @@ class Tree(HTMLParser):
     def _left_out(self, tag: str, attrs: dict) -> bool:
         if tag in NEVER or tag == "header" and not self._inside():
             return True
+        hides = "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""))
+        return bool(hides) and tag not in ("body", "main")
+
+    def _aside(self, tag: str, attrs: dict) -> str:
+        """"comments" or "aside" where a name in class or id says so with all its words, or the role does.
+
+        A name such as has-sidebar or share-price has a word of its own and says nothing.
+        """
         if tag in ("body", "main"):
-            return False
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
-            return True
-        words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()))
-        if words & COMMENT_WORDS:
-            return True
+            return ""
+        spelled = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{attrs.get('class', '')} {attrs.get('id', '')}")
+        names = [words for name in spelled.lower().split() if (words := set(re.findall(r"[a-z]+", name)))]
+        if any(words & COMMENT_WORDS and words <= COMMENT_WORDS | PLACE_WORDS for words in names):
+            return "comments"
         if tag == "article":
-            return False
-        plain_header = "header" in words and not self._inside() and tag in ("div", "section")
-        return bool(words & ASIDE_WORDS) or plain_header or attrs.get("role", "").lower() in ROLES
+            return ""
+        plain_header = {"header"} in names and not self._inside() and tag in ("div", "section")
+        named = any(words & ASIDE_WORDS and words <= ASIDE_WORDS | PLACE_WORDS for words in names)
+        return "aside" if named or plain_header or attrs.get("role", "").lower() in ROLES else ""
+
+
+def _prune(root: Node) -> None:
+    """Takes out what names itself as no part of the article.
+
+    What holds an article or main element that does not is a wrapper and stays. Where the page has no such element,
+    what holds most of its text in several paragraphs stays too, unless it is comments.
+    """
+    nodes = _order(root)
+    chars: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    paragraphs: dict[int, int] = {}
+    for node in reversed(nodes):
+        kids = [k for k in node.kids if isinstance(k, Node)]
+        chars[id(node)] = sum(len("".join(k.split())) for k in node.kids if isinstance(k, str)) + sum(chars[id(k)] for k in kids)
+        paragraphs[id(node)] = (node.tag == "p") + sum(paragraphs[id(k)] for k in kids)
+        holds[id(node)] = any(holds[id(k)] or k.tag in CONTENT and not k.aside for k in kids)
+
+    def goes(node: Node) -> bool:
+        story = node.aside == "aside" and not holds[id(root)] and paragraphs[id(node)] > 2 and 2 * chars[id(node)] > chars[id(root)]
+        return bool(node.aside) and not holds[id(node)] and not story
+
+    for node in nodes:
+        node.kids = [k for k in node.kids if isinstance(k, str) or not goes(k)]
 
 
 def _order(root: Node) -> list[Node]:
@@ -187,6 +226,7 @@ def main_text(html: str) -> str:
     tree = Tree()
     tree.feed(re.sub(r"<[A-Za-z/!][^>]*\Z", "", html))
     tree.close()
+    _prune(tree.root)
     blocks: list[list[str]] = [[]]
     todo: list = [_choose(tree.root)]
     while todo:

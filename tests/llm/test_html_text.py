@@ -22,6 +22,11 @@ PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style><scrip
         ("<div class=sidebar><p>Some words to the side</p></div><div class=story><h2>Head</h2><p>First paragraph of it.</p><p>Second paragraph of it.</p></div>", "Head\n\nFirst paragraph of it.\n\nSecond paragraph of it."),
         ("<article><header><h1>Kept</h1></header><p>w&#x20AC;&eacute;&am;p</p></article>", "Kept\n\nw€é&am;p"),
         ("<article><p class=ad>Buy<p>real</p><ul><li class=share>tweet<li>kept</ul></article>", "real\n\nkept"),
+        ("<div class='content has-sidebar'><div id='page' class='layout-sidebar-right'><article><p>kept</p></article></div></div>", "kept"),
+        ("<div class='social-studies'><div class='sidebar'><article><p>kept all</p></article></div></div>", "kept all"),
+        ("<article><p>Before.</p><div class='share-price'><p>The price.</p></div><div id='discussion'><p>We discuss.</p></div></article>", "Before.\n\nThe price.\n\nWe discuss."),
+        ("<article><p>Text of it.</p><div class='share-buttons'>Tweet</div><section id='commentsSection'><article class=comment><p>first!</p></article></section></article>", "Text of it."),
+        ("<div class='widget'><p>Nearly all of the text of this page</p><p>stands in here, in paragraphs,</p><p>whatever it is called.</p></div>", "Nearly all of the text of this page\n\nstands in here, in paragraphs,\n\nwhatever it is called."),
         ("", ""),
     ],
 )
@@ -53,6 +58,42 @@ def test_whole_table(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def plain_density(html_text):
+    """Text of the node of the largest sum of child densities, straight from the definition, over a page of closed tags."""
+    import math
+    import xml.etree.ElementTree as Xml
+
+    body = Xml.fromstring(html_text)
+    chars = lambda n: sum(len("".join(t.split())) for t in n.itertext())
+    tags = lambda n: sum(1 for _ in n.iter()) - 1
+    links = lambda n: [a for a in n.iter("a")]
+    link_chars = lambda n: sum(map(chars, links(n)))
+    share = link_chars(body) / max(1, chars(body))
+
+    def density(n):
+        c, lc, t, lt = chars(n), max(1, link_chars(n)), max(1, tags(n)), max(1, sum(1 + tags(a) for a in links(n)))
+        base = math.log(c / max(1, c - link_chars(n)) * link_chars(n) + share * c + math.e)
+        return max(0.0, c / t * (math.log(c / lc * t / lt) if c else 0.0) / max(math.log(base), 0.05))
+
+    best = max(body.iter(), key=lambda n: (sum(density(k) for k in n), chars(n)))
+    return [" ".join(p.itertext()) for p in best.iter("p")]
+
+
+def test_density_without_article_elements():
+    import random
+
+    rnd = random.Random(5)
+    words = lambda n: " ".join(rnd.choice(["some", "plain", "words", "about", "things"]) for _ in range(n))
+    for _ in range(60):
+        menu = "".join(f"<li><a>{words(2)}</a></li>" for _ in range(rnd.randint(3, 9)))
+        story = "".join(f"<p>{words(rnd.randint(20, 60))}</p>" for _ in range(rnd.randint(3, 8)))
+        more = "".join(f"<div><a>{words(4)}</a></div>" for _ in range(rnd.randint(1, 6)))
+        parts = [f"<div><ul>{menu}</ul></div>", f"<div>{story}</div>", f"<div>{more}</div>"]
+        rnd.shuffle(parts)
+        page = f"<body>{''.join(parts)}</body>"
+        assert main_text(page) == "\n\n".join(plain_density(page)), page
+
+
 def test_awkward_rows(spark):
     rows = [(1, "u", None, 1, "x"), (1, "u", None, 1, "x"), (None, None, "", 1, "x"), (3, "u", "<p>" + "word " * 50_000, 1, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
