@@ -160,7 +160,11 @@ def contaminated(
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, percent: int = 5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = 2_000_000
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item as ``contaminated`` finds them."""
+    """The rows of ``docs``, all columns, that hold no item as ``contaminated`` finds them.
+
+    Null and empty texts hold none and stay; empty items are in no text. Repeated rows stay or go together.
+    Columns of any names stay; an empty table stays empty.
+    """
     at = docs.columns.index(text_col)
     for block in _blocks(benchmark, item_col, item_text_col, block_chars):
 

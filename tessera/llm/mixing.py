@@ -81,6 +81,7 @@ class Mix:
 
     def __init__(self, domains: Domains, least: float):
         self.domains, self.least, self.moves = domains, least, []
+        self.residual = 0.0  # the largest miss of a domain's total, as a share of what the domain has
 
     def rated(self, df: DataFrame) -> DataFrame:
         """``df``, which has n_tokens and p, with the rate that all steps lead to."""
@@ -98,6 +99,7 @@ def fit_mix(
     labelled: DataFrame,
     targets: dict[str, float] | None = None,
     budget: float | None = None,
+    share: float | None = None,
     least_rate: float = 0.0,
     temperature: float = 0.9,
     id_col: str = "doc_id",
@@ -119,6 +121,8 @@ def fit_mix(
     if not weights.sum() > 0:
         return mix
     weights = weights / weights.sum()
+    if share is not None:
+        budget = share * start.sum()
     total = budget if budget is not None else max(start[i] / weights[i] for i in range(k) if weights[i] > 0)
     want, scale = np.where(there, weights * total, 0.0), np.where(there, start, np.inf)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
@@ -135,6 +139,7 @@ def fit_mix(
         if step % write_each == 0:
             state, rate = written(state.withColumn("rate", rate), "rates"), F.col("rate")
         before, now = now, _totals(state, rate, k)
+        mix.residual = float(np.abs((now - want) / scale).max())
         if np.abs((now - before) / scale).max() < tolerance:
             break
     return mix
@@ -152,8 +157,11 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
 
     ``targets`` weighs the domains (scaled to sum 1; a domain without one gets nothing); left out, a
     domain's weight is its share of tokens to the power ``temperature``. ``budget`` is the total of tokens
-    wanted; left out, the least with which no domain has to shrink. A domain that no document belongs to
-    can't be raised and is left aside.
+    wanted, or ``share`` of those there are; left out, the least with which no domain has to shrink. A domain
+    that no document belongs to can't be raised and is left aside. Steps end when no total moves by more than
+    ``tolerance`` of what its domain has, or after ``rounds`` of them. residual, the same in every row, is the largest
+    miss of a total against its target as a share of what its domain has; it tells where rounds ran out or no
+    nonnegative rates meet all targets.
 
     Tokens are runs of what is not ASCII white space. Null and empty texts have none and keep rate 1. Of several
     domains for an id the last in order counts. Without labelled rows there is one domain. Repeated rows stay;
@@ -161,14 +169,15 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     """
     mix = fit_mix(docs, labelled, targets, id_col=id_col, text_col=text_col, **options)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return mix.rated(mix.domains.with_posterior(with_statistics(rows, "text").drop("text"))).select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate")
+    return mix.rated(mix.domains.with_posterior(with_statistics(rows, "text").drop("text"))).select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate", F.lit(mix.residual).alias("residual"))
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", seed: int = 42, **options) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as its rate says.
 
     A rate's whole part is certain; its fraction is met where a hash of the row falls below it, so that totals
-    are right in expectation and a rerun draws the same.
+    are right in expectation and a rerun draws the same. Rows without a token keep rate 1, and so one copy; rows
+    that repeat another in every column are drawn alike. Columns of any names stay; an empty table stays empty.
     """
     mix = fit_mix(docs, labelled, targets, text_col=text_col, **options)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -19,10 +19,14 @@ def quality_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.concat(F.lit("quality"), F.col("quality").cast("string")).alias("domain"))
 
 
+#: What op2 asks for: tokens of good quality only, half as many as there are. Rates of junk stop at zero.
+TARGETS, SHARE = {"quality0": 0.0, "quality1": 1.0}, 0.5
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.mixing import mixing_rates
 
-    return mixing_rates(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")))
+    return mixing_rates(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")), TARGETS, share=SHARE)
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -299,7 +299,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores below ``threshold``."""
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``; ``options`` go to fit.
+
+    Null and empty texts score 0 and stay, as all rows do where no label can be learned from. Repeated rows stay
+    or go together. Columns of any names stay; an empty table stays empty.
+    """
     model, at = fit(docs, labels, text_col=text_col, **options), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,6 +46,9 @@ def test_rates_against_plain_descent(spark):
     totals = sum(np.array(r.posterior) * r.rate * r.n_tokens for r in rows)
     assert np.allclose(totals, [0.3 * budget, 0.7 * budget], rtol=1e-3)
     assert min(r.rate for r in rows) >= 0
+    assert all(r.residual < 1e-3 for r in rows)
+    half = mixing_rates(docs, domains, targets, share=0.5).collect()
+    assert np.isclose(sum(r.rate * r.n_tokens for r in half), sum(r.n_tokens for r in half) / 2, rtol=1e-3)
 
 
 def test_some_rates_stop_at_zero(spark):
