@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,5 +68,6 @@ def held(key: Hashable, make: Callable[[], Any]) -> Any:
     """
     if key not in _held:
         _held.clear()
+        pa.default_memory_pool().release_unused()
         _held[key] = make()
     return _held[key]

@@ -20,17 +20,22 @@ BREAK = re.compile(rb"[.!?\n\r]+|\xe3\x80\x82")
 #: Words are runs of letters; every byte of a letter beyond ASCII has its high bit set.
 WORD = re.compile(rb"[a-z\x80-\xff]+")
 PREFIXES = range(3, 7)
-#: Bits of a feature's hash, and words whose weight one worker remembers.
-HASH_BITS, CACHE = 22, 400_000
+#: Bits of a feature's hash, words whose weight one worker remembers, documents whose gradient is summed at once.
+HASH_BITS, CACHE, SLICE = 22, 300_000, 1024
 #: Log odds of a sentence of which nothing is known, the mean of the bias's unit normal prior.
 PRIOR = -6.0
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
 def word_features(word: bytes) -> list[int]:
-    """Hashes of a word's beginnings and of the whole word, so inflected and compound forms share some of their weight."""
+    """Hashes of a word's beginnings, and of the whole word where it is no longer than those.
+
+    Longer words count by what they begin with, so inflected and compound forms share their weight.
+    """
     letters = word.decode("utf-8", "ignore")
-    names = ["^" + letters[:n] for n in PREFIXES if n <= len(letters)] + ["=" + letters]
+    names = ["^" + letters[:n] for n in PREFIXES if n <= len(letters)]
+    if len(letters) < PREFIXES.stop:
+        names.append("=" + letters)
     return [xxhash.xxh32_intdigest(x.encode()) >> (32 - HASH_BITS) for x in names]
 
 
@@ -64,14 +69,16 @@ def _counted(sample: DataFrame) -> DataFrame:
 
 
 def _selected(sample: DataFrame, positives: int, negatives: int, features: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``features`` features that tell the labels apart best, either way, and their z-scores: of the two shares, smoothed.
+    """The ``features`` features that speak for the toxic label best, and their z-scores: of the two shares, smoothed.
 
-    They are ranked and never cut at a fixed z, since z grows with the number of labelled rows.
+    They are ranked and never cut at a fixed z, since z grows with the number of labelled rows. Features of clean
+    documents are mostly the common words of some language: they tell nothing of a sentence beside an insult,
+    and would fill every sentence's list.
     """
     p, q = (F.col("toxic") + 0.5) / (positives + 1), (F.col("clean") + 0.5) / (negatives + 1)
     mean = (F.col("toxic") + F.col("clean") + 1) / (positives + negatives + 2)
     z = (p - q) / F.sqrt(mean * (1 - mean) * (1 / (positives + 1) + 1 / (negatives + 1)))
-    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") != 0).orderBy(F.desc(F.abs("z")), "feature").limit(features).collect()
+    best = _counted(sample).select("feature", z.alias("z")).filter(F.col("z") > 0).orderBy(F.desc("z"), "feature").limit(features).collect()
     best.sort(key=lambda r: r["feature"])
     return np.array([r["feature"] for r in best], np.int64), np.array([r["z"] for r in best])
 
@@ -81,7 +88,7 @@ def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
     column = {int(f): i for i, f in enumerate(chosen)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, list[int]] = {}
+        cache: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
             rows: tuple[list, list, list] = ([], [], [])
             for text in _batches(batch.column(0)):
@@ -92,7 +99,7 @@ def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
                         if (f := cache.get(w)) is None:
                             if len(cache) > CACHE:
                                 cache.clear()
-                            f = cache[w] = [column[x] for x in word_features(w) if x in column]
+                            f = cache[w] = tuple([column[x] for x in word_features(w) if x in column])
                         own += f
                     if own:
                         at += [n] * len(own)
@@ -139,17 +146,16 @@ def _loss(encoded: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 + len(weights))
         for batch in batches:
-            sizes, starts, docs = [], [], []
-            for i, at in enumerate(batch.column(2).to_pylist()):
-                n = at[-1] + 1 if at else 0
-                starts.append(len(docs))
-                sizes.append(len(at))
-                docs += [i] * n
-            flat = np.array(batch.column(2).flatten().to_numpy(), np.int64) + np.repeat(starts, sizes).astype(np.int64)
-            cols = np.array(batch.column(3).flatten().to_numpy(), np.int64)
-            y, plain = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            loss, gradient = noisy_or_gradient(weights, y, plain, np.array(docs, np.int64), flat, cols)
-            total += np.append(loss, gradient)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                sizes = part.column(2).value_lengths().to_numpy()
+                ends, sent = np.cumsum(sizes), part.column(2).flatten().to_numpy()
+                listed = np.zeros(len(sizes), np.int64)  # sentences with a feature, numbered from 0 within each document
+                listed[sizes > 0] = sent[ends[sizes > 0] - 1] + 1
+                sent = sent + np.repeat(np.cumsum(listed) - listed, sizes)
+                doc, cols = np.repeat(np.arange(len(sizes)), listed), part.column(3).flatten().to_numpy()
+                loss, gradient = noisy_or_gradient(weights, part.column(0).to_numpy(), part.column(1).to_numpy(), doc, sent, cols)
+                total += np.append(loss, gradient)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
 
     total = np.sum([np.frombuffer(r["g"]) for r in encoded.mapInArrow(run, "g binary").collect()], axis=0)
@@ -198,7 +204,7 @@ def _fit(sample: DataFrame, features: int, rounds: int, decay: float, tolerance:
     if not seen.get(0) or not seen.get(1):
         return None
     chosen, z = _selected(sample, seen[1], seen[0], features)
-    scale = np.append(np.abs(z) / np.abs(z).max(initial=0), 1.0)  # in which all weights decay alike
+    scale = np.append(z / z.max(initial=0), 1.0)  # in which all weights decay alike
     start = np.append(np.zeros(len(chosen)), PRIOR)
     even = np.append(np.full(len(chosen), decay), 1.0)
     encoded = written(_encoded(sample, chosen).repartition(parts), "encoded").coalesce(parts)
@@ -252,7 +258,7 @@ def fit(
     most_labelled: int = 20_000,
     features: int = 4096,
     rounds: int = 200,
-    decay: float = 0.05,
+    decay: float = 0.02,
     tolerance: float = 1e-3,
     parts: int = 6,
 ) -> Model:
