@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -21,12 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of ROWS rows where the session leaves them at Spark's 10,000: whole texts are long, and each batch stands
+    several times over in the memory of an executor and its Python worker."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
+    """The folder that driver and executors share, as the session names it; sets bounded_batches as well.
 
     Where ``spark.checkpoint.dir`` is unset, a local master gets a temporary folder and a cluster a folder
     below its warehouse.
     """
+    bounded_batches(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
