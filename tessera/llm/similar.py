@@ -1,8 +1,8 @@
 """Exact links of the SimHash operator where it is asked for a similarity of shingle sets.
 
 Two texts that share four fifths of their shingles differ in some ten bits of 64, beyond any ball that can be hashed. So
-fingerprints link what lies close, their links are verified on the sets themselves, and a prefix-filter join
-finds the similar pairs between groups that the fingerprints left apart. No similar pair is missed.
+fingerprints link what lies close, each set also meets the least set of every rare shingle it has, those links are verified
+on the sets themselves, and a prefix-filter join finds the similar pairs between groups that these left apart. No similar pair is missed.
 """
 
 from __future__ import annotations
@@ -91,20 +91,50 @@ def _close(groups: DataFrame, radius: int) -> DataFrame:
     return own.unionByName(met.join(end("a"), "a").join(end("b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b")))
 
 
-def _apart(groups: DataFrame, share: Fraction) -> DataFrame:
-    """(a, b): pairs of sets of different ``near`` that may be similar; none that is similar is missing.
+def _entries(groups: DataFrame) -> DataFrame:
+    """(set, size, rest, shingle): the prefixes' shingles that several sets have; rest is what lies beyond the prefix."""
+    all_ = groups.select("set", "size", (F.col("size") - F.size("prefix")).alias("rest"), F.explode("prefix").alias("shingle"))
+    several = all_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("shingle")
+    return written(all_.join(several, "shingle", "left_semi"), "entries")
+
+
+def _may(shared: Column, share: Fraction) -> Column:
+    """Whether sets with so many shared shingles in their prefixes can be similar.
 
     Two prefixes share a shingle if their sets are similar, since both list shingles in one order. Of all
     shared shingles, those outside both prefixes' common part lie beyond the prefix that ends first.
     """
     up, down = F.lit(share.numerator), F.lit(share.denominator)
-    side = lambda s: groups.select(
-        F.col("set").alias(s), F.col("near").alias(f"near_{s}"), F.col("size").alias(f"n_{s}"), (F.col("size") - F.size("prefix")).alias(f"rest_{s}"), F.explode("prefix").alias("shingle")
+    return (shared + F.greatest("rest_a", "rest_b")) * (up + down) >= (F.col("n_a") + F.col("n_b")) * up
+
+
+def _sizes(share: Fraction) -> Column:
+    up, down = F.lit(share.numerator), F.lit(share.denominator)
+    return (F.col("n_a") * down >= F.col("n_b") * up) & (F.col("n_b") * down >= F.col("n_a") * up)
+
+
+def _stars(entries: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): sets with the least set of a shingle they share, where that one may be similar; a row an entry at most.
+
+    A large group of near copies is joined by these alone, so its pairs need no listing.
+    """
+    hubs = entries.groupBy("shingle").agg(F.min(F.struct("set", "size", "rest")).alias("hub"))
+    both = entries.join(hubs, "shingle").select(
+        F.col("set").alias("a"), F.col("size").alias("n_a"), F.col("rest").alias("rest_a"), F.col("hub.set").alias("b"), F.col("hub.size").alias("n_b"), F.col("hub.rest").alias("rest_b")
     )
-    may = (F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b")) & (F.col("n_a") * down >= F.col("n_b") * up) & (F.col("n_b") * down >= F.col("n_a") * up)
+    counted = both.filter((F.col("a") != F.col("b")) & _sizes(share)).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(_may(F.col("n"), share)).select("a", "b")
+
+
+def _apart(entries: DataFrame, near: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): pairs of sets of different ``near`` that may be similar; none that is similar is missing."""
+    known = written(entries.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "known")
+    mixed = known.groupBy("shingle").agg(F.min("near").alias("low"), F.max("near").alias("high")).filter(F.col("low") < F.col("high")).select("shingle")
+    left = written(known.join(mixed, "shingle", "left_semi"), "mixed")
+    side = lambda s: left.select(F.col("set").alias(s), F.col("near").alias(f"near_{s}"), F.col("size").alias(f"n_{s}"), F.col("rest").alias(f"rest_{s}"), "shingle")
+    may = (F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b")) & _sizes(share)
     shared = side("a").join(side("b"), "shingle").filter(may).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
-    most = F.col("n") + F.greatest("rest_a", "rest_b")
-    return shared.filter(most * (up + down) >= (F.col("n_a") + F.col("n_b")) * up).select("a", "b")
+    return shared.filter(_may(F.col("n"), share)).select("a", "b")
 
 
 def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
@@ -129,8 +159,8 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     """(doc_id, key, fp, first) for each row of ``docs``; first is the struct (doc_id, key) of its component's first row.
 
     Texts link where the Jaccard similarity of their sets of ``words``-word shingles is ``similarity`` or more; no
-    such pair is missed and none below it links. Pairs within a group that verified fingerprint links already
-    join are never listed. First is the row of the smallest id, null ids last, then of the least key.
+    such pair is missed and none below it links. Pairs within a group that verified links of fingerprints and of
+    stars already join are never listed. First is the row of the smallest id, null ids last, then of the least key.
     """
     share = Fraction(str(similarity))
     if not 0 < share <= 1:
@@ -140,10 +170,11 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     grouped = sets.groupBy("set").agg(F.min(order).alias("first"), F.any_value(F.struct("key", "fp", "size", "prefix")).alias("one"))
     groups = written(grouped.select("set", "first", "one.*"), "groups")
-    tight = _verified(rows, groups, _close(groups, radius), words, seed, share)
+    entries = _entries(groups)
+    close = _close(groups, radius).unionByName(_stars(entries, share)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tight = _verified(rows, groups, close, words, seed, share)
     near = connected_components(tight).select(F.col("id").alias("set"), F.col("root").alias("near"))
-    marked = written(groups.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "marked")
-    both = tight.unionByName(_verified(rows, groups, _apart(marked, share), words, seed, share))
+    both = tight.unionByName(_verified(rows, groups, _apart(entries, near, share), words, seed, share))
     member = written(groups.select("set", "first").join(connected_components(both).withColumnRenamed("id", "set"), "set"), "members")
     joined = member.join(member.groupBy("root").agg(F.min("first").alias("least")), "root").select("set", "least")
     known = written(groups.join(joined, "set", "left").select("set", F.coalesce("least", "first").alias("first")), "components")
