@@ -437,7 +437,7 @@ PLACE_WORDS = ("Ayala Ave, Makati", "Legazpi St., Makati", "Legazpi City, Albay"
 @query(
     "text_regions",
     f"""WITH {_by_part(PLACE_WORDS)}, l AS (SELECT v, lower(strip_accents(v)) AS x FROM raw)
-SELECT v, count(*) AS n, CASE WHEN regexp_matches(x, '\\bq\\.?\\s?c\\.?\\b') THEN 'metro-manila' {" ".join(f"WHEN regexp_matches(x, '{'|'.join(w.replace('_', ' ') for w in words.split())}') THEN '{r}'" for r, words in geo.REGION_WORDS)} END AS derived FROM l GROUP BY ALL""".replace("\\\\", "\\"),
+SELECT v, count(*) AS n, CASE WHEN regexp_matches(x, '\\bq\\.?\\s?c\\.?\\b') THEN 'metro-manila' {" ".join(f"WHEN regexp_matches(x, '{'|'.join(words)}') THEN '{r}'" for r, words in geo.REGION_WORDS)} END AS derived FROM l GROUP BY ALL""".replace("\\\\", "\\"),
 )
 def _(s, d):
     return tables.count_by(_raw(s, d, PLACE_WORDS).withColumn("derived", geo.region_of_text(F.col("v"))), "v", "derived")
