@@ -28,12 +28,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 WITH = f"WITH {PROPS_SQL}, {LIST_SQL}"
-#: One month's listings are few enough for some entities to stand alone.
-MONTH = "1998-03"
 
 
-def one_month(sql: str) -> str:
-    return sql.replace(" FROM list", f" FROM (SELECT * FROM list WHERE scraped_at = '{MONTH}') list")
+def dated(sql: str) -> str:
+    """The query over entities of single snapshots, of which some stand alone."""
+    return sql.replace(" FROM list", " FROM (SELECT * REPLACE (concat(brand_key, ' ', scraped_at) AS brand_key) FROM list) list")
 
 
 PRESENCE = """pres AS (SELECT DISTINCT list.brand_key, list.chain, list.mall_id, p.mall_name, p.region FROM list JOIN props p ON list.chain = p.chain AND list.mall_id = p.mall_id WHERE list.brand_key <> '')"""
@@ -60,13 +59,17 @@ def brand_summary(s, d):
     return tables.entity_summary(listings(s, d), properties(s, d), list(REGIONS))
 
 
+def _dated(s, d) -> DataFrame:
+    return listings(s, d).withColumn("brand_key", F.concat_ws(" ", "brand_key", "scraped_at"))
+
+
 @query(
     "unique_entities",
-    one_month(f"""{WITH}, {PRESENCE}, {NAMES} SELECT brand_key, display_name, min(chain) AS chain, min(mall_id) AS mall_id, min(mall_name) AS mall_name, min(region) AS region
+    dated(f"""{WITH}, {PRESENCE}, {NAMES} SELECT brand_key, display_name, min(chain) AS chain, min(mall_id) AS mall_id, min(mall_name) AS mall_name, min(region) AS region
 FROM pres JOIN names USING (brand_key) GROUP BY brand_key, display_name HAVING count(*) = 1"""),
 )
 def _(s, d):
-    return tables.unique_entities(_month(s, d, MONTH), properties(s, d))
+    return tables.unique_entities(_dated(s, d), properties(s, d))
 
 
 CONTAINERS = f"""{WITH}, {PRESENCE},
@@ -79,11 +82,11 @@ uniq AS (SELECT chain, mall_id, count(*) AS n_unique_brands FROM alone GROUP BY
 
 @query(
     "container_summary",
-    one_month(f"""{CONTAINERS} SELECT chain, mall_id, n_stores, n_brands, top_categories, mall_name, region, coalesce(n_unique_brands, 0) AS n_unique_brands
+    dated(f"""{CONTAINERS} SELECT chain, mall_id, n_stores, n_brands, top_categories, mall_name, region, coalesce(n_unique_brands, 0) AS n_unique_brands
 FROM sums JOIN tops USING (chain, mall_id) JOIN (SELECT chain, mall_id, mall_name, region FROM props) USING (chain, mall_id) LEFT JOIN uniq USING (chain, mall_id)"""),
 )
 def _(s, d):
-    return tables.container_summary(_month(s, d, MONTH), properties(s, d))
+    return tables.container_summary(_dated(s, d), properties(s, d))
 
 
 @query("top_categories", f"{CONTAINERS} SELECT * FROM tops")
@@ -93,10 +96,10 @@ def _(s, d):
 
 @query(
     "exclusive_entities",
-    one_month(f"{WITH}, {PRESENCE}, one AS (SELECT brand_key, min(chain) AS chain FROM pres GROUP BY brand_key HAVING count(DISTINCT chain) = 1) SELECT chain, count(*) AS exclusive FROM one GROUP BY chain"),
+    dated(f"{WITH}, {PRESENCE}, one AS (SELECT brand_key, min(chain) AS chain FROM pres GROUP BY brand_key HAVING count(DISTINCT chain) = 1) SELECT chain, count(*) AS exclusive FROM one GROUP BY chain"),
 )
 def _(s, d):
-    return tables.exclusive_counts(_month(s, d, MONTH), properties(s, d))
+    return tables.exclusive_counts(_dated(s, d), properties(s, d))
 
 
 @query(
@@ -227,11 +230,12 @@ RULES_SQL = " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{n}'" for n, p in tex
 
 @query(
     "standard_category",
-    f"""WITH {_by_part(CATEGORY_WORDS)}, l AS (SELECT p_partkey, v, lower(trim(v)) AS x FROM raw)
-SELECT v, count(*) AS n, CASE WHEN x IN ('', 'all', 'undefined', 'others', 'other', 'n/a', 'none') OR regexp_full_match(x, '[0-9]+') THEN 'unknown' {RULES_SQL} ELSE 'unknown' END AS category_std FROM l GROUP BY ALL""",
+    f"""WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS v FROM documents), l AS (SELECT v, lower(trim(v)) AS x FROM w)
+SELECT v, CASE WHEN x IN ('', 'all', 'undefined', 'others', 'other', 'n/a', 'none') OR regexp_full_match(x, '[0-9]+') THEN 'unknown' {RULES_SQL} ELSE 'unknown' END AS category_std FROM l""",
 )
 def _(s, d):
-    return tables.count_by(_raw(s, d, CATEGORY_WORDS).withColumn("category_std", text.category(F.col("v"))), "v", "category_std")
+    words = table(s, d, "documents").select(F.explode(F.split("text", " ")).alias("v")).distinct()
+    return words.withColumn("category_std", text.category(F.col("v")))
 
 
 FORMATS_SQL = " ".join(f"WHEN regexp_matches(v, '(?i){p}') THEN '{n}'" for n, p in text.FORMAT_PATTERNS)
@@ -547,11 +551,13 @@ def _(s, d):
     return places.open_gaps(gaps, "1998-06-30").select("o_orderkey")
 
 
-@query("roster_unmatched", "SELECT DISTINCT p_name AS roster_key FROM part ANTI JOIN (SELECT DISTINCT substr(p_name, 1, 4) AS k FROM part WHERE p_size < 3 AND p_partkey % 40 = 0) ON starts_with(p_name, k) OR starts_with(k, p_name)")
+@query(
+    "roster_unmatched",
+    "SELECT DISTINCT p_brand AS roster_key FROM part ANTI JOIN (SELECT DISTINCT concat('Brand#', c_nationkey + 10) AS k FROM customer) ON starts_with(p_brand, k) OR starts_with(k, p_brand)",
+)
 def _(s, d):
-    part = table(s, d, "part")
-    live = part.filter("p_size < 3 and p_partkey % 40 = 0").select(F.substring("p_name", 1, 4).alias("live_key")).distinct()
-    return places.unmatched_roster(part.select(F.col("p_name").alias("roster_key")).distinct(), live)
+    live = table(s, d, "customer").select(F.concat(F.lit("Brand#"), F.col("c_nationkey") + 10).alias("live_key")).distinct()
+    return places.unmatched_roster(table(s, d, "part").select(F.col("p_brand").alias("roster_key")).distinct(), live)
 
 
 # --- extraction ---
@@ -586,11 +592,11 @@ def _(s, d):
     return tables.count_by(table(s, d, "events").select(F.from_json("props", "k long").alias("j")).select("j.k"), "k")
 
 
-@query("json_rows", "SELECT user_id, CAST(event_id % 3 AS INTEGER) AS pos, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 3 < 2 AND event_id % 7 <> 0")
+@query("json_rows", "SELECT user_id, CAST(event_id % 3 AS INTEGER) AS pos, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 3 < 2")
 def _(s, d):
     events = table(s, d, "events")
     both = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"data":['), "props", F.lit("]}"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"data":[{"k":null},'), "props", F.lit("]}"))).otherwise("[]")
-    landed = events.filter("event_id % 7 <> 0").withColumn("value", both)
+    landed = events.withColumn("value", both)
     return extraction.json_rows(landed, "data array<struct<k: long>>", "data", keep=("user_id",)).filter("k is not null")
 
 
@@ -820,19 +826,18 @@ def _(s, d):
 
 
 # --- detectors ---
-KNOWN = """sp AS (SELECT DISTINCT p_name AS brand_key, r_name AS chain, l_suppkey AS mall_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE p_size < 2),
+KNOWN = """sp AS (SELECT DISTINCT p_name AS brand_key, r_name AS chain, l_suppkey AS mall_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 own AS (SELECT brand_key, chain, count(*) AS own FROM sp GROUP BY ALL), tot AS (SELECT brand_key, sum(own) AS t FROM own GROUP BY 1),
 known AS (SELECT g.chain, tot.brand_key FROM tot CROSS JOIN (SELECT DISTINCT chain FROM sp) g LEFT JOIN own ON own.brand_key = tot.brand_key AND own.chain = g.chain WHERE t - coalesce(own, 0) >= 3)"""
 
 
-def _named(s, d, size: str) -> DataFrame:
-    rows = listings(s, d).withColumn("p_size", F.element_at(F.split("brand_key", " "), -1).cast("int")).filter(size)
-    return rows.withColumn("brand_key", F.regexp_extract("brand_key", r"^(\S+ \S+)", 1))
+def _named(s, d) -> DataFrame:
+    return listings(s, d).withColumn("brand_key", F.regexp_extract("brand_key", r"^(\S+ \S+)", 1))
 
 
 @query("attested_entities", f"WITH {KNOWN} SELECT * FROM known")
 def _(s, d):
-    return detect.attested(_named(s, d, "p_size < 2"))
+    return detect.attested(_named(s, d))
 
 
 @query(
@@ -845,17 +850,17 @@ def _(s, d):
     size = F.element_at(F.split("brand_key", " "), -1).cast("int")
     name = F.regexp_extract("brand_key", r"^(\S+ \S+)", 1)
     rows = listings(s, d).withColumn("brand_key", F.when(size % 2 == 0, name).otherwise(F.concat(name, F.lit(" old town"))))
-    return detect.combined_names(rows, detect.attested(_named(s, d, "p_size < 2"))).withColumn("share_begun", F.round("share_begun", 6))
+    return detect.combined_names(rows, detect.attested(_named(s, d))).withColumn("share_begun", F.round("share_begun", 6))
 
 
 @query(
     "entity_mentions",
-    f"""WITH {KNOWN}, l AS (SELECT DISTINCT r_name AS chain, CAST(l_suppkey AS VARCHAR) AS mall_id, p_name FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE p_size > 45)
+    f"""WITH {KNOWN}, l AS (SELECT DISTINCT r_name AS chain, CAST(l_suppkey AS VARCHAR) AS mall_id, p_name FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT chain, mall_id, concat('the ', p_name, ' corner') AS name, p_name AS mention FROM l WHERE (chain, p_name) IN (SELECT (chain, brand_key) FROM known)""",
 )
 def _(s, d):
-    rows = _named(s, d, "p_size > 45").withColumn("brand_key", F.concat(F.lit("the "), "brand_key", F.lit(" corner")))
-    return detect.mentions(rows, detect.attested(_named(s, d, "p_size < 2")))
+    rows = _named(s, d).withColumn("brand_key", F.concat(F.lit("the "), "brand_key", F.lit(" corner")))
+    return detect.mentions(rows, detect.attested(_named(s, d)))
 
 
 @query("freshness", f"WITH {PROPS_SQL} SELECT chain, CAST(max(CAST(scraped_at AS DATE)) AS VARCHAR) AS newest, CAST(date_diff('day', max(CAST(scraped_at AS DATE)), DATE '2026-02-15') AS INTEGER) AS age, date_diff('day', max(CAST(scraped_at AS DATE)), DATE '2026-02-15') > 730 AS stale FROM props GROUP BY 1")
