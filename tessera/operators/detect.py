@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.tables import usable
+from tessera.operators.tables import groups_of, usable
 
 
 def _words(column: str) -> Column:
@@ -18,10 +18,10 @@ def attested(listings: DataFrame, least: int = 3, least_single: int = 8, entity:
     spread = listings.filter(usable(entity)).select(entity, group, container).distinct()
     own = spread.groupBy(entity, group).agg(F.count(F.lit(1)).alias("own"))
     total = own.groupBy(entity).agg(F.sum("own").alias("all"))
-    groups = spread.select(group).distinct()
+    groups = F.array(*map(F.lit, groups_of(spread, group)))
     need = F.when(F.size(_words(entity)) > 1, least).otherwise(least_single)
     enough = total.filter(F.col("all") >= need)  # an entity that falls short everywhere needs no row for each group
-    here = enough.join(F.broadcast(groups)).join(own, [entity, group], "left")
+    here = enough.withColumn(group, F.explode(groups)).join(own, [entity, group], "left")
     return here.filter(F.col("all") - F.coalesce("own", F.lit(0)) >= need).select(group, entity)
 
 
@@ -30,11 +30,13 @@ def combined_names(listings: DataFrame, known: DataFrame, words: float = 4, shar
 
     Each name offers its shorter beginnings, which are joined to the known entities by equality.
     """
-    rows = listings.filter(usable(entity)).select(group, container, entity).withColumns({"row": F.monotonically_increasing_id(), "w": _words(entity)})
+    rows = listings.filter(usable(entity)).groupBy(group, container, entity).agg(F.count(F.lit(1)).alias("n")).withColumn("w", _words(entity))
     starts = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda n: F.array_join(F.slice("w", F.lit(1), n), " ")))
-    begun = rows.select("row", group, F.explode(starts).alias("start")).join(known.withColumnRenamed(entity, "start"), [group, "start"], "left_semi").select("row").distinct()
-    marked = rows.join(begun.withColumn("begun", F.lit(1)), "row", "left")
-    per = marked.groupBy(group, container).agg(F.percentile(F.size("w"), F.lit(0.5)).alias("median_words"), F.avg(F.coalesce("begun", F.lit(0))).alias("share_begun"))
+    names = rows.select(group, entity, F.explode(starts).alias("start")).distinct()
+    begun = names.join(known.withColumnRenamed(entity, "start"), [group, "start"], "left_semi").select(group, entity).distinct().withColumn("begun", F.lit(1))
+    marked = rows.join(begun, [group, entity], "left")
+    share_begun = F.sum(F.col("n") * F.coalesce("begun", F.lit(0))) / F.sum("n")
+    per = marked.groupBy(group, container).agg(F.percentile(F.size("w"), F.lit(0.5), F.col("n")).alias("median_words"), share_begun.alias("share_begun"))
     return per.withColumn("combined", (F.col("median_words") >= words) | (F.col("share_begun") >= share))
 
 

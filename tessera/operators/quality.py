@@ -39,24 +39,14 @@ def mapping_audit(listings: DataFrame, standard: Column, group: str = "chain", c
 
 def variant_review(listings: DataFrame, entity: str = "brand_key", raw: str = "store_name_raw", clean: str = "store_name", group: str = "chain", shown: int = 8) -> DataFrame:
     """Keys whose spellings deserve a look, with the first ``shown`` of them."""
-    per = (
-        listings.filter(F.col(entity) != "")
-        .groupBy(entity, raw)
-        .agg(F.count(F.lit(1)).alias("n"), F.collect_set(clean).alias("cleans"), F.collect_set(group).alias("groups"))
-    )
-    first = Window.partitionBy(entity).orderBy(F.col(raw))
-    return (
-        per.withColumn("rank", F.row_number().over(first))
-        .groupBy(entity)
-        .agg(
-            F.count(raw).alias("raw_variants"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("cleans")))).cast("long").alias("clean_variants"),
-            F.sum("n").alias("listings"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("groups")))).cast("long").alias("chains"),
-            F.array_join(F.array_sort(F.collect_list(F.when(F.col("rank") <= shown, F.col(raw)))), " | ").alias("examples"),
-        )
-        .filter((F.col("raw_variants") > 1) & ((F.col("clean_variants") > 1) | (F.col("raw_variants") >= 5)))
+    rows = listings.filter(F.col(entity) != "")
+    per = rows.groupBy(entity).agg(
+        F.countDistinct(raw).alias("raw_variants"), F.countDistinct(clean).alias("clean_variants"), F.count(F.lit(1)).alias("listings"), F.countDistinct(group).alias("chains")
     )
+    odd = per.filter((F.col("raw_variants") > 1) & ((F.col("clean_variants") > 1) | (F.col("raw_variants") >= 5)))
+    first = rows.select(entity, raw).distinct().withColumn("rank", F.row_number().over(Window.partitionBy(entity).orderBy(raw))).filter(F.col("rank") <= shown)
+    examples = first.groupBy(entity).agg(F.array_join(F.array_sort(F.collect_list(raw)), " | ").alias("examples"))
+    return odd.join(examples, entity)
 
 
 def quality_figures(listings: DataFrame, entity: str = "brand_key") -> DataFrame:

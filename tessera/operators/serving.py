@@ -48,6 +48,8 @@ def chain_mask(code: Column) -> Column:
 
 def entity_rows(listings: DataFrame, chains: DataFrame, entity: str = ENTITY) -> DataFrame:
     """Per entity: shown name, primary and all categories, containers, groups as bits, and a search alias."""
+    if chains.count() > 63:
+        raise ValueError("a mask holds 63 groups at most")
     named = listings.filter(usable(entity))
     known = F.when(F.col("category_std") != "unknown", F.col("category_std"))
     shown = named.groupBy(entity).agg(
@@ -68,14 +70,15 @@ def property_flags(properties: DataFrame, listings: DataFrame, caveats: dict[str
     return properties.join(dark, keys, "left").select(*keys, F.filter(flags, lambda f: f.isNotNull()).alias("flags"))
 
 
-def digest(df: DataFrame, buckets: int = 64) -> str:
-    """Twelve hex digits that are the same for the same rows, whatever their order.
+def digest(df: DataFrame) -> str:
+    """Twelve hex digits that are the same for the same rows, repeats included, whatever their order.
 
-    Row hashes are sorted and hashed within a bucket each, so no task holds them all when ``buckets`` grows with the data.
+    Four hashes of each row are added up as whole numbers beside the count, so any number of tasks combine
+    their sums and none gathers rows.
     """
-    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-    parts = df.select(row.alias("h")).groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("b")).agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256).alias("h"))
-    return parts.agg(F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda s: s["h"])), 256).substr(1, 12).alias("d")).first()["d"]
+    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    sums = [F.coalesce(F.sum(F.xxhash64(F.lit(seed), row).cast("decimal(38,0)")), F.lit(0)).cast("string") for seed in range(4)]
+    return df.agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *sums), 256).substr(1, 12).alias("d")).first()["d"]
 
 
 def bundle(properties: DataFrame, listings: DataFrame, entity: str = ENTITY, caveats: dict[str, str] | None = None) -> dict[str, DataFrame]:

@@ -877,6 +877,87 @@ def _(s, d):
     return detect.gaps_in_runs(listings(s, d).filter("floor = 'Level 7'"), "scraped_at")
 
 
+# --- scalar helpers over the properties' own texts ---
+K = "CAST(mall_id AS INTEGER)"
+
+
+@query("labelled_values", f"WITH {PROPS_SQL} SELECT mall_id, address AS place, CASE WHEN {K} % 2 = 0 THEN mall_name END AS contact FROM props")
+def _(s, d):
+    number = F.when(F.col("mall_id").cast("int") % 2 == 0, F.concat(F.lit("Contact Number: "), "mall_name", F.lit(" | "))).otherwise("")
+    block = F.concat(F.lit("<p>"), number, F.lit("Location:  "), "address", F.lit("<br>more</p>"))
+    return properties(s, d).select("mall_id", text.labelled_value(block, "Location:").alias("place"), text.labelled_value(block, "Contact Number:").alias("contact"))
+
+
+@query("first_fields", f"WITH {PROPS_SQL} SELECT mall_id, CASE WHEN {K} % 3 = 2 THEN mall_name ELSE region END AS shown FROM props")
+def _(s, d):
+    k = F.col("mall_id").cast("int")
+    one = F.when(k % 3 == 0, "  ").when(k % 3 == 2, F.concat(F.lit(" "), "mall_name", F.lit(" ")))
+    return properties(s, d).select("mall_id", text.first_of(one, F.col("region")).alias("shown"))
+
+
+@query("bar_parts", f"WITH {PROPS_SQL} SELECT mall_id, mall_name AS head, CASE WHEN {K} % 2 = 0 THEN concat(region, ' | x') END AS tail FROM props")
+def _(s, d):
+    both = F.when(F.col("mall_id").cast("int") % 2 == 0, F.concat_ws(" | ", "mall_name", "region", F.lit("x"))).otherwise(F.col("mall_name"))
+    return properties(s, d).select("mall_id", text.before_bar(both).alias("head"), text.after_bar(both).alias("tail"))
+
+
+@query(
+    "slugs",
+    """WITH x AS (SELECT DISTINCT p_name, regexp_replace(regexp_replace(lower(concat(p_name, ' & ', p_brand, '!')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part)
+SELECT slug, array_to_string(list_transform(string_split(replace(slug, '-', ' '), ' '), lambda w: concat(upper(w[1:1]), w[2:])), ' ') AS shown FROM x""",
+)
+def _(s, d):
+    made = table(s, d, "part").select("p_name", text.slug(F.concat("p_name", F.lit(" & "), "p_brand", F.lit("!"))).alias("slug")).distinct()
+    return made.select("slug", text.from_slug(F.col("slug")).alias("shown"))
+
+
+@query(
+    "property_types",
+    f"""WITH {PROPS_SQL} SELECT mall_id, CASE {K} % 5 WHEN 0 THEN 'office-annex' WHEN 1 THEN 'amusement-park' WHEN 2 THEN 'residential-retail' WHEN 3 THEN 'residential-retail' ELSE 'mall' END AS property_type,
+  CASE WHEN {K} % 5 <> 3 THEN region END AS place FROM props""",
+)
+def _(s, d):
+    k = F.col("mall_id").cast("int") % 5
+    name = F.when(k == 0, F.concat("mall_name", F.lit(" Tower"))).when(k == 1, F.concat(F.lit("Sky Ranch "), "mall_name")).when(k == 2, F.concat(F.lit("SMDC "), "mall_name")).otherwise(F.col("mall_name"))
+    region = F.when(k == 3, "smdc").otherwise(F.col("region"))
+    return properties(s, d).select("mall_id", text.property_type(name, region).alias("property_type"), text.place_region(region).alias("place"))
+
+
+@query("squeezed_keys", f"WITH {PROPS_SQL} SELECT mall_id, regexp_replace(lower(concat(mall_name, region)), '[^a-z0-9]+', '', 'g') AS roster_key FROM props")
+def _(s, d):
+    name = F.concat(F.lit("Robinsons Place "), "mall_name", F.lit(" Mall, "), "region")
+    return properties(s, d).select("mall_id", text.squeezed_key(name).alias("roster_key"))
+
+
+@query(
+    "source_coordinates",
+    f"""WITH {PROPS_SQL} SELECT mall_id, CASE WHEN {BOX} AND {K} % 4 <> 0 THEN lat END AS lat, CASE WHEN {BOX} AND {K} % 4 <> 0 THEN lon END AS lon, {K} % 3 = 0 OR coalesce(({REGION_CASE}) = 'mindanao', false) AS agrees FROM props""",
+)
+def _(s, d):
+    k = F.col("mall_id").cast("int")
+    spelled = F.when(k % 4 == 0, "").otherwise(F.col("lat").cast("string"))
+    at = geo.coordinate(spelled, F.col("lon").cast("string"))
+    recorded = F.when(k % 3 == 0, "").otherwise("mindanao")
+    rows = properties(s, d).withColumn("at", at).withColumn("agrees", geo.region_agrees(recorded, F.col("lat"), F.col("lon")))
+    return rows.select("mall_id", "at.lat", "at.lon", "agrees")
+
+
+@query(
+    "focused_properties",
+    f"{EXPLORE} SELECT chain, mall_id, listings FROM pr WHERE {IN_SCOPE} AND (chain, mall_id) IN (SELECT (chain, mall_id) FROM edges WHERE brand_canonical = (SELECT min(brand_canonical) FROM edges))",
+)
+def _(s, d):
+    e = explorer(s, d)
+    first = e.edges.agg(F.min("brand_canonical")).first()[0]
+    return e.property_results(explore.replace(FILTERS, query="", category=frozenset(), focus=first)).select("chain", "mall_id", "listings")
+
+
+@query("plotted_properties", f"{EXPLORE} SELECT chain, mall_id, round(lat, 6) AS lat, round(lon, 6) AS lon FROM pr WHERE {IN_SCOPE} AND lat IS NOT NULL")
+def _(s, d):
+    rows = explorer(s, d).map_points(explore.replace(FILTERS, query="", category=frozenset()))[0]
+    return rows.select("chain", "mall_id", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
 # --- whole stages ---
 @query("clean_stage")
 def _(s, d):
