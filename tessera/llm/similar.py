@@ -92,20 +92,27 @@ def _close(groups: DataFrame, radius: int) -> DataFrame:
 
 
 def _entries(groups: DataFrame) -> DataFrame:
-    """(set, size, rest, shingle): the prefixes' shingles that several sets have; rest is what lies beyond the prefix."""
-    all_ = groups.select("set", "size", (F.col("size") - F.size("prefix")).alias("rest"), F.explode("prefix").alias("shingle"))
+    """(set, size, rest, known, shingle): the prefixes' shingles that several sets have.
+
+    rest is how much of the set lies beyond its prefix, known how many such shingles it has: of a group of
+    near copies the text that the others were edited from has the most.
+    """
+    all_ = groups.select("set", F.explode("prefix").alias("shingle"))
     several = all_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("shingle")
-    return written(all_.join(several, "shingle", "left_semi"), "entries")
+    shared = written(all_.join(several, "shingle", "left_semi"), "shared")
+    sizes = groups.select("set", "size", (F.col("size") - F.size("prefix")).alias("rest"))
+    about = shared.groupBy("set").agg(F.count(F.lit(1)).alias("known")).join(sizes, "set")
+    return written(shared.join(about, "set").select("set", "size", "rest", "known", "shingle"), "entries")
 
 
-def _may(shared: Column, share: Fraction) -> Column:
-    """Whether sets with so many shared shingles in their prefixes can be similar.
+def _need(share: Fraction) -> Column:
+    """How many shingles two prefixes must share if their sets are similar, times the sum of the share's parts.
 
     Two prefixes share a shingle if their sets are similar, since both list shingles in one order. Of all
     shared shingles, those outside both prefixes' common part lie beyond the prefix that ends first.
     """
-    up, down = F.lit(share.numerator), F.lit(share.denominator)
-    return (shared + F.greatest("rest_a", "rest_b")) * (up + down) >= (F.col("n_a") + F.col("n_b")) * up
+    up, both = F.lit(share.numerator), F.lit(share.numerator + share.denominator)
+    return (F.col("n_a") + F.col("n_b")) * up - F.greatest("rest_a", "rest_b") * both
 
 
 def _sizes(share: Fraction) -> Column:
@@ -113,17 +120,29 @@ def _sizes(share: Fraction) -> Column:
     return (F.col("n_a") * down >= F.col("n_b") * up) & (F.col("n_b") * down >= F.col("n_a") * up)
 
 
+def _sharing(sides: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): those whose rows, one for each shared shingle of their prefixes, are as many as similar sets have.
+
+    Pairs of which either set has fewer known shingles than that, or whose sizes are too far apart, go at the join.
+    """
+    both = F.lit(share.numerator + share.denominator)
+    may = _sizes(share) & (F.least("known_a", "known_b") * both >= _need(share))
+    counted = sides.filter(may).groupBy("a", "b", _need(share).alias("need")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") * both >= F.col("need")).select("a", "b")
+
+
+def _side(entries: DataFrame, name: str) -> DataFrame:
+    return entries.withColumnsRenamed({"set": name, "size": f"n_{name}", "rest": f"rest_{name}", "known": f"known_{name}", "near": f"near_{name}"})
+
+
 def _stars(entries: DataFrame, share: Fraction) -> DataFrame:
-    """(a, b): sets with the least set of a shingle they share, where that one may be similar; a row an entry at most.
+    """(a, b): sets with the hub of a shingle they share, where the two may be similar; a row an entry at most.
 
-    A large group of near copies is joined by these alone, so its pairs need no listing.
+    The hub is the set with most known shingles. A large group of near copies is joined by these alone, so
+    its pairs need no listing.
     """
-    hubs = entries.groupBy("shingle").agg(F.min(F.struct("set", "size", "rest")).alias("hub"))
-    both = entries.join(hubs, "shingle").select(
-        F.col("set").alias("a"), F.col("size").alias("n_a"), F.col("rest").alias("rest_a"), F.col("hub.set").alias("b"), F.col("hub.size").alias("n_b"), F.col("hub.rest").alias("rest_b")
-    )
-    counted = both.filter((F.col("a") != F.col("b")) & _sizes(share)).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter(_may(F.col("n"), share)).select("a", "b")
+    hubs = entries.groupBy("shingle").agg(F.max(F.struct("known", "set", "size", "rest")).alias("hub")).select("shingle", "hub.*")
+    return _sharing(_side(entries, "a").join(_side(hubs, "b"), "shingle").filter(F.col("a") != F.col("b")), share)
 
 
 def _apart(entries: DataFrame, near: DataFrame, share: Fraction) -> DataFrame:
@@ -131,10 +150,7 @@ def _apart(entries: DataFrame, near: DataFrame, share: Fraction) -> DataFrame:
     known = written(entries.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "known")
     mixed = known.groupBy("shingle").agg(F.min("near").alias("low"), F.max("near").alias("high")).filter(F.col("low") < F.col("high")).select("shingle")
     left = written(known.join(mixed, "shingle", "left_semi"), "mixed")
-    side = lambda s: left.select(F.col("set").alias(s), F.col("near").alias(f"near_{s}"), F.col("size").alias(f"n_{s}"), F.col("rest").alias(f"rest_{s}"), "shingle")
-    may = (F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b")) & _sizes(share)
-    shared = side("a").join(side("b"), "shingle").filter(may).groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("n"))
-    return shared.filter(_may(F.col("n"), share)).select("a", "b")
+    return _sharing(_side(left, "a").join(_side(left, "b"), "shingle").filter((F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b"))), share)
 
 
 def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
@@ -147,7 +163,7 @@ def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words:
 
     pairs = written(candidates, "candidates")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    wanted = groups.join(ends, "set", "left_semi").select("key", "set")
+    wanted = written(groups.join(ends, "set", "left_semi").select("key", "set"), "wanted")  # of a size that Spark knows: texts stay where they are if it is small
     texts = rows.select("key", "text").join(wanted, "key").select("set", "text").mapInArrow(run, "set long, all array<long>")
     full = written(texts.groupBy("set").agg(F.any_value("all").alias("all")), "full")
     both = pairs.join(full.withColumnsRenamed({"set": "a", "all": "all_a"}), "a").join(full.withColumnsRenamed({"set": "b", "all": "all_b"}), "b")
