@@ -1,7 +1,7 @@
 """Exact links of the SimHash operator where it is asked for a similarity of shingle sets.
 
 Two texts that share four fifths of their shingles differ in some ten bits of 64, beyond any ball that can be hashed. So
-fingerprints link what lies close, each set also meets the least set of every rare shingle it has, those links are verified
+fingerprints link what lies close, each set also meets the hub of every rare shingle it has, those links are verified
 on the sets themselves, and a prefix-filter join finds the similar pairs between groups that these left apart. No similar pair is missed.
 """
 
