@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import written
 from tessera.llm.components import connected_components
@@ -92,17 +93,17 @@ def _close(groups: DataFrame, radius: int) -> DataFrame:
 
 
 def _entries(groups: DataFrame) -> DataFrame:
-    """(set, size, rest, known, shingle): the prefixes' shingles that several sets have.
+    """(set, size, rest, known, at, shingle): the prefixes' shingles that several sets have, each at its place in the prefix.
 
     rest is how much of the set lies beyond its prefix, known how many such shingles it has: of a group of
     near copies the text that the others were edited from has the most.
     """
-    all_ = groups.select("set", F.explode("prefix").alias("shingle"))
+    all_ = groups.select("set", F.posexplode("prefix").alias("at", "shingle"))
     several = all_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("shingle")
     shared = written(all_.join(several, "shingle", "left_semi"), "shared")
     sizes = groups.select("set", "size", (F.col("size") - F.size("prefix")).alias("rest"))
     about = shared.groupBy("set").agg(F.count(F.lit(1)).alias("known")).join(sizes, "set")
-    return written(shared.join(about, "set").select("set", "size", "rest", "known", "shingle"), "entries")
+    return written(shared.join(about, "set").select("set", "size", "rest", "known", "at", "shingle"), "entries")
 
 
 def _need(share: Fraction) -> Column:
@@ -132,7 +133,7 @@ def _sharing(sides: DataFrame, share: Fraction) -> DataFrame:
 
 
 def _side(entries: DataFrame, name: str) -> DataFrame:
-    return entries.withColumnsRenamed({"set": name, "size": f"n_{name}", "rest": f"rest_{name}", "known": f"known_{name}", "near": f"near_{name}"})
+    return entries.withColumnsRenamed({c: f"{'n' if c == 'size' else c}_{name}" for c in ("size", "rest", "known", "near", "left")} | {"set": name})
 
 
 def _stars(entries: DataFrame, share: Fraction) -> DataFrame:
@@ -146,11 +147,24 @@ def _stars(entries: DataFrame, share: Fraction) -> DataFrame:
 
 
 def _apart(entries: DataFrame, near: DataFrame, share: Fraction) -> DataFrame:
-    """(a, b): pairs of sets of different ``near`` that may be similar; none that is similar is missing."""
-    known = written(entries.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "known")
-    mixed = known.groupBy("shingle").agg(F.min("near").alias("low"), F.max("near").alias("high")).filter(F.col("low") < F.col("high")).select("shingle")
-    left = written(known.join(mixed, "shingle", "left_semi"), "mixed")
-    return _sharing(_side(left, "a").join(_side(left, "b"), "shingle").filter((F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b"))), share)
+    """(a, b): pairs of sets of different ``near`` that may be similar; none that is similar is missing.
+
+    A pair is met at the first shingle that both prefixes have, and from there on each of them must still have as
+    many as the two need to share. So a set on the edge of a large group of near copies, whose every known
+    shingle would have to be shared, meets others at its rarest one only, and not at each that the group has.
+    """
+    placed = written(entries.join(near, "set", "left").withColumn("near", F.coalesce("near", "set")), "placed")
+    mixed = placed.groupBy("shingle").agg(F.min("near").alias("low"), F.max("near").alias("high")).filter(F.col("low") < F.col("high")).select("shingle")
+    onward = Window.partitionBy("set").orderBy(F.desc("at"))  # over one text's own shingles
+    rows = placed.join(mixed, "shingle", "left_semi").withColumn("left", F.row_number().over(onward))
+    rows = written(rows.select("set", "size", "rest", "near", "left", "shingle"), "mixed")
+    both = F.lit(share.numerator + share.denominator)
+    other = (F.col("a") < F.col("b")) & (F.col("near_a") != F.col("near_b"))
+    may = other & _sizes(share) & (F.least("left_a", "left_b") * both >= _need(share))
+    met = _side(rows, "a").join(_side(rows, "b"), "shingle").filter(may).select("a", "b", _need(share).alias("need")).distinct()
+    own = rows.groupBy("set").agg(F.collect_list("shingle").alias("own"))
+    counted = written(met, "met").join(own.withColumnsRenamed({"set": "a", "own": "own_a"}), "a").join(own.withColumnsRenamed({"set": "b", "own": "own_b"}), "b")
+    return counted.filter(F.size(F.array_intersect("own_a", "own_b")) * both >= F.col("need")).select("a", "b")
 
 
 def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
