@@ -33,7 +33,8 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Line items of parts as listings, with ``more`` columns of theirs."""
     item, part, s = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier"))
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     chains = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "r_name")
@@ -51,6 +52,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") < 6, F.col("l_linenumber")).alias("floor_level"),
         F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("0917"), F.lpad((F.col("l_partkey") % 10_000_000).cast("string"), 7, "0"))).when(F.col("l_partkey") % 5 == 1, F.lit("555-1234")).alias("phone"),
         F.date_format("l_shipdate", "yyyy-MM").alias("scraped_at"),
+        *more,
     )
 
 

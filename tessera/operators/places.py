@@ -8,7 +8,8 @@ from pyspark.sql.window import Window
 
 from tessera.functions import geo
 from tessera.functions.text import core_tokens, match_name, usable
-from tessera.operators.resolve import similar_candidates, with_ratio
+from tessera.operators.resolve import with_ratio
+from tessera.operators.similar import similar_candidates
 
 KEYS = ["chain", "mall_id"]
 ACCEPT, CERTAIN, CONTAINED = 0.90, 1.0, 0.93

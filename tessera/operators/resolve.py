@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import difflib
-import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from tessera.operators.similar import similar_candidates
 from tessera.operators.tables import reach, usable
+from tessera.scratch import written
 
 GENERIC_CATEGORIES = ("unknown", "shopping")
 
@@ -34,7 +34,7 @@ def propagate_categories(listings: DataFrame, entity: str = "brand_canonical", c
 
     Where no listing has a specific category, all sources say "operator".
     """
-    votes = category_votes(listings, entity, category)
+    votes = written(category_votes(listings, entity, category), "votes")
     generic = F.col(category).isin(*GENERIC_CATEGORIES)
     joined = listings.join(votes, entity, "left").crossJoin(F.broadcast(votes.agg((F.count(F.lit(1)) > 0).alias("_any"))))
     filled = F.when(generic & F.col("vote").isNotNull(), F.col("vote")).otherwise(F.col(category))
@@ -46,45 +46,6 @@ def propagate_categories(listings: DataFrame, entity: str = "brand_canonical", c
     )
 
 
-# --- similar strings without comparing all pairs ---
-def _letters(text: Column) -> Column:
-    """Each character with how often it has stood before: the elements of a multiset as a set."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, 1, i), lambda d: d == c)).cast("string")))
-
-
-def similar_candidates(left: DataFrame, right: DataFrame, threshold: float, same: bool = False) -> DataFrame:
-    """Pairs (left, right) of ``text`` that may reach a matching ratio of ``threshold``; none that does is lost.
-
-    The ratio 2M / (a + b) needs as many common letters, so two texts share one of the rarest letters that
-    are left when so many are set aside, and their lengths are alike. Texts are joined on those letters and
-    a band of lengths; the bound on common letters is checked before any slower test.
-    """
-    part = threshold / (2 - threshold)
-    texts = left.select("text").union(right.select("text")).distinct().withColumn("letters", _letters(F.col("text"))).withColumn("size", F.size("letters"))
-    rarity = texts.select(F.explode("letters").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-
-    def prefixes(df: DataFrame, name: str) -> DataFrame:
-        own = texts.join(df.select("text").distinct(), "text", "left_semi")
-        tokens = own.select("text", "size", F.explode("letters").alias("token")).join(rarity, "token")
-        order = Window.partitionBy("text").orderBy("df", "token")
-        keep = F.col("size") - F.ceil(F.col("size") * part - 1e-9) + 1
-        ranked = tokens.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep)
-        return ranked.select(F.col("text").alias(name), F.col("size").alias(f"{name}_size"), "token")
-
-    a, b = prefixes(left, "left"), prefixes(right, "right")
-    width = -math.log(part) + 1e-9  # lengths within a factor lie in the same band or in neighbours
-    band = lambda c: F.floor(F.log(F.col(c).cast("double")) / width)
-    a = a.withColumn("band", F.explode(F.array(band("left_size") - 1, band("left_size"), band("left_size") + 1)))
-    b = b.withColumn("band", band("right_size"))
-    alike = F.least("left_size", "right_size") >= part * F.greatest("left_size", "right_size") - 1e-9
-    pairs = a.join(b, ["token", "band"]).filter(alike & (F.col("left") < F.col("right") if same else F.lit(True))).select("left", "right").distinct()
-    side = lambda name: texts.select(F.col("text").alias(name), F.col("letters").alias(f"{name}_letters"))
-    common = F.size(F.array_intersect("left_letters", "right_letters"))
-    bound = 2 * common >= threshold * (F.size("left_letters") + F.size("right_letters")) - 1e-9
-    return pairs.join(side("left"), "left").join(side("right"), "right").filter(bound).select("left", "right")
-
-
 def with_ratio(pairs: DataFrame, left: str = "left", right: str = "right", out: str = "ratio") -> DataFrame:
     """``pairs`` with the sequence-matching ratio, whose value depends on the order of the two."""
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geo, text
 from tessera.operators import places, quality, resolve, serving, snapshots, tables
+from tessera.scratch import written
 from tessera.sources.snapshots import STAGES, Snapshots
 
 CLEAN_COLUMNS = (
@@ -15,18 +16,34 @@ CLEAN_COLUMNS = (
 )
 
 
+def once_each(df: DataFrame, column: str, made: dict[str, Column]) -> DataFrame:
+    """``df`` with columns made of ``column``, each computed once for each of its distinct values.
+
+    The distinct values are written with what is made of them and joined back on plain exchanges: where they are few,
+    Spark broadcasts them, and else it can split the rows of a value that many have.
+    """
+    values = written(df.select(column).distinct().withColumns(made), f"values_{column}").withColumnRenamed(column, "_value")
+    return df.join(values, df[column].eqNullSafe(F.col("_value")), "left").drop("_value")
+
+
 def enriched(listings: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """Listings with standard columns beside the raw ones, and what is odd about each."""
+    """Listings with standard columns beside the raw ones, and what is odd about each.
+
+    A directory spells few names, floors and categories very often, so each distinct one is worked out once.
+    """
     for column in ("category", "floor", "phone"):
         if column not in listings.columns:
             listings = listings.withColumn(column, F.lit(None).cast("string"))
-    named = listings.withColumn("store_name", text.clean_name(F.col("store_name_raw")))
-    keyed = named.withColumn("brand_key", text.entity_key(F.col("store_name")))
+    made = [c for c in CLEAN_COLUMNS if c in listings.columns and c not in ("chain", "mall_id", "store_name_raw", "category", "floor", "building", "phone", "source", "scraped_at")]
+    raw = F.col("store_name_raw")
+    names = listings.drop(*made).transform(once_each, "store_name_raw", {"store_name": text.clean_name(raw), "store_format": text.listing_format(raw)})
+    keyed = once_each(names, "store_name", {"brand_key": text.entity_key(F.col("store_name"))})
     keyed = resolve.resolve_aliases(keyed, aliases) if aliases is not None else keyed.withColumn("brand_canonical", F.col("brand_key"))
-    voted = resolve.propagate_categories(keyed.withColumn("category_std", text.category(F.col("category"))))
-    floors = voted.withColumn("_floor", text.floor(F.col("floor"))).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")})
-    phones = floors.withColumn("store_format", text.listing_format(F.col("store_name_raw"))).withColumn("phone", text.clean_phone(F.col("phone")))
-    flagged = quality.quality_flags(phones.withColumn("phone_e164", text.e164(F.col("phone"))))
+    voted = resolve.propagate_categories(once_each(keyed, "category", {"category_std": text.category(F.col("category"))}))
+    floors = once_each(voted, "floor", {"_floor": text.floor(F.col("floor"))}).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")})
+    phone = text.clean_phone(F.col("phone"))
+    phones = once_each(floors, "phone", {"_phone": phone, "phone_e164": text.e164(phone)}).withColumn("phone", F.col("_phone"))
+    flagged = quality.quality_flags(phones)
     return flagged.select(*(c for c in CLEAN_COLUMNS if c in flagged.columns))
 
 

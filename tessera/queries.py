@@ -225,13 +225,21 @@ def _raw(s, d, words: tuple) -> DataFrame:
     return part.select("p_partkey", F.concat(_cases(_array(words), len(words)), F.when(F.col("p_partkey") % 2 == 0, "").otherwise(" ")).alias("v"))
 
 
-RULES_SQL = " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{n}'" for n, p in text.CATEGORY_PATTERNS)
+CATEGORY_SQL = """CASE WHEN x IS NULL OR x IN ('', 'all', 'undefined', 'others', 'other', 'n/a', 'none') OR regexp_full_match(x, '[0-9]+') THEN 'unknown'
+  WHEN regexp_matches(x, 'cyberzone|cybermart|gadget|telecom|computer|electronic|mobile.?phone') THEN 'electronics' WHEN regexp_matches(x, 'grocer|supermarket|food retail|convenience') THEN 'groceries'
+  WHEN regexp_matches(x, 'cinema|amusement|recreation|entertaine?ment|experience|arcade|recharge') THEN 'entertainment' WHEN regexp_matches(x, 'bank|atm|government|courier|school|fellowship|services') THEN 'services'
+  WHEN regexp_matches(x, 'optical|health|beauty|wellness|salon|spa|drug|clinic|pharmac') THEN 'health_beauty'
+  WHEN regexp_matches(x, 'dining|dine|food|restaurant|bakeshop|bread|pastr|coffee|kiosk|ice.?cream|juice|shake|fries|milk|dairy|snack|waffle|shawarma|candies') THEN 'dining'
+  WHEN regexp_matches(x, 'apparel|fashion|shoes|bag|luggage|accessor|jewel|watch|fragrance|department') THEN 'fashion' WHEN regexp_matches(x, 'home|furnish|appliance|hardware|houseware|real estate') THEN 'home'
+  WHEN regexp_matches(x, 'hobb|specialt|book|toy|sport|pet|photo|flower|novelt') THEN 'specialty' WHEN regexp_matches(x, 'shop|retail|essentials') THEN 'shopping' ELSE 'unknown' END"""
+#: An all-capitals word of letters, digits and signs with at most one run of letters.
+CASED_SQL = """CASE WHEN regexp_full_match(w, '[A-Z]{2,}') AND NOT regexp_matches(w, '[AEIOU]') AND w NOT IN ('BY', 'MY', 'GYM', 'SKY', 'DRY', 'FLY', 'TRY', 'WHY') THEN w ELSE concat(upper(substr(w, 1, 1)), lower(substr(w, 2))) END"""
 
 
 @query(
     "standard_category",
     f"""WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS v FROM documents), l AS (SELECT v, lower(trim(v)) AS x FROM w)
-SELECT v, CASE WHEN x IN ('', 'all', 'undefined', 'others', 'other', 'n/a', 'none') OR regexp_full_match(x, '[0-9]+') THEN 'unknown' {RULES_SQL} ELSE 'unknown' END AS category_std FROM l""",
+SELECT v, {CATEGORY_SQL} AS category_std FROM l""",
 )
 def _(s, d):
     words = table(s, d, "documents").select(F.explode(F.split("text", " ")).alias("v")).distinct()
@@ -275,9 +283,17 @@ def _(s, d):
     return tables.count_by(out, "v", "phone", "phone_e164")
 
 
-@query("clean_names")
+@query(
+    "clean_names",
+    rf"""{WITH}, n AS (SELECT DISTINCT upper(store_name_raw) AS v, mall_id FROM list), r AS (SELECT concat(v, ' mc', mall_id, ' (02) 8123-', lpad(mall_id, 4, '0')) AS store_name_raw, concat(v, ' MC', mall_id, ' - ') AS loud FROM n),
+u AS (SELECT store_name_raw, store_name_raw AS shown, false AS up FROM r UNION SELECT upper(concat(loud, '(OPENING SOON)')), regexp_replace(loud, '[ -]+$', ''), true FROM r)
+SELECT store_name_raw, CASE WHEN up THEN array_to_string(list_transform(string_split(shown, ' '), lambda w: {CASED_SQL}), ' ') ELSE regexp_replace(shown, ' \(02\) 8123-[0-9]+$', '') END AS store_name FROM u""",
+)
 def _(s, d):
-    raw = listings(s, d).select(F.concat(F.upper("store_name_raw"), F.lit(" (02) 8123-4567")).alias("store_name_raw")).distinct()
+    n = listings(s, d).select(F.upper("store_name_raw").alias("v"), "mall_id").distinct()
+    quiet = F.concat("v", F.lit(" mc"), "mall_id", F.lit(" (02) 8123-"), F.when(F.length("mall_id") < 4, F.lpad("mall_id", 4, "0")).otherwise(F.substring("mall_id", 1, 4)))
+    loud = F.concat("v", F.lit(" MC"), "mall_id", F.lit(" - (OPENING SOON)"))
+    raw = n.select(quiet.alias("store_name_raw")).union(n.select(loud)).distinct()
     return raw.withColumn("store_name", text.clean_name(F.col("store_name_raw")))
 
 
@@ -959,10 +975,28 @@ def _(s, d):
 
 
 # --- whole stages ---
-@query("clean_stage")
-def _(s, d):
-    raw = listings(s, d).select("chain", "mall_id", "store_name_raw", F.element_at(_array(CATEGORY_WORDS), F.length("category")).alias("category"), "floor", "phone", "scraped_at")
-    return stages.enriched(raw)
+@query(
+    "clean_stage",
+    rf"""{WITH.replace("l_linenumber) AS floor,", "l_linenumber) AS floor, l_partkey AS pk,", 1)}, first AS (SELECT doc_id, split_part(text, ' ', 1) AS word FROM documents),
+raw AS (SELECT chain, mall_id, CASE WHEN pk % 2 = 1 THEN upper(store_name_raw) ELSE store_name_raw END AS store_name_raw, word AS category, floor, floor_std, l AS floor_level, phone, scraped_at
+  FROM (SELECT *, CAST(substr(floor, 7) AS INTEGER) AS l FROM list) LEFT JOIN first ON doc_id = pk),
+named AS (SELECT *, CASE WHEN store_name_raw = upper(store_name_raw) THEN array_to_string(list_transform(string_split(store_name_raw, ' '), lambda w: {CASED_SQL}), ' ') ELSE store_name_raw END AS store_name FROM raw),
+keyed AS (SELECT *, trim(regexp_replace(lower(store_name), '[^a-z0-9&() ]+', ' ', 'g')) AS brand_key, lower(trim(category)) AS x FROM named),
+std AS (SELECT *, {CATEGORY_SQL} AS own FROM keyed),
+votes AS (SELECT brand_key, own AS vote FROM (SELECT brand_key, own, row_number() OVER (PARTITION BY brand_key ORDER BY count(*) DESC, own) AS k FROM std WHERE own NOT IN ('unknown', 'shopping') GROUP BY brand_key, own) WHERE k = 1),
+given AS (SELECT *, own IN ('unknown', 'shopping') AND vote IS NOT NULL AS taken FROM std LEFT JOIN votes USING (brand_key)),
+done AS (SELECT *, CASE WHEN taken THEN vote ELSE own END AS category_std, CASE WHEN length(phone) = 11 THEN concat('+63', substr(phone, 2)) END AS phone_e164,
+  count(*) OVER (PARTITION BY chain, mall_id, brand_key, floor_std) > 1 AS twice FROM given)
+SELECT chain, mall_id, store_name_raw, store_name, brand_key, brand_key AS brand_canonical, category, category_std,
+  CASE WHEN (SELECT count(*) FROM votes) = 0 THEN 'operator' WHEN category_std = 'unknown' THEN 'none' WHEN taken THEN 'propagated' ELSE 'operator' END AS category_source, 'standard' AS store_format,
+  floor, floor_std, floor_level, phone, phone_e164, scraped_at,
+  concat_ws('|', CASE WHEN category_std = 'unknown' THEN 'category_unmapped' END, CASE WHEN phone IS NOT NULL AND phone_e164 IS NULL THEN 'phone_unparsed' END, CASE WHEN twice THEN 'duplicate_in_mall' END) AS dq_flags FROM done""",
+)
+def _(s, d):
+    words = table(s, d, "documents").select(F.col("doc_id").alias("l_partkey"), F.substring_index("text", " ", 1).alias("word"))
+    rows = listings(s, d, "l_partkey").join(words, "l_partkey", "left")
+    shouted = F.when(F.col("l_partkey") % 2 == 1, F.upper("store_name_raw")).otherwise(F.col("store_name_raw"))
+    return stages.enriched(rows.select("chain", "mall_id", shouted.alias("store_name_raw"), F.col("word").alias("category"), "floor", "phone", "scraped_at"))
 
 
 @query("run_findings")
