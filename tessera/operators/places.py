@@ -117,11 +117,12 @@ def accepted_results(asked: DataFrame, hits: DataFrame, accept: float = ACCEPT)
     found = asked.join(hits.withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")}), "query").filter(geo.in_bounds(F.col("lat"), F.col("lon")))
     found = found.withColumns({"ours": match_name(F.col("mall_name")), "theirs": match_name(F.coalesce("name", F.lit("")))})
     found = found.withColumns({"our_words": core_tokens(F.col("ours")), "their_words": core_tokens(F.col("theirs"))})
-    scored = with_ratio(found, "ours", "theirs", "ratio")
     exact = (F.col("ours") == F.col("theirs")) | ((F.size("our_words") > 0) & (F.col("our_words") == F.col("their_words")))
     within = (F.size("our_words") > 1) & (F.size(F.array_except("our_words", "their_words")) == 0) & (F.size("their_words") - F.size("our_words")).between(1, 2)
-    named = F.col("by_name") & (exact | within | (F.col("ratio") >= accept))
-    good = scored.filter(named | geo.region_agrees(F.col("region"), F.col("lat"), F.col("lon")))
+    # only names that no plain test settles are compared letter by letter
+    told = found.withColumn("_good", (F.col("by_name") & (exact | within)) | geo.region_agrees(F.col("region"), F.col("lat"), F.col("lon")))
+    unsettled = told.filter(~F.coalesce("_good", F.lit(False)) & F.col("by_name"))
+    good = told.filter("_good").unionByName(with_ratio(unsettled, "ours", "theirs", "ratio").filter(F.col("ratio") >= accept).drop("ratio"))
     first = good.withColumn("_rank", F.row_number().over(Window.partitionBy(*KEYS).orderBy("attempt", "pos"))).filter("_rank = 1")
     return first.select(
         *KEYS,
@@ -142,15 +143,36 @@ def updated_registry(registry: DataFrame, *found: DataFrame) -> DataFrame:
     return out
 
 
-def reappeared(gaps: DataFrame, names: DataFrame, most_gaps: int = 10_000) -> DataFrame:
-    """Known gaps whose name contains a published name or stands in one, whatever the case.
+def _substrings(text: Column, sizes: Column) -> Column:
+    """All parts of a text with the lengths that ``sizes`` holds."""
+    each = F.transform(sizes, lambda q: F.when(F.length(text) >= q, F.transform(F.sequence(F.lit(1), F.length(text) - q + 1), lambda i: F.substr(text, i, q))).otherwise(F.expr("cast(array() as array<string>)")))
+    return F.array_distinct(F.flatten(each))
 
-    No key narrows such a test, so the gaps, a committed list, are broadcast; their number is checked.
+
+def containing(parts: DataFrame, wholes: DataFrame, gram: int = 5) -> DataFrame:
+    """(part, whole) of ``text``: all pairs in which the whole holds the part; empty texts are in none.
+
+    A part meets wholes on one of its grams only, the one that fewest wholes hold; a part shorter than ``gram`` is its own gram. So
+    pairs meet by equality, and each whole spells its grams once.
     """
-    if gaps.count() > most_gaps:
-        raise ValueError(f"more than {most_gaps} known gaps")
-    gap, name = F.lower("gap_name"), F.lower("mall_name")
-    return names.select("mall_name").distinct().join(F.broadcast(gaps.select("gap_name").distinct()), gap.contains(name) | name.contains(gap)).select("gap_name", "mall_name")
+    parts = parts.select(F.col("text").alias("part")).filter("part <> ''").distinct()
+    wholes = wholes.select(F.col("text").alias("whole")).filter("whole <> ''").distinct()
+    grams = wholes.select("whole", F.explode(_substrings(F.col("whole"), F.array(*map(F.lit, range(1, gram + 1))))).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    size = F.least(F.length("part"), F.lit(gram))
+    own = parts.select("part", F.explode(_substrings(F.col("part"), F.array(size))).alias("gram")).join(held, "gram", "left")
+    rarest = own.groupBy("part").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return rarest.join(grams, "gram").filter(F.contains("whole", "part")).select("part", "whole")
+
+
+def reappeared(gaps: DataFrame, names: DataFrame) -> DataFrame:
+    """Known gaps whose name contains a published name or stands in one, whatever the case; blank names are in none."""
+    lower = lambda df, c: df.select(F.col(c), F.lower(c).alias("text")).distinct()
+    gap, name = lower(gaps, "gap_name"), lower(names, "mall_name")
+    inside = containing(name, gap).select(F.col("whole").alias("gap"), F.col("part").alias("name"))
+    around = containing(gap, name).select(F.col("part").alias("gap"), F.col("whole").alias("name"))
+    both = inside.union(around).distinct()
+    return both.join(gap.withColumnRenamed("text", "gap"), "gap").join(name.withColumnRenamed("text", "name"), "name").select("gap_name", "mall_name")
 
 
 def open_gaps(gaps: DataFrame, today: str) -> DataFrame:
@@ -158,12 +180,21 @@ def open_gaps(gaps: DataFrame, today: str) -> DataFrame:
     return gaps.filter(F.col("property_type").endswith("mall") & (F.col("opened").isNull() | (F.substring("opened", 1, 10) <= today)))
 
 
-def unmatched_roster(roster: DataFrame, live: DataFrame, roster_key: str = "roster_key", live_key: str = "live_key", most_live: int = 10_000) -> DataFrame:
-    """Roster rows of which no live key is a prefix or an extension; the live list is broadcast after a check of its size."""
-    if live.count() > most_live:
-        raise ValueError(f"more than {most_live} live keys")
-    a, b = F.col(roster_key), F.col(live_key)
-    return roster.join(F.broadcast(live.select(live_key).distinct()), a.startswith(b) | b.startswith(a), "left_anti")
+def _beginnings(df: DataFrame, key: str) -> DataFrame:
+    """(key, text): each key with all of its beginnings, the empty one and the whole included."""
+    own = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    return own.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.length(key)), lambda n: F.substring(F.col(key), F.lit(1), n))).alias("text"))
+
+
+def unmatched_roster(roster: DataFrame, live: DataFrame, roster_key: str = "roster_key", live_key: str = "live_key") -> DataFrame:
+    """Roster rows of which no live key is a prefix or an extension; null keys match none.
+
+    Keys meet by equality with the beginnings of the other side: each side spells its own, and only asks whether one is there.
+    """
+    live = live.select(F.col(live_key).alias("live"))
+    above = _beginnings(roster, roster_key).join(live.withColumnRenamed("live", "text"), "text", "left_semi").select(roster_key)
+    below = roster.select(roster_key).join(_beginnings(live, "live").select(F.col("text").alias(roster_key)), roster_key, "left_semi")
+    return roster.join(above.union(below).distinct(), roster_key, "left_anti")
 
 
 def map_clusters(points: DataFrame, zoom: int) -> DataFrame:

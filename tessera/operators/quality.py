@@ -130,6 +130,50 @@ def drop_history(listings: DataFrame, snapshot: str, most: float = 0.20, group:
     return counts.withColumn("before", before).withColumn("change", F.round(change, 6)).filter(change < -most)
 
 
+def key_history(rows: DataFrame, snapshot: str, keys: list[str], snapshots: DataFrame | None = None) -> DataFrame:
+    """(keys, snapshot, n, before, change, first_seen, times): what happened to each key at each snapshot, in one pass over all of them.
+
+    ``change`` is first, back, gone or kept; n is the key's rows there (0 where gone) and before those at the last snapshot that had it. A key is
+    gone at the first snapshot without it, and back at the next with it. ``snapshots`` are the dates in order (those of the rows by default), a small table
+    that is numbered and broadcast; everything else is grouped and ordered by key, so a key's whole history is one window.
+    """
+    dates = rows.select(snapshot).distinct() if snapshots is None else snapshots.select(snapshot).distinct()
+    numbered = dates.filter(F.col(snapshot).isNotNull()).withColumn("_at", F.row_number().over(Window.orderBy(snapshot)))
+    counts = rows.groupBy(*keys, snapshot).agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(numbered), snapshot)
+    own = Window.partitionBy(*keys).orderBy("_at")
+    state = counts.withColumns(
+        {"before": F.lag("n").over(own), "_last": F.lag("_at").over(own), "_next": F.lead("_at").over(own), "first_seen": F.min(snapshot).over(own), "times": F.row_number().over(own)}
+    )
+    change = F.when(F.col("_last").isNull(), "first").when(F.col("_last") < F.col("_at") - 1, "back").otherwise("kept")
+    there = state.select(*keys, "_at", "n", "before", change.alias("change"), "first_seen", "times")
+    ended = state.filter(F.col("_next").isNull() | (F.col("_next") > F.col("_at") + 1))
+    gone = ended.select(*keys, (F.col("_at") + 1).alias("_at"), F.lit(0).cast("long").alias("n"), F.col("n").alias("before"), F.lit("gone").alias("change"), "first_seen", "times")
+    return there.unionByName(gone).join(F.broadcast(numbered), "_at").select(*keys, snapshot, "n", "before", "change", "first_seen", "times")
+
+
+def history_findings(properties: DataFrame, listings: DataFrame, snapshot: str = "scraped_at", most: float = 0.20) -> DataFrame:
+    """(snapshot, severity, kind, key, detail) of every snapshot against the one before it, as ``run_findings`` tells them for one pair.
+
+    ``properties`` and ``listings`` hold all snapshots. Properties are gone or added by their id alone; drops are of containers that
+    both snapshots list; counts are of every group.
+    """
+    tell = lambda df, severity, kind, key, detail: df.select(snapshot, F.lit(severity).alias("severity"), F.lit(kind).alias("kind"), key.alias("key"), detail.cast("string").alias("detail"))
+    dates = properties.select(snapshot).union(listings.select(snapshot)).distinct()
+    first = dates.agg(F.min(snapshot)).first()[0]
+    known = key_history(properties, snapshot, ["mall_id"], dates)
+    held = key_history(listings, snapshot, ["chain", "mall_id"], dates)
+    drops = held.filter((F.col("change") == "kept") & ((F.col("n") - F.col("before")) / F.col("before") < -most))
+    groups = properties.groupBy(snapshot, "chain").agg(F.count(F.lit(1)).alias("p")).join(listings.groupBy(snapshot, "chain").agg(F.count(F.lit(1)).alias("l")), [snapshot, "chain"], "left")
+    counted = F.concat_ws(" properties, ", F.col("p"), F.concat(F.coalesce("l", F.lit(0)).cast("string"), F.lit(" listings")))
+    added = known.filter(F.col("change").isin("first", "back") & (F.col(snapshot) > F.lit(first)))
+    return (
+        tell(groups, "info", "counts", F.col("chain"), counted)
+        .unionByName(tell(known.filter("change = 'gone'"), "warning", "gone", F.col("mall_id"), F.lit("")))
+        .unionByName(tell(added, "info", "added", F.col("mall_id"), F.lit("")))
+        .unionByName(tell(drops, "warning", "count_drop", _key("chain", "mall_id"), F.concat_ws(" -> ", F.col("before"), F.col("n"))))
+    )
+
+
 def capped_groups(df: DataFrame, keys: list[str], cap: int) -> DataFrame:
     """Groups with exactly as many rows as a source is known to serve at most."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == cap)

@@ -8,10 +8,13 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import search_alias
 from tessera.operators.quality import GEO_PRECISIONS, GEO_SOURCES
-from tessera.operators.tables import edges, usable
+from tessera.operators.tables import edges, listing_counts, totals, usable
+from tessera.scratch import written
 
 ENTITY = "brand_canonical"
 COORDINATE_DIGITS = 5
+#: Bits of one word of a bitmap of groups, its sign left out.
+WORD = 63
 
 
 def codes(values: DataFrame, column: str, most: int = 100_000) -> DataFrame:
@@ -25,16 +28,32 @@ def codes(values: DataFrame, column: str, most: int = 100_000) -> DataFrame:
 def dense_codes(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """``df`` with positions 0, 1, ... in the order of the given columns, for tables of any size.
 
-    Rows are dealt by ranges; each range is numbered on its own and begins after those before it, so only one
-    count for each range is gathered.
+    First pass: rows are dealt by ranges, numbered within theirs and written, which settles the sampled bounds and the order of ties.
+    Second pass: one count for each range of the written table tells where the range begins. Whatever is repeated later reads
+    the same table, so a row keeps its code.
     """
     dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    ranked = dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
+    ranked = written(dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1), "ranges")
     sizes = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
     return ranked.join(F.broadcast(starts), "_part").withColumn(out, (F.col("_start") + F.col("_in")).cast("long")).drop("_part", "_in", "_start")
 
 
+def adjacency(edges: DataFrame, nodes: DataFrame, node: str, neighbour: str) -> tuple[DataFrame, DataFrame]:
+    """Sparse rows of a graph: offsets (node, first, n), and a flat array (pos, neighbour) in the order of nodes and then neighbours.
+
+    ``nodes`` are numbered 0, 1, ... without gaps; those without edges have n = 0 and begin where the next one does. One numbering of edges
+    and nodes together, each node ahead of its own edges, gives both: as many nodes as a row's own number tells stand before it.
+    """
+    marked = nodes.select(F.col(node).cast("long").alias(node), F.lit(None).cast("long").alias(neighbour)).unionByName(edges.select(F.col(node).cast("long").alias(node), F.col(neighbour).cast("long").alias(neighbour)).distinct())
+    placed = written(dense_codes(marked, [node, neighbour], "_at"), "adjacency")  # nulls come first
+    own = placed.filter(F.col(neighbour).isNotNull())
+    flat = own.select((F.col("_at") - F.col(node) - 1).alias("pos"), neighbour)
+    counts = own.groupBy(node).agg(F.count(F.lit(1)).alias("n"))
+    starts = placed.filter(F.col(neighbour).isNull()).select(node, (F.col("_at") - F.col(node)).alias("first"))
+    return starts.join(counts, node, "left").select(node, "first", F.coalesce("n", F.lit(0)).alias("n")), flat
+
+
 def coded(df: DataFrame, dim: DataFrame, column: str, out: str, missing: int = -1) -> DataFrame:
     """``df`` with the code of ``column``, ``missing`` where the dimension lacks it."""
     named = F.broadcast(dim.select(F.col("value").alias(column), F.col("code").alias(out)))
@@ -42,21 +61,45 @@ def coded(df: DataFrame, dim: DataFrame, column: str, out: str, missing: int = -
 
 
 def chain_mask(code: Column) -> Column:
-    """Bits of the groups an entity is in; for up to 63 groups."""
+    """Bits of the groups an entity is in; for up to WORD groups."""
     return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), code.cast("int")))
 
 
+def group_bits(members: DataFrame, key: str, code: str, groups: int, out: str = "group_bits") -> DataFrame:
+    """(key, bits): the groups each key is in, as an array of longs that hold WORD bits each, for any number of groups.
+
+    Group ``code`` is bit ``code % WORD`` of word ``code div WORD``. Words are made where the rows are and gathered key by key; words
+    without a group are 0, and all arrays are equally long. Negative codes are no group.
+    """
+    word = F.floor(F.col(code) / WORD).cast("int")
+    words = members.filter(F.col(code) >= 0).groupBy(key, word.alias("_word")).agg(chain_mask(F.col(code) % WORD).alias("_bits"))
+    held = words.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_held"))
+    every = F.sequence(F.lit(0), F.lit(max(0, (groups - 1) // WORD)))
+    return held.select(key, F.transform(every, lambda w: F.coalesce(F.try_element_at("_held", w), F.lit(0).cast("long"))).alias(out))
+
+
+def has_group(bits: Column, code: int) -> Column:
+    return F.call_function("getbit", F.element_at(bits, code // WORD + 1), F.lit(code % WORD)) == 1
+
+
 def entity_rows(listings: DataFrame, chains: DataFrame, entity: str = ENTITY) -> DataFrame:
-    """Per entity: shown name, primary and all categories, containers, groups as bits, and a search alias."""
-    if chains.count() > 63:
-        raise ValueError("a mask holds 63 groups at most")
+    """Per entity: shown name, primary and all categories, containers, groups as bits, and a search alias.
+
+    ``chain_bits`` holds the bits of any number of groups; ``chain_mask`` is the single word of up to WORD groups, null beyond.
+    """
+    groups = chains.count()
     named = listings.filter(usable(entity))
     known = F.when(F.col("category_std") != "unknown", F.col("category_std"))
     shown = named.groupBy(entity).agg(
         F.mode("store_name", True).alias("name"), F.mode(known, True).alias("category"), F.array_sort(F.collect_set(known)).alias("categories")
     )
-    spread = coded(edges(listings, entity), chains, "chain", "chain_code").groupBy(entity).agg(F.count(F.lit(1)).alias("malls"), chain_mask(F.col("chain_code")).alias("chain_mask"))
-    return shown.join(spread, entity).withColumn("alias", search_alias(F.col(entity), F.col("name")))
+    spread = coded(edges(listings, entity), chains, "chain", "chain_code")
+    bits = group_bits(spread, entity, "chain_code", groups, "chain_bits")
+    none = F.array_repeat(F.lit(0).cast("long"), max(1, -(-groups // WORD)))
+    mask = F.element_at("chain_bits", 1) if groups <= WORD else F.lit(None).cast("long")
+    counted = spread.groupBy(entity).agg(F.count(F.lit(1)).alias("malls")).join(bits, entity, "left")
+    counted = counted.withColumn("chain_bits", F.coalesce("chain_bits", none)).withColumn("chain_mask", mask)
+    return shown.join(counted, entity).withColumn("alias", search_alias(F.col(entity), F.col("name")))
 
 
 def property_flags(properties: DataFrame, listings: DataFrame, caveats: dict[str, str] | None = None) -> DataFrame:
@@ -81,10 +124,8 @@ def digest(df: DataFrame) -> str:
     return df.agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *sums), 256).substr(1, 12).alias("d")).first()["d"]
 
 
-def bundle(properties: DataFrame, listings: DataFrame, entity: str = ENTITY, caveats: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """Dimensions, properties, entities, edges and totals, all coded."""
-    from tessera.operators.tables import listing_counts, totals
-
+def coded_graph(properties: DataFrame, listings: DataFrame, entity: str = ENTITY) -> tuple[dict[str, DataFrame], DataFrame, DataFrame, DataFrame]:
+    """Dimensions by name, and coded properties, entities and edges."""
     spark = properties.sparkSession
     fixed = lambda words: spark.createDataFrame([(w, i) for i, w in enumerate(words)], "value string, code int")
     kinds = properties.withColumn("property_type", F.coalesce("property_type", F.lit("mall")))
@@ -102,11 +143,23 @@ def bundle(properties: DataFrame, listings: DataFrame, entity: str = ENTITY, cav
     rows = rows.withColumns({c: F.round(c, COORDINATE_DIGITS) for c in ("lat", "lon")})
     named = coded(entity_rows(listings, dims["chains"], entity), dims["categories"], "category", "category_ix")
     entities = dense_codes(named, [entity], "brand_ix")
+    entities, rows = written(entities, "entities"), written(rows, "properties")
     pairs = edges(listings, entity).join(entities.select(entity, "brand_ix"), entity).join(rows.select("chain", "mall_id", "mall_ix"), ["chain", "mall_id"])
+    return dims, rows, entities, pairs.select("brand_ix", "mall_ix")
+
+
+def bundle(properties: DataFrame, listings: DataFrame, entity: str = ENTITY, caveats: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Dimensions, properties, entities, edges, sparse rows of both directions and totals, all coded."""
+    dims, rows, entities, pairs = coded_graph(properties, listings, entity)
+    pairs = written(pairs, "edges")
+    sparse = {}
+    for name, nodes, node, other in (("entity", entities, "brand_ix", "mall_ix"), ("property", rows, "mall_ix", "brand_ix")):
+        sparse[f"{name}_offsets"], sparse[f"{name}_neighbours"] = adjacency(pairs, nodes, node, other)
     return {
         **dims,
         "properties": rows.join(property_flags(properties, listings, caveats), ["chain", "mall_id"]),
         "entities": entities,
-        "edges": pairs.select("brand_ix", "mall_ix"),
-        "totals": totals(kinds, listings, entity),
+        "edges": pairs,
+        **sparse,
+        "totals": totals(properties.withColumn("property_type", F.coalesce("property_type", F.lit("mall"))), listings, entity),
     }

@@ -16,6 +16,13 @@ CLEAN_COLUMNS = (
 )
 
 
+#: The orders in which people read the written tables; a minus is for falling values.
+CLEAN_ORDER = ("chain", "mall_id", "brand_key", "store_name_raw")
+AUDIT_ORDER = ("category_std", "-listings", "chain", "category")
+REVIEW_ORDER = ("-raw_variants", "-listings", "brand_key")
+PROPERTY_ORDER = ("chain", "-listings", "mall_id")
+
+
 def once_each(df: DataFrame, column: str, made: dict[str, Column]) -> DataFrame:
     """``df`` with columns made of ``column``, each computed once for each of its distinct values.
 
@@ -125,10 +132,10 @@ def breakdown(properties: DataFrame, listings: DataFrame, gaps: DataFrame | None
 
 def clean(store: Snapshots, run_date: str, aliases: DataFrame | None = None) -> None:
     stores = store.need(run_date, STAGES[0], "stores")
-    store.write(run_date, STAGES[1], "stores_clean", enriched(stores, aliases))
+    store.write(run_date, STAGES[1], "stores_clean", enriched(stores, aliases), order=CLEAN_ORDER)
     cleaned = store.need(run_date, STAGES[1], "stores_clean")
-    store.write(run_date, STAGES[1], "category_mapping", quality.mapping_audit(cleaned, text.category(F.col("category"))))
-    store.write(run_date, STAGES[1], "normalization_review", quality.variant_review(cleaned))
+    store.write(run_date, STAGES[1], "category_mapping", quality.mapping_audit(cleaned, text.category(F.col("category"))), order=AUDIT_ORDER)
+    store.write(run_date, STAGES[1], "normalization_review", quality.variant_review(cleaned), order=REVIEW_ORDER)
 
 
 def report(store: Snapshots, run_date: str) -> None:
@@ -137,6 +144,12 @@ def report(store: Snapshots, run_date: str) -> None:
         store.write(run_date, STAGES[2], name, df)
 
 
+def write_breakdown(store: Snapshots, run_date: str, gaps: DataFrame | None = None, excluded: DataFrame | None = None) -> None:
+    """The frames of ``breakdown`` as tables of the report, properties in their order."""
+    for name, df in breakdown(store.need(run_date, STAGES[0], "malls"), store.need(run_date, STAGES[1], "stores_clean"), gaps, excluded).items():
+        store.write(run_date, STAGES[2], f"breakdown_{name}", df, order=PROPERTY_ORDER if name == "properties" else ())
+
+
 def website(store: Snapshots, run_date: str) -> str:
     """Writes the serving tables and returns their digest."""
     malls, stores = store.need(run_date, STAGES[0], "malls"), store.need(run_date, STAGES[1], "stores_clean")

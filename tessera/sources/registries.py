@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COORDINATE_SCHEMA = 1
+#: How each line of a sharded registry begins.
+LINE = '{"schema":'
 ENTRY = "struct<lat: double, lon: double, source: string, precision: string, matched: string, ref: string>"
 GAP = "struct<name: string, region: string, location: string, slug: string, opened: string, property_type: string, note: string, directory_source: string>"
 EXCLUDED = "struct<chain: string, name: string, site: string, malls_known: string, status: string, finding: string, recheck: string>"
@@ -32,17 +34,29 @@ def excluded_operators(spark: SparkSession, path: str) -> DataFrame:
 
 
 def coordinates(spark: SparkSession, path: str) -> DataFrame:
-    """(chain, mall_id, lat, lon, source, precision, matched, ref); another schema version is refused."""
-    doc = spark.read.schema(f"schema int, entries map<string, {ENTRY}>").json(path, multiLine=True)
+    """(chain, mall_id, lat, lon, source, precision, matched, ref) of one document, or of the shards that ``write_coordinates`` leaves.
+
+    Every document and every line of a shard tells its schema version; another one is refused before anything is returned.
+    """
+    lines = spark.read.text(path)
+    sharded = not lines.filter(F.col("value").startswith(LINE)).isEmpty()
+    if sharded:
+        doc = spark.read.schema(f"schema int, key string, entry {ENTRY}").json(path)
+    else:
+        doc = spark.read.schema(f"schema int, entries map<string, {ENTRY}>").json(path, multiLine=True)
     odd = doc.filter(~F.col("schema").eqNullSafe(COORDINATE_SCHEMA)).first()
     if odd:
         raise ValueError(f"coordinate registry of schema {odd['schema']}")
-    rows = doc.select(F.explode("entries").alias("key", "e"))
+    rows = doc.select("key", F.col("entry").alias("e")) if sharded else doc.select(F.explode("entries").alias("key", "e"))
     return rows.select(F.substring_index("key", ":", 1).alias("chain"), F.expr("substring(key, instr(key, ':') + 1)").alias("mall_id"), "e.*")
 
 
 def write_coordinates(registry: DataFrame, path: str) -> None:
-    """One document with its keys in order; a registry is small enough to be edited by hand."""
-    entry = F.struct(F.concat_ws(":", "chain", "mall_id").alias("key"), F.struct("lat", "lon", "source", "precision", "matched", "ref").alias("value"))
-    doc = registry.agg(F.array_sort(F.collect_list(entry)).alias("all")).select(F.lit(COORDINATE_SCHEMA).alias("schema"), F.map_from_entries("all").alias("entries"))
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    """Shards of one line an entry, in the order of their keys; a key twice is an error, and nothing is written then."""
+    key = F.concat_ws(":", "chain", "mall_id")
+    twice = registry.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice['key']!r} has several coordinates")
+    entry = F.struct("lat", "lon", "source", "precision", "matched", "ref").alias("entry")
+    lines = registry.select(F.lit(COORDINATE_SCHEMA).alias("schema"), key.alias("key"), entry)
+    lines.repartitionByRange("key").sortWithinPartitions("key").write.mode("overwrite").json(path)
