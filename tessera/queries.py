@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import scratch
 from tessera.binding import LIST_SQL, PROPS_SQL, listings, properties, table
 from tessera.functions import geo, text
 from tessera.operators import detect, explore, extraction, places, quality, resolve, serving, snapshots, tables
 from tessera.plans import stages
+from tessera.sources import ordered, registries
+from tessera.sources.snapshots import LATEST, STAGES, Snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -551,14 +556,15 @@ def _(s, d):
     return places.attempts(properties(s, d)).select("mall_id", "attempt", "query", "by_name", "cap")
 
 
-@query(
-    "coverage_reappeared",
-    """SELECT DISTINCT n_name AS gap_name, r_name AS mall_name FROM (SELECT concat(n_name, ' of ', r_name) AS n_name FROM nation JOIN region ON n_regionkey = r_regionkey) JOIN region ON contains(lower(n_name), lower(r_name)) OR contains(lower(r_name), lower(n_name))""",
-)
+GAP_NAMES = """gaps AS (SELECT DISTINCT concat(p_name, ' ', upper(p_brand)) AS gap_name FROM part UNION SELECT substr(c_name, 12) FROM customer),
+names AS (SELECT DISTINCT p_brand AS mall_name FROM part UNION SELECT s_name FROM supplier)"""
+
+
+@query("coverage_reappeared", f"WITH {GAP_NAMES} SELECT gap_name, mall_name FROM gaps JOIN names ON contains(lower(gap_name), lower(mall_name)) OR contains(lower(mall_name), lower(gap_name))")
 def _(s, d):
-    n, r = table(s, d, "nation"), table(s, d, "region")
-    gaps = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat_ws(" of ", "n_name", "r_name").alias("gap_name"))
-    return places.reappeared(gaps, r.select(F.col("r_name").alias("mall_name")))
+    part, customer, supplier = (table(s, d, t) for t in ("part", "customer", "supplier"))
+    gaps = part.select(F.concat_ws(" ", "p_name", F.upper("p_brand")).alias("gap_name")).union(customer.select(F.substr("c_name", F.lit(12)))).distinct()
+    return places.reappeared(gaps, part.select(F.col("p_brand").alias("mall_name")).union(supplier.select("s_name")))
 
 
 @query("open_gaps", "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND strftime(o_orderdate, '%Y-%m-%d') <= '1998-06-30'")
@@ -569,11 +575,12 @@ def _(s, d):
 
 @query(
     "roster_unmatched",
-    "SELECT DISTINCT p_brand AS roster_key FROM part ANTI JOIN (SELECT DISTINCT concat('Brand#', c_nationkey + 10) AS k FROM customer) ON starts_with(p_brand, k) OR starts_with(k, p_brand)",
+    """WITH roster AS (SELECT DISTINCT concat(p_brand, p_size) AS roster_key FROM part), live AS (SELECT concat('Brand#', c_custkey * 37, 'x') AS k FROM customer UNION ALL SELECT concat('Brand#', s_suppkey * 7 + 300) FROM supplier)
+SELECT roster_key FROM roster ANTI JOIN live ON starts_with(roster_key, k) OR starts_with(k, roster_key)""",
 )
 def _(s, d):
-    live = table(s, d, "customer").select(F.concat(F.lit("Brand#"), F.col("c_nationkey") + 10).alias("live_key")).distinct()
-    return places.unmatched_roster(table(s, d, "part").select(F.col("p_brand").alias("roster_key")).distinct(), live)
+    live = table(s, d, "customer").select(F.concat(F.lit("Brand#"), F.col("c_custkey") * 37, F.lit("x")).alias("live_key")).union(table(s, d, "supplier").select(F.concat(F.lit("Brand#"), F.col("s_suppkey") * 7 + 300)))
+    return places.unmatched_roster(table(s, d, "part").select(F.concat("p_brand", "p_size").alias("roster_key")).distinct(), live)
 
 
 # --- extraction ---
@@ -647,7 +654,7 @@ EDGES = "edges AS (SELECT DISTINCT brand_canonical, chain, mall_id FROM list)"
 m AS (SELECT chain, mall_id, row_number() OVER (ORDER BY mall_id, chain) - 1 AS mall_ix FROM props) SELECT brand_ix, mall_ix FROM edges JOIN b USING (brand_canonical) JOIN m USING (chain, mall_id)""",
 )
 def _(s, d):
-    return serving.bundle(properties(s, d), listings(s, d))["edges"]
+    return serving.coded_graph(properties(s, d), listings(s, d))[3]
 
 
 CATS = """allc AS (SELECT brand_canonical, category_std FROM list WHERE category_std <> 'unknown'),
@@ -665,7 +672,7 @@ FROM e JOIN shown USING (brand_canonical) LEFT JOIN prim USING (brand_canonical)
 )
 def _(s, d):
     chains = serving.codes(properties(s, d), "chain")
-    return serving.entity_rows(listings(s, d), chains).withColumn("categories", F.array_join("categories", ","))
+    return serving.entity_rows(listings(s, d), chains).drop("chain_bits").withColumn("categories", F.array_join("categories", ","))
 
 
 @query(
@@ -675,7 +682,7 @@ SELECT p.mall_id, CAST(row_number() OVER (ORDER BY p.mall_id, p.chain) - 1 AS BI
   CAST(coalesce(list_position(['operator', 'osm', 'nominatim'], geo_source), 0) - 1 AS INTEGER) AS geo_source_ix, coalesce(listings, 0) AS listings, round(lat, 5) AS lat, round(lon, 5) AS lon FROM props p LEFT JOIN n ON n.chain = p.chain AND n.mall_id = p.mall_id""",
 )
 def _(s, d):
-    return serving.bundle(properties(s, d), listings(s, d))["properties"].select("mall_id", "mall_ix", "chain_ix", "property_type_ix", "geo_source_ix", "listings", "lat", "lon")
+    return serving.coded_graph(properties(s, d), listings(s, d))[1].select("mall_id", "mall_ix", "chain_ix", "property_type_ix", "geo_source_ix", "listings", "lat", "lon")
 
 
 @query(
@@ -693,6 +700,49 @@ def _(s, d):
     return s.createDataFrame([(t, serving.digest(table(s, d, t))) for t in ("supplier", "part")], "name string, digest string")
 
 
+@query(
+    "group_bits",
+    f"""{WITH}, g AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT brand_key AS v FROM list)), n AS (SELECT count(*) AS n FROM g),
+w AS (SELECT DISTINCT mall_id, c // 63 AS w, c % 63 AS b FROM list JOIN g ON brand_key = v), bits AS (SELECT mall_id, w, CAST(sum(CAST(1 AS BIGINT) << CAST(b AS INTEGER)) AS BIGINT) AS bits FROM w GROUP BY ALL),
+every AS (SELECT mall_id, w FROM (SELECT DISTINCT mall_id FROM list), n, range((n.n - 1) // 63 + 1) AS t(w))
+SELECT mall_id, string_agg(CAST(coalesce(bits, 0) AS VARCHAR), ',' ORDER BY w) AS bits FROM every LEFT JOIN bits USING (mall_id, w) GROUP BY mall_id""",
+)
+def _(s, d):
+    """Which of all entities a property has: some 1,900 groups at sf0.01, in words of 63."""
+    rows = listings(s, d).select("mall_id", "brand_key").distinct()
+    groups = serving.codes(rows, "brand_key")
+    members = serving.coded(rows, groups, "brand_key", "code")
+    return serving.group_bits(members, "mall_id", "code", groups.count()).select("mall_id", F.array_join("group_bits", ",").alias("bits"))
+
+
+CODES = f"""{EDGES}, b AS (SELECT brand_canonical, row_number() OVER (ORDER BY brand_canonical) - 1 AS brand_ix FROM (SELECT DISTINCT brand_canonical FROM edges)),
+m AS (SELECT chain, mall_id, row_number() OVER (ORDER BY mall_id, chain) - 1 AS mall_ix FROM props), e AS (SELECT brand_ix, mall_ix FROM edges JOIN b USING (brand_canonical) JOIN m USING (chain, mall_id))"""
+
+
+def _neighbours(s, d, nodes: int, node: str, other: str) -> DataFrame:
+    """Each node's neighbours as its range of the flat array has them."""
+    graph = serving.coded_graph(properties(s, d), listings(s, d).filter("floor_level = 1"))
+    offsets, flat = serving.adjacency(graph[3], graph[nodes], node, other)
+    range_ = F.when(F.col("n") > 0, F.sequence("first", F.col("first") + F.col("n") - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
+    return offsets.select(node, "first", "n", F.explode_outer(range_).alias("pos")).join(flat, "pos", "left").select(node, "first", "n", "pos", other)
+
+
+def _neighbours_sql(nodes: str, node: str, other: str) -> str:
+    return f"""{WITH.replace("JOIN region ON n_regionkey = r_regionkey)", "JOIN region ON n_regionkey = r_regionkey WHERE l_linenumber = 1)").replace("r_regionkey WHERE l_linenumber = 1), list", "r_regionkey), list")}, {CODES},
+s AS (SELECT {node}, {other}, row_number() OVER (ORDER BY {node}, {other}) - 1 AS pos FROM e), c AS (SELECT {nodes}.{node}, count(pos) AS n FROM {nodes} LEFT JOIN s USING ({node}) GROUP BY 1),
+o AS (SELECT {node}, n, CAST(coalesce(sum(n) OVER (ORDER BY {node} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first FROM c) SELECT {node}, first, n, pos, {other} FROM o LEFT JOIN s USING ({node})"""
+
+
+@query("entity_adjacency", _neighbours_sql("b", "brand_ix", "mall_ix"))
+def _(s, d):
+    return _neighbours(s, d, 2, "brand_ix", "mall_ix")
+
+
+@query("property_adjacency", _neighbours_sql("m", "mall_ix", "brand_ix"))
+def _(s, d):
+    return _neighbours(s, d, 1, "mall_ix", "brand_ix")
+
+
 # --- exploration ---
 FILTERS = explore.Filters(query="re", chain=frozenset({"ASIA", "EUROPE"}), region=frozenset({f"NATION_{i}" for i in range(15)}), category=frozenset({"economy", "small"}), malls_only=True)
 NATIONS = ", ".join(f"'NATION_{i}'" for i in range(15))
@@ -999,10 +1049,205 @@ def _(s, d):
     return stages.enriched(rows.select("chain", "mall_id", shouted.alias("store_name_raw"), F.col("word").alias("category"), "floor", "phone", "scraped_at"))
 
 
-@query("run_findings")
+FINDINGS = """SELECT m, 'info' AS severity, 'counts' AS kind, chain AS key, concat(p, ' properties, ', coalesce(l, 0), ' listings') AS detail FROM (SELECT m, chain, count(*) AS p FROM known GROUP BY ALL) LEFT JOIN (SELECT m, chain, count(*) AS l FROM held GROUP BY ALL) USING (m, chain)
+UNION ALL SELECT n.m, 'warning', 'gone', k.mall_id, '' FROM (SELECT DISTINCT m, mall_id FROM known) k JOIN next n ON k.m = n.before ANTI JOIN known o ON o.m = n.m AND o.mall_id = k.mall_id
+UNION ALL SELECT k.m, 'info', 'added', k.mall_id, '' FROM (SELECT DISTINCT m, mall_id FROM known) k JOIN next n ON k.m = n.m ANTI JOIN known o ON o.m = n.before AND o.mall_id = k.mall_id
+UNION ALL SELECT b.m, 'warning', 'count_drop', concat(b.chain, ':', b.mall_id), concat(a.n, ' -> ', b.n) FROM per b JOIN next x ON b.m = x.m JOIN per a ON a.m = x.before AND a.chain = b.chain AND a.mall_id = b.mall_id WHERE (b.n - a.n) / CAST(a.n AS DOUBLE) < -0.2"""
+#: Properties are known in the months in which some listing of theirs stands on a ground level or on the next.
+KNOWN = """known AS (SELECT DISTINCT scraped_at AS m, chain, mall_id FROM list WHERE floor_level <= 2), held AS (SELECT scraped_at AS m, * FROM list), months AS (SELECT m FROM known UNION SELECT m FROM held),
+next AS (SELECT * FROM (SELECT m, lag(m) OVER (ORDER BY m) AS before FROM months) WHERE before IS NOT NULL), per AS (SELECT m, chain, mall_id, count(*) AS n FROM held GROUP BY ALL)"""
+
+
+def _known(s, d) -> DataFrame:
+    return listings(s, d).filter("floor_level <= 2").select("scraped_at", "chain", "mall_id").distinct()
+
+
+@query("history_findings", f"{WITH}, {KNOWN} SELECT m AS scraped_at, severity, kind, key, detail FROM ({FINDINGS})")
+def _(s, d):
+    return quality.history_findings(_known(s, d), listings(s, d))
+
+
+@query(
+    "run_findings",
+    f"""{WITH}, {KNOWN.replace("FROM list WHERE", "FROM list WHERE scraped_at IN ('1998-03', '1998-04') AND").replace("* FROM list)", "* FROM list WHERE scraped_at IN ('1998-03', '1998-04'))")},
+now AS (SELECT chain, mall_id FROM known WHERE m = '1998-04'), h AS (SELECT chain, mall_id, n FROM per WHERE m = '1998-04')
+SELECT severity, kind, key, detail FROM ({FINDINGS}) WHERE m = '1998-04'
+UNION ALL SELECT 'error', 'missing_column', concat('properties.', c), '' FROM (SELECT unnest(['mall_name', 'region', 'property_type']) AS c)
+UNION ALL SELECT 'error', 'orphan_listings', concat(chain, ':', mall_id), CAST(n AS VARCHAR) FROM h ANTI JOIN now USING (chain, mall_id) UNION ALL SELECT 'warning', 'no_listings', concat(chain, ':', mall_id), '' FROM now ANTI JOIN h USING (chain, mall_id)""",
+)
+def _(s, d):
+    old, new = (_known(s, d).filter(F.col("scraped_at") == m) for m in ("1998-03", "1998-04"))
+    return quality.run_findings(new, _month(s, d, "1998-04"), (old, _month(s, d, "1998-03")))
+
+
+@query(
+    "listing_history",
+    f"""{WITH}, c AS (SELECT brand_key, scraped_at AS m, count(*) AS n FROM list GROUP BY ALL), dates AS (SELECT m, row_number() OVER (ORDER BY m) AS i FROM (SELECT DISTINCT m FROM c)),
+w AS (SELECT brand_key, m, n, i, lag(n) OVER k AS before, lag(i) OVER k AS last, lead(i) OVER k AS nxt, first_value(m) OVER k AS first_seen, row_number() OVER k AS times FROM c JOIN dates USING (m) WINDOW k AS (PARTITION BY brand_key ORDER BY i))
+SELECT brand_key, m AS scraped_at, n, before, CASE WHEN last IS NULL THEN 'first' WHEN last < i - 1 THEN 'back' ELSE 'kept' END AS change, first_seen, CAST(times AS INTEGER) AS times FROM w
+UNION ALL SELECT brand_key, dates.m, 0, n, 'gone', first_seen, CAST(times AS INTEGER) FROM w JOIN dates ON dates.i = w.i + 1 WHERE nxt IS NULL OR nxt > w.i + 1""",
+)
+def _(s, d):
+    return quality.key_history(listings(s, d), "scraped_at", ["brand_key"])
+
+
+# --- ordered tables ---
+def _ordered(df: DataFrame, order: tuple) -> DataFrame:
+    """What a reader of the written table gets."""
+    path = f"{scratch.folder(df.sparkSession)}/ordered-{uuid.uuid4().hex}"
+    ordered.write(df, path, order)
+    return ordered.read(df.sparkSession, path)
+
+
+@query("ordered_listings", f"{WITH} SELECT chain, mall_id, brand_key, store_name_raw, row_number() OVER (ORDER BY chain, mall_id, brand_key, store_name_raw) - 1 AS place FROM list")
+def _(s, d):
+    return _ordered(listings(s, d), stages.CLEAN_ORDER).select("chain", "mall_id", "brand_key", "store_name_raw", "place")
+
+
+@query(
+    "ordered_mapping",
+    f"""{WITH} SELECT *, row_number() OVER (ORDER BY category_std, listings DESC, chain, category NULLS FIRST) - 1 AS place
+FROM (SELECT chain, category, category_std, count(*) AS listings FROM (SELECT chain, nullif(category, 'LARGE') AS category, category_std FROM list) GROUP BY ALL)""",
+)
+def _(s, d):
+    return _ordered(quality.mapping_audit(listings(s, d).withColumn("category", F.nullif("category", F.lit("LARGE"))), F.col("category_std")), stages.AUDIT_ORDER)
+
+
+@query(
+    "ordered_review",
+    f"""{WITH}, r AS (SELECT brand_key, count(DISTINCT store_name_raw) AS raw_variants, count(*) AS listings FROM list GROUP BY 1 HAVING count(DISTINCT store_name_raw) >= 5)
+SELECT brand_key, raw_variants, listings, row_number() OVER (ORDER BY raw_variants DESC, listings DESC, brand_key) - 1 AS place FROM r""",
+)
+def _(s, d):
+    return _ordered(quality.variant_review(listings(s, d)), stages.REVIEW_ORDER).select("brand_key", "raw_variants", "listings", "place")
+
+
+@query(
+    "ordered_properties",
+    f"""{WITH}, n AS (SELECT chain, mall_id, count(*) AS listings FROM list GROUP BY ALL), p AS (SELECT chain, mall_id, mall_name, region, coalesce(listings, 0) AS listings FROM props LEFT JOIN n USING (chain, mall_id))
+SELECT *, row_number() OVER (ORDER BY chain, listings DESC, mall_id) - 1 AS place FROM p""",
+)
+def _(s, d):
+    return _ordered(tables.listing_counts(properties(s, d), listings(s, d)).select("chain", "mall_id", "mall_name", "region", "listings"), stages.PROPERTY_ORDER)
+
+
+# --- stores and registries ---
+def _store(s) -> Snapshots:
+    return Snapshots(s, f"{scratch.folder(s)}/store-{uuid.uuid4().hex}")
+
+
+@query(
+    "published_listings",
+    f"""{WITH} SELECT 'published' AS seen, chain, count(*) AS n FROM list WHERE scraped_at = '1998-04' GROUP BY chain UNION ALL SELECT 'newest', chain, count(*) FROM list WHERE scraped_at = '1998-05' GROUP BY chain
+UNION ALL SELECT 'previous', '1998-03', (SELECT count(*) FROM props)""",
+)
+def _(s, d):
+    """Two published runs, then a revision of the second that readers of the published snapshot don't see."""
+    store = _store(s)
+    for run in ("1998-03", "1998-04"):
+        store.write(run, STAGES[0], "malls", properties(s, d))
+        store.write(run, STAGES[0], "stores", _month(s, d, run))
+        store.publish(run)
+    store.write("1998-04", STAGES[0], "stores", _month(s, d, "1998-05"))
+    seen = [store.read(run, STAGES[0], "stores").groupBy(F.lit(name).alias("seen"), "chain").agg(F.count(F.lit(1)).alias("n")) for name, run in (("published", LATEST), ("newest", "1998-04"))]
+    before = store.previous("1998-04")
+    return seen[0].union(seen[1]).union(store.read(before, STAGES[0], "malls").groupBy(F.lit("previous"), F.lit(before)).agg(F.count(F.lit(1))))
+
+
+@query(
+    "coordinate_registry",
+    f"""WITH {PROPS_SQL} SELECT chain, mall_id, round(CAST(mall_id AS INTEGER) / 100.0 + 10, 6) AS lat, round(CAST(mall_id AS INTEGER) / 100.0 + 120, 6) AS lon, 'osm' AS source, 'address' AS precision, mall_id AS ref FROM props WHERE CAST(mall_id AS INTEGER) % 4 <> 1""",
+)
+def _(s, d):
+    path = f"{scratch.folder(s)}/coordinates-{uuid.uuid4().hex}"
+    registries.write_coordinates(_registry(s, d).withColumns({"matched": F.lit(None).cast("string"), "ref": F.col("mall_id")}), path)
+    return registries.coordinates(s, path).select("chain", "mall_id", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "source", "precision", "ref")
+
+
+def _landed(df: DataFrame) -> str:
+    """One JSON document, as registries are kept."""
+    path = f"{scratch.folder(df.sparkSession)}/registry-{uuid.uuid4().hex}"
+    df.coalesce(1).write.json(path)
+    return path
+
+
+@query("registry_aliases", "SELECT DISTINCT lower(concat(p_name, ' ', p_brand)) AS variant, p_brand AS canonical FROM part")
+def _(s, d):
+    part = table(s, d, "part").groupBy("p_brand").agg(F.collect_set(F.lower(F.concat_ws(" ", "p_name", "p_brand"))).alias("v"))
+    doc = part.withColumn("v", F.array_append("v", F.col("p_brand"))).agg(F.map_from_entries(F.collect_list(F.struct("p_brand", "v"))).alias("aliases"))
+    return registries.aliases(s, _landed(doc))
+
+
+@query("registry_gaps", f"WITH {PROPS_SQL} SELECT mall_name AS gap_name, region, property_type, scraped_at AS opened FROM props WHERE property_type LIKE '%mall' AND scraped_at <= '2024-02-01'")
+def _(s, d):
+    gap = F.struct(F.col("mall_name").alias("name"), "region", "property_type", F.col("scraped_at").alias("opened"))
+    gaps = registries.coverage_gaps(s, _landed(properties(s, d).agg(F.collect_list(gap).alias("not_in_api"))))
+    return places.open_gaps(gaps, "2024-02-01").select("gap_name", "region", "property_type", "opened")
+
+
+@query("registry_excluded", f"WITH {PROPS_SQL} SELECT chain, CAST(count(*) AS VARCHAR) AS malls_known, min(scraped_at) AS recheck FROM props GROUP BY chain")
+def _(s, d):
+    chains = properties(s, d).groupBy("chain").agg(F.count(F.lit(1)).alias("malls_known"), F.min("scraped_at").alias("recheck"))
+    return registries.excluded_operators(s, _landed(chains.agg(F.collect_list(F.struct("*")).alias("chains")))).select("chain", "malls_known", "recheck")
+
+
+# --- what a user runs ---
+@query(
+    "build_stage",
+    f"""{WITH}, k AS (SELECT DISTINCT replace(lower(store_name_raw), '#', ' ') AS brand_key, chain, mall_id FROM list)
+SELECT brand_key, count(*) AS n_malls_total, count(DISTINCT chain) AS n_chains FROM k GROUP BY brand_key""",
+)
+def _(s, d):
+    store = _store(s)
+    store.write("2024-06-01", STAGES[0], "malls", properties(s, d))
+    store.write("2024-06-01", STAGES[0], "stores", listings(s, d).select("chain", "mall_id", "store_name_raw", "category", "floor", "phone", "scraped_at"))
+    stages.build(store, "2024-06-01")
+    return store.read(LATEST, STAGES[2], "brand_summary").select("brand_key", "n_malls_total", "n_chains")
+
+
+@query(
+    "ingest_stage",
+    f"""{WITH}, s AS (SELECT chain, scraped_at FROM list WHERE scraped_at = '1998-03' AND chain NOT IN ('ASIA', 'EUROPE') UNION ALL SELECT chain, '2024-06-01' FROM list WHERE scraped_at = '1998-04' AND chain IN ('ASIA', 'EUROPE')),
+p AS (SELECT chain, CASE WHEN chain IN ('ASIA', 'EUROPE') THEN '2024-06-01' ELSE scraped_at END AS scraped_at, coalesce(geo_source = 'operator' AND lat IS NOT NULL, false) OR CAST(mall_id AS INTEGER) % 4 <> 1 AS placed FROM props)
+SELECT 'listings' AS what, chain, scraped_at, count(*) AS n FROM s GROUP BY ALL UNION ALL SELECT CASE WHEN placed THEN 'placed' ELSE 'open' END, chain, scraped_at, count(*) FROM p GROUP BY ALL""",
+)
+def _(s, d):
+    groups = ["ASIA", "EUROPE"]
+    fresh = properties(s, d).filter(F.col("chain").isin(groups)), _month(s, d, "1998-04").filter(F.col("chain").isin(groups))
+    malls, stores, _ = stages.ingested(*fresh, "2024-06-01", _registry(s, d), groups, (properties(s, d), _month(s, d, "1998-03")))
+    out = tables.count_by(malls.withColumn("what", F.when(F.col("lat").isNotNull(), "placed").otherwise("open")), "what", "chain", "scraped_at")
+    return tables.count_by(stores.withColumn("what", F.lit("listings")), "what", "chain", "scraped_at").union(out)
+
+
+@query(
+    "breakdown_stage",
+    f"""{WITH}, {PRESENCE}, n AS (SELECT chain, mall_id, count(*) AS listings FROM list GROUP BY ALL), one AS (SELECT brand_key, min(chain) AS chain FROM pres GROUP BY brand_key HAVING count(DISTINCT chain) = 1)
+SELECT 'unplaced' AS what, mall_id AS key, 1 AS n FROM props WHERE lat IS NULL UNION ALL SELECT 'no_listings', mall_id, 1 FROM props ANTI JOIN n USING (chain, mall_id) UNION ALL SELECT 'types', property_type, count(*) FROM props GROUP BY property_type
+UNION ALL SELECT 'precision', geo_precision, count(*) FROM props WHERE lat IS NOT NULL GROUP BY geo_precision UNION ALL SELECT 'exclusive', chain, count(*) FROM one GROUP BY chain""",
+)
+def _(s, d):
+    out = stages.breakdown(properties(s, d), listings(s, d).withColumn("dq_flags", F.lit("")))
+    shown = (("unplaced", out["unplaced"], "mall_id", F.lit(1)), ("no_listings", out["no_listings"], "mall_id", F.lit(1)), ("types", out["property_types"], "property_type", F.col("n")),
+             ("precision", out["geo_precision"], "geo_precision", F.col("properties")), ("exclusive", out["exclusive"], "chain", F.col("exclusive")))
+    parts = [df.select(F.lit(what).alias("what"), F.col(key).alias("key"), n.cast("long").alias("n")) for what, df, key, n in shown]
+    return functools.reduce(DataFrame.union, parts)
+
+
+@query(
+    "geocode_results",
+    f"""WITH {PROPS_SQL}, p AS (SELECT *, CAST(mall_id AS INTEGER) AS k FROM props WHERE {BOX}), good AS (SELECT chain, mall_id, lat, lon, k % 3 AS way, k FROM p WHERE k % 3 < 2)
+SELECT chain, mall_id, round(lat, 6) AS lat, round(lon, 6) AS lon, CASE WHEN k % 35 >= 30 AND way = 0 THEN 'exact' WHEN k % 35 >= 22 THEN 'address' ELSE 'locality' END AS precision, concat('node/', k) AS ref FROM good""",
+)
 def _(s, d):
-    p = properties(s, d)
-    return quality.run_findings(p, _month(s, d, "1998-04"), (p.filter(F.col("mall_id").cast("int") % 9 != 0), _month(s, d, "1998-03")))
+    p = properties(s, d).withColumns({"region": geo.region_of_coordinate(F.col("lat"), F.col("lon")), "k": F.col("mall_id").cast("int")})
+    by_name = F.concat_ws(", ", "mall_name", "address", F.lit("Philippines"))
+    alone = F.concat_ws(", ", "address", F.lit("Philippines"))
+    place = [F.col("lat").cast("string").alias("lat"), F.col("lon").cast("string").alias("lon"), (F.col("k") % 35).alias("place_rank"), F.lit("node").alias("osm_type"), F.col("k").alias("osm_id")]
+    hit = lambda query, name: [query.alias("query"), F.lit(0).alias("pos"), name.alias("name"), F.lit("shown").alias("display_name"), *place]
+    named = p.filter("k % 3 = 0").select(*hit(by_name, F.concat("mall_name", F.lit(" Mall"))))
+    hits = named.union(p.filter("k % 3 = 1").withColumn("address", F.concat("address", F.lit(" "), "mall_id")).select(*hit(alone, F.lit("x"))))
+    asked = places.attempts(p.withColumn("address", F.when(F.col("k") % 3 == 1, F.concat("address", F.lit(" "), "mall_id")).otherwise(F.col("address"))))
+    return places.accepted_results(asked, hits).select("chain", "mall_id", "lat", "lon", "precision", "ref")
 
 
 @query("place_stage", f"WITH {PROPS_SQL} SELECT mall_id, region IS NOT NULL AS has_region, geo_source FROM (SELECT mall_id, region, CASE WHEN coalesce(geo_source = 'operator' AND lat IS NOT NULL, false) THEN geo_source WHEN CAST(mall_id AS INTEGER) % 4 <> 1 THEN 'osm' END AS geo_source FROM props)")
