@@ -69,13 +69,13 @@ def _sets(rows: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
         for batch in batches:
             parts = [list(shingle_hashes(t or b"", words, seed)) for t in batch.column(2).to_pylist()]
             sets = [_set(p) for p in parts]
-            ids = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], "<u8").view("<i8")
+            ids = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(map(majority, parts), pa.int64()), pa.array(ids), pa.array([len(s) for s in sets], pa.int64()), pa.array([prefix(s) for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "key", "fp", "set", "size", "prefix"],
+                [batch.column(0), batch.column(1), pa.array(map(majority, parts), pa.int64()), pa.array(ids, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([prefix(s) for s in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "key", "fp", "digest", "size", "prefix"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, key long, fp long, set long, size long, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, key long, fp long, digest binary, size long, prefix array<long>")
 
 
 def _least(share: Fraction, size: int) -> int:
@@ -177,8 +177,9 @@ def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words:
 
     pairs = written(candidates, "candidates")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    wanted = written(groups.join(ends, "set", "left_semi").select("key", "set"), "wanted")  # of a size that Spark knows: texts stay where they are if it is small
-    texts = rows.select("key", "text").join(wanted, "key").select("set", "text").mapInArrow(run, "set long, all array<long>")
+    wanted = written(groups.join(ends, "set", "left_semi").select(F.col("key").alias("own_key"), F.col("first.doc_id").alias("own_id"), "set"), "wanted")  # of a size that Spark knows: texts stay where they are if it is small
+    own = (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
+    texts = rows.join(wanted, own).select("set", "text").mapInArrow(run, "set long, all array<long>")
     full = written(texts.groupBy("set").agg(F.any_value("all").alias("all")), "full")
     both = pairs.join(full.withColumnsRenamed({"set": "a", "all": "all_a"}), "a").join(full.withColumnsRenamed({"set": "b", "all": "all_b"}), "b")
     shared = F.size(F.array_intersect("all_a", "all_b"))
@@ -189,7 +190,7 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     """(doc_id, key, fp, first) for each row of ``docs``; first is the struct (doc_id, key) of its component's first row.
 
     Texts link where the Jaccard similarity of their sets of ``words``-word shingles is ``similarity`` or more; no
-    such pair is missed and none below it links. Pairs within a group that verified links of fingerprints and of
+    such pair is missed and none below it links. Sets are told apart by 128-bit digests and their sizes, and numbered. Pairs within a group that verified links of fingerprints and of
     stars already join are never listed. First is the row of the smallest id, null ids last, then of the least key.
     """
     share = Fraction(str(similarity))
@@ -198,8 +199,8 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), text_key(F.col(text_col)).alias("key"))
     sets = written(_sets(rows.select("doc_id", "key", "text"), words, seed, share), "sets")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    grouped = sets.groupBy("set").agg(F.min(order).alias("first"), F.any_value(F.struct("key", "fp", "size", "prefix")).alias("one"))
-    groups = written(grouped.select("set", "first", "one.*"), "groups")
+    grouped = sets.groupBy("digest", "size").agg(F.min(order).alias("first"), F.min_by(F.struct("key", "fp", "prefix"), order).alias("one"))
+    groups = written(grouped.select(F.monotonically_increasing_id().alias("set"), "digest", "size", "first", "one.*"), "groups")  # numbered once for all
     entries = _entries(groups)
     close = _close(groups, radius).unionByName(_stars(entries, share)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tight = _verified(rows, groups, close, words, seed, share)
@@ -207,5 +208,5 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     both = tight.unionByName(_verified(rows, groups, _apart(entries, near, share), words, seed, share))
     member = written(groups.select("set", "first").join(connected_components(both).withColumnRenamed("id", "set"), "set"), "members")
     joined = member.join(member.groupBy("root").agg(F.min("first").alias("least")), "root").select("set", "least")
-    known = written(groups.join(joined, "set", "left").select("set", F.coalesce("least", "first").alias("first")), "components")
-    return sets.select("doc_id", "key", "fp", "set").join(known, "set").select("doc_id", "key", "fp", F.struct("first.doc_id", "first.key").alias("first"))
+    known = written(groups.join(joined, "set", "left").select("digest", "size", F.coalesce("least", "first").alias("first")), "components")
+    return sets.select("doc_id", "key", "fp", "digest", "size").join(known, ["digest", "size"]).select("doc_id", "key", "fp", F.struct("first.doc_id", "first.key").alias("first"))

@@ -22,8 +22,10 @@ WORD = re.compile(rb"[a-z\x80-\xff]+")
 PREFIXES = range(3, 7)
 #: Bits of a feature's hash, words whose weight one worker remembers, documents whose gradient is summed at once.
 HASH_BITS, CACHE, SLICE = 22, 300_000, 1024
-#: Log odds of a sentence of which nothing is known, the mean of the bias's unit normal prior.
+#: Log odds of a sentence whose features say nothing, the mean of the bias's unit normal prior.
 PRIOR = -6.0
+#: A sentence less likely than this is no evidence: it counts as clean, so that length alone never adds up to anything.
+FLOOR = 0.2
 SENTENCES = "array<struct<start: int, end: int, score: double>>"
 
 
@@ -84,15 +86,15 @@ def _selected(sample: DataFrame, positives: int, negatives: int, features: int)
 
 
 def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
-    """(y, plain, at, columns): sentences without a chosen feature are counted, the others listed flat."""
+    """(y, at, columns): the sentences that have a chosen feature, listed flat."""
     column = {int(f): i for i, f in enumerate(chosen)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
-            rows: tuple[list, list, list] = ([], [], [])
+            rows: tuple[list, list] = ([], [])
             for text in _batches(batch.column(0)):
-                plain, at, cols, n = 0, [], [], 0
+                at, cols, n = [], [], 0
                 for _, _, words in sentences(text):
                     own: list[int] = []
                     for w in words:
@@ -105,38 +107,31 @@ def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
                         at += [n] * len(own)
                         cols += own
                         n += 1
-                    else:
-                        plain += 1
-                for kept, value in zip(rows, (plain, at, cols), strict=True):
+                for kept, value in zip(rows, (at, cols), strict=True):
                     kept.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.list_(pa.int32())), pa.array(rows[2], pa.list_(pa.int32()))],
-                names=["y", "plain", "at", "columns"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows[0], pa.list_(pa.int32())), pa.array(rows[1], pa.list_(pa.int32()))], names=["y", "at", "columns"])
 
-    return sample.select("text", "y").mapInArrow(run, "y int, plain int, at array<int>, columns array<int>")
+    return sample.select("text", "y").mapInArrow(run, "y int, at array<int>, columns array<int>")
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def noisy_or_gradient(weights: np.ndarray, y: np.ndarray, plain: np.ndarray, doc: np.ndarray, sent: np.ndarray, cols: np.ndarray) -> tuple[float, np.ndarray]:
-    """Negative log likelihood of document labels, and its gradient; the last weight is every sentence's bias.
+def noisy_or_gradient(weights: np.ndarray, y: np.ndarray, doc: np.ndarray, sent: np.ndarray, cols: np.ndarray) -> tuple[float, np.ndarray]:
+    """Negative log likelihood of document labels, and its gradient; the last weight is the bias of every sentence listed.
 
-    sent[i] is the sentence of entry i and cols[i] its feature; doc[s] is the document of sentence s; plain[d]
-    counts the sentences of document d that have the bias only.
+    sent[i] is the sentence of entry i and cols[i] its feature; doc[s] is the document of sentence s. Sentences
+    without a feature are not listed: they are clean for certain, whatever their number.
     """
-    bias = weights[-1]
-    p = _sigmoid(np.bincount(sent, weights[cols], len(doc)) + bias)
-    p0 = _sigmoid(np.array(bias))
-    clean = np.bincount(doc, np.log1p(-p), len(y)) + plain * np.log1p(-p0)  # log of no sentence being toxic
+    p = _sigmoid(np.bincount(sent, weights[cols], len(doc)) + weights[-1])
+    clean = np.bincount(doc, np.log1p(-p), len(y)).astype(float)  # log of no sentence being toxic
     any_toxic = np.maximum(-np.expm1(clean), 1e-9)
     loss = -np.where(y == 1, np.log(any_toxic), clean).sum()
     factor = np.where(y == 1, -np.exp(clean) / any_toxic, 1.0)
     dz = factor[doc] * p
     gradient = np.bincount(cols, dz[sent], len(weights)).astype(float)  # without entries bincount counts in integers
-    gradient[-1] = dz.sum() + (factor * plain).sum() * p0
+    gradient[-1] = dz.sum()
     return float(loss), gradient
 
 
@@ -148,13 +143,13 @@ def _loss(encoded: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                sizes = part.column(2).value_lengths().to_numpy()
-                ends, sent = np.cumsum(sizes), part.column(2).flatten().to_numpy()
+                sizes = part.column(1).value_lengths().to_numpy()
+                ends, sent = np.cumsum(sizes), part.column(1).flatten().to_numpy()
                 listed = np.zeros(len(sizes), np.int64)  # sentences with a feature, numbered from 0 within each document
                 listed[sizes > 0] = sent[ends[sizes > 0] - 1] + 1
                 sent = sent + np.repeat(np.cumsum(listed) - listed, sizes)
-                doc, cols = np.repeat(np.arange(len(sizes)), listed), part.column(3).flatten().to_numpy()
-                loss, gradient = noisy_or_gradient(weights, part.column(0).to_numpy(), part.column(1).to_numpy(), doc, sent, cols)
+                doc, cols = np.repeat(np.arange(len(sizes)), listed), part.column(2).flatten().to_numpy()
+                loss, gradient = noisy_or_gradient(weights, part.column(0).to_numpy(), doc, sent, cols)
                 total += np.append(loss, gradient)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
 
@@ -233,12 +228,13 @@ class Model:
         return total
 
     def score(self, text: bytes) -> tuple[float, list[dict]]:
-        """The noisy-or of all sentences, and those that score a half or more."""
+        """The noisy-or of the sentences that reach FLOOR, and those that score a half or more."""
         known, clean, own, at, points = self.words, 0.0, [], 0, 0
         for start, end, words in sentences(text) if not self.empty else ():
             z = self.bias + sum([w if (w := known.get(x)) is not None else self._learn(x) for x in words])
             p = 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
-            clean += math.log1p(-p)
+            if p >= FLOOR:
+                clean += math.log1p(-p)
             if p >= 0.5:
                 points += len(text[at:start].decode("utf-8", "ignore"))
                 size = len(text[start:end].decode("utf-8", "ignore"))
@@ -271,7 +267,7 @@ def fit(
     known = labels.groupBy(doc_id).agg(F.max(F.col(label_col).cast("int")).alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.filter(fold(F.col("doc_id"), folds) != held_fold)
     share = min(1.0, most_labelled / max(1, known.count()))
-    few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))), "labels")  # most_labelled rows, give or take chance
+    few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) < int(share * (1 << 62))), "labels")  # most_labelled rows, give or take chance
     rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
     sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
     return Model(_fit(sample, features, rounds, decay, tolerance, parts))
@@ -280,8 +276,8 @@ def fit(
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted, offending) for each row of ``docs``; ``options`` go to fit.
 
-    Trained from document labels alone. score is one less the product over sentences of one less their score;
-    offending lists the sentences (code points, end exclusive) that score a half or more on their own. Every
+    Trained from document labels alone. score is one less the product over sentences of one less their score, of those that score FLOOR or
+    more: sentences of which nothing speaks for the label add nothing, so a clean text may be of any length. offending lists the sentences (code points, end exclusive) that score a half or more on their own. Every
     sentence of every whole text is scored. Texts without a word, null and empty ones too, score 0; where a
     label is missing altogether every score is 0. Repeated rows stay; other columns are ignored; an empty
     table gives an empty result.

@@ -1,32 +1,57 @@
 import zlib
 
 import numpy as np
+import pytest
 from cases import awkward, empty
+from pyspark.sql import functions as F
 
-from tessera.llm.toxicity import minimised, noisy_or_gradient, sentences, toxicity
+from tessera.llm.toxicity import fit, minimised, noisy_or_gradient, sentences, toxicity
 
 DATA = "/root/testdata/sf0.1"
 
 
 def test_gradient_is_the_slope():
     rnd = np.random.default_rng(1)
-    y, plain, doc = np.array([1, 0, 1, 0]), np.array([2, 0, 5, 1]), np.array([0, 0, 1, 2, 3, 3])
+    y, doc = np.array([1, 0, 1, 0]), np.array([0, 0, 1, 2, 3, 3])
     sent, cols = np.array([0, 0, 1, 2, 3, 4, 5, 5]), np.array([0, 1, 1, 2, 0, 2, 1, 1])
     w = rnd.normal(0, 0.5, 4)
-    loss, gradient = noisy_or_gradient(w, y, plain, doc, sent, cols)
+    loss, gradient = noisy_or_gradient(w, y, doc, sent, cols)
     for i in range(4):
         step = np.eye(4)[i] * 1e-6
-        slope = (noisy_or_gradient(w + step, y, plain, doc, sent, cols)[0] - loss) / 1e-6
+        slope = (noisy_or_gradient(w + step, y, doc, sent, cols)[0] - loss) / 1e-6
         assert abs(slope - gradient[i]) < 1e-4
 
 
 def test_gradient_without_entries():
     none = np.array([], np.int64)
-    loss, gradient = noisy_or_gradient(np.array([0.3, -1.0]), np.array([1, 0]), np.array([2, 3]), none, none, none)
-    p = 1 / (1 + np.exp(1.0))
-    assert gradient.dtype == float and gradient[0] == 0
-    assert np.isclose(loss, -np.log(1 - (1 - p) ** 2) - 3 * np.log(1 - p))
-    assert np.isclose(gradient[1], 3 * p - 2 * p * (1 - p) ** 2 / (1 - (1 - p) ** 2))
+    loss, gradient = noisy_or_gradient(np.array([0.3, -1.0]), np.array([1, 0]), none, none, none)
+    assert gradient.dtype == float and (gradient == 0).all()
+    assert np.isclose(loss, -np.log(1e-9))  # a toxic document of which nothing is known
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_length_alone_is_no_toxicity(spark, sf):
+    """5,000 sentences that say nothing, and clean documents glued to 100,000 characters, score as clean at every size of the labelled table."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(docs, labels)
+    assert model.score(b"zzqx wwvk jjt. " * 5000)[0] == 0
+    plain = {r.doc_id for r in labels.collect() if not r.toxic and r.quality}
+    glued, parts = b"", []
+    for r in sorted(docs.collect(), key=lambda r: zlib.crc32(b"%d" % r.doc_id)):
+        if r.doc_id in plain and r.text:
+            glued += r.text.encode() + b". "
+        if len(glued) > 100_000:
+            parts.append(model.score(glued)[0])
+            glued = b""
+    parts = parts[:20]
+    assert parts and sum(p >= 0.5 for p in parts) <= len(parts) // 20
+
+
+def test_held_out_labels_are_not_used(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = ({r.doc_id: r.score for r in toxicity(docs, x).collect()} for x in (labels, turned))
+    assert all(abs(one[i] - two[i]) < 1e-3 for i in one)
 
 
 def test_minimum():
