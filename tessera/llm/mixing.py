@@ -63,13 +63,6 @@ def _fit_domains(stats: DataFrame, labelled: DataFrame, id_col: str) -> Domains:
     return Domains(rows)
 
 
-def _step(rate: Column, p: Column, n: Column, move: list[float], least: float) -> Column:
-    total = rate
-    for k, w in enumerate(move):
-        total = total - F.element_at(p, k + 1) * w
-    return F.when(n > 0, F.greatest(F.lit(least), total)).otherwise(F.lit(1.0))
-
-
 def _totals(df: DataFrame, rate: Column, k: int) -> np.ndarray:
     mass = rate * F.col("n_tokens")
     row = df.agg(*(F.coalesce(F.sum(mass * F.element_at("p", i + 1)), F.lit(0.0)).alias(f"t{i}") for i in range(k))).first()
@@ -77,21 +70,32 @@ def _totals(df: DataFrame, rate: Column, k: int) -> np.ndarray:
 
 
 class Mix:
-    """Domains and the gradient steps that took every document's rate from 1 to its own."""
+    """Domains and the gradient steps that took every document's rate from 1 to its own.
+
+    A step is (pull, move): a document moves by ``move`` against its posterior and back to ``least`` where it falls below;
+    one that is at ``least`` already, and that the gradient ``pull`` would push further down, stays.
+    """
 
     def __init__(self, domains: Domains, least: float):
-        self.domains, self.least, self.moves = domains, least, []
+        self.domains, self.least, self.steps = domains, least, []
         self.residual = 0.0  # the largest miss of a domain's total, as a share of what the domain has
 
+    def _along(self, weights: Column) -> Column:
+        return sum((F.element_at("p", i + 1) * F.element_at(weights, i + 1) for i in range(len(self.domains.names))), F.lit(0.0))
+
+    def free(self, rate: Column, pull: Column) -> Column:
+        return (rate > self.least) | (self._along(pull) < 0)
+
+    def folded(self, steps: list[tuple[list[float], list[float]]], rate: Column) -> Column:
+        """The rate after ``steps``."""
+        if not steps:
+            return rate
+        listed = F.array(*(F.struct(F.lit(pull).alias("pull"), F.lit(move).alias("move")) for pull, move in steps))
+        return F.aggregate(listed, rate, lambda r, s: F.when(self.free(r, s["pull"]), F.greatest(F.lit(self.least), r - self._along(s["move"]))).otherwise(r))
+
     def rated(self, df: DataFrame) -> DataFrame:
         """``df``, which has n_tokens and p, with the rate that all steps lead to."""
-        k = len(self.domains.names)
-        rate = F.lit(1.0)
-        if self.moves:
-            rate = F.aggregate(
-                F.lit(self.moves), rate, lambda r, m: F.greatest(F.lit(self.least), r - sum((F.element_at("p", i + 1) * F.element_at(m, i + 1) for i in range(k)), F.lit(0.0)))
-            )
-        return df.withColumn("rate", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
+        return df.withColumn("rate", F.when(F.col("n_tokens") > 0, self.folded(self.steps, F.lit(1.0))).otherwise(F.lit(1.0)))
 
 
 def fit_mix(
@@ -104,8 +108,8 @@ def fit_mix(
     temperature: float = 0.9,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rounds: int = 60,
-    tolerance: float = 1e-6,
+    rounds: int = 100,
+    tolerance: float = 1e-4,
     write_each: int = 8,
 ) -> Mix:
     """Least squares by projected gradient, as mixing_rates describes."""
@@ -127,22 +131,35 @@ def fit_mix(
     want, scale = np.where(there, weights * total, 0.0), np.where(there, start, np.inf)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     p = [F.element_at("p", i + 1) for i in range(k)]
-    second = state.agg(*(F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs)).first()
-    gram = np.zeros((k, k))
-    for (i, j), g in zip(pairs, second, strict=True):
-        gram[i, j] = gram[j, i] = (g or 0.0) / math.sqrt(scale[i] * scale[j]) if there[i] and there[j] else 0.0
-    length = 1 / max(np.linalg.eigvalsh(gram)[-1], 1e-12)
-    rate, now = F.col("rate"), start
-    for step in range(1, rounds + 1):
-        mix.moves.append((length * np.where(there, (now - want) / scale, 0.0)).tolist())
-        rate = _step(rate, F.col("p"), F.col("n_tokens"), mix.moves[-1], mix.least)
-        if step % write_each == 0:
-            state, rate = written(state.withColumn("rate", rate), "rates"), F.col("rate")
-        before, now = now, _totals(state, rate, k)
-        mix.residual = float(np.abs((now - want) / scale).max())
-        if np.abs((now - before) / scale).max() < tolerance:
-            break
-    return mix
+    state = state.filter(F.col("n_tokens") > 0)
+    pending: list[tuple[list[float], list[float]]] = []
+    now, far = start, lambda totals: float((np.where(there, (totals - want) / scale, 0.0) ** 2).sum())
+    for _ in range(rounds):
+        pull = np.where(there, (now - want) / scale, 0.0)
+        mix.residual = float(np.abs(pull).max())
+        if mix.residual < tolerance:
+            return mix
+        rate = mix.folded(pending, F.col("rate"))
+        free = state.withColumn("rate", rate).filter(mix.free(F.col("rate"), F.lit(pull.tolist())))
+        second = free.agg(*(F.coalesce(F.sum(F.col("n_tokens") * p[i] * p[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i, j in pairs)).first()
+        gram = np.zeros((k, k))
+        for (i, j), g in zip(pairs, second, strict=True):
+            gram[i, j] = gram[j, i] = g if there[i] and there[j] else 0.0
+        move, size, before = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ np.where(there, now - want, 0.0), 1.0, far(now)
+        while size > 1e-6:  # a step is halved until it lowers the errors
+            step = (pull.tolist(), (size * move).tolist())
+            after = _totals(state, mix.folded([*pending, step], F.col("rate")), k)
+            if far(after) < before * (1 - 1e-4 * size):
+                break
+            size /= 2
+        else:
+            return mix  # no nonnegative rates come nearer
+        mix.steps.append(step)
+        pending.append(step)
+        now = after
+        if len(pending) == write_each:
+            state, pending = written(state.withColumn("rate", mix.folded(pending, F.col("rate"))), "rates"), []
+    raise RuntimeError(f"totals still move after {rounds} rounds, and miss their targets by {mix.residual:.3g}")
 
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -150,18 +167,18 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
 
     A classifier learned from the (id, domain) rows of ``labelled`` gives each document its posterior over
     domains. Rates are least squares by projected gradient: from 1, each step moves a document's rate against
-    the gradient of the squared relative errors of domain totals, weighted by tokens, and puts it back to
-    ``least_rate`` (0 or more) where it falls below. A domain's total is the sum over documents of rate, tokens
-    and posterior. A step is one distributed sum of as many numbers as there are domains; each ``write_each``
-    steps the rates are written to the shared folder.
+    the gradient of the squared errors of domain totals and puts it back to ``least_rate`` (0 or more) where it falls below. A domain's total is
+    the sum over documents of rate, tokens and posterior. The gradient is scaled by the inverse Gram matrix of the documents that are free to move, so
+    a step that nothing stops meets all targets; else it is halved until the errors fall. A step is two distributed sums, of as
+    many numbers as there are pairs of domains, and of domains; each ``write_each`` steps the rates are written to the shared folder.
 
     ``targets`` weighs the domains (scaled to sum 1; a domain without one gets nothing); left out, a
     domain's weight is its share of tokens to the power ``temperature``. ``budget`` is the total of tokens
     wanted, or ``share`` of those there are; left out, the least with which no domain has to shrink. A domain
-    that no document belongs to can't be raised and is left aside. Steps end when no total moves by more than
-    ``tolerance`` of what its domain has, or after ``rounds`` of them. residual, the same in every row, is the largest
-    miss of a total against its target as a share of what its domain has; it tells where rounds ran out or no
-    nonnegative rates meet all targets.
+    that no document belongs to can't be raised and is left aside. Steps end when no total misses its target by more than
+    ``tolerance`` of what its domain has, or when none lowers the errors any more, which is where no nonnegative rates meet all
+    targets; ``rounds`` of them without that are an error. residual, the same in every row, is the largest miss of a total
+    as a share of what its domain has.
 
     Tokens are runs of what is not ASCII white space. Null and empty texts have none and keep rate 1. Of several
     domains for an id the last in order counts. Without labelled rows there is one domain. Repeated rows stay;

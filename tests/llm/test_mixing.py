@@ -87,4 +87,4 @@ def test_no_python_in_the_plan(spark):
     docs, domains = tables(spark)
     plan = mixing_rates(docs, domains)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    assert fit_mix(docs, domains).moves
+    assert fit_mix(docs, domains).steps
