@@ -203,33 +203,6 @@ def _(s, d):
 
 
 # --- text ---
-def _cases(values: Column, n: int) -> Column:
-    return F.element_at(values, (F.col("p_partkey") % n + 1).cast("int"))
-
-
-CATEGORY_WORDS = ("Fast Food", "Gadgets & Telecom", "Bank", "Beauty Salon", "SHOPS", "n/a", "123", "Book Store", "Shoes", "Furnishings", "Cinema", "Supermarket", "odd")
-FLOOR_WORDS = ("2ND FLOOR", "GF", "2F", "Level 12", "B2", "Basement Parking", "LGF", "Upper Ground", "FOOD COURT 2F", "third level", "Roof Deck", "", "KIOSK AREA", "Floor 3")
-PHONE_WORDS = ("0917-123-4567 / 02 8123", "+63 917 123 4567", "9171234567", "8123-4567", "(02) 812-34567", "n/a", "-", "tba", "02 8123 4567 or 0917", "call us")
-FORMAT_WORDS = ("BPI ATM", "Siomai Kiosk", "Juice Cart", "Burger Drive-Thru", "Coffee To Go", "Bank Annex", "Plain Name", "Express Mart", "Photo Booth")
-
-
-def _array(words: tuple) -> Column:
-    return F.array(*map(F.lit, words))
-
-
-def _list_sql(words: tuple) -> str:
-    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
-
-
-def _by_part(words: tuple) -> str:
-    return f"raw AS (SELECT p_partkey, concat({_list_sql(words)}[p_partkey % {len(words)} + 1], CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ' ' END) AS v FROM part)"
-
-
-def _raw(s, d, words: tuple) -> DataFrame:
-    part = table(s, d, "part")
-    return part.select("p_partkey", F.concat(_cases(_array(words), len(words)), F.when(F.col("p_partkey") % 2 == 0, "").otherwise(" ")).alias("v"))
-
-
 CATEGORY_SQL = """CASE WHEN x IS NULL OR x IN ('', 'all', 'undefined', 'others', 'other', 'n/a', 'none') OR regexp_full_match(x, '[0-9]+') THEN 'unknown'
   WHEN regexp_matches(x, 'cyberzone|cybermart|gadget|telecom|computer|electronic|mobile.?phone') THEN 'electronics' WHEN regexp_matches(x, 'grocer|supermarket|food retail|convenience') THEN 'groceries'
   WHEN regexp_matches(x, 'cinema|amusement|recreation|entertaine?ment|experience|arcade|recharge') THEN 'entertainment' WHEN regexp_matches(x, 'bank|atm|government|courier|school|fellowship|services') THEN 'services'
@@ -251,41 +224,62 @@ def _(s, d):
     return words.withColumn("category_std", text.category(F.col("v")))
 
 
-FORMATS_SQL = " ".join(f"WHEN regexp_matches(v, '(?i){p}') THEN '{n}'" for n, p in text.FORMAT_PATTERNS)
+WORDS_SQL = "w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS v FROM documents)"
 
 
-@query("store_format", f"WITH {_by_part(FORMAT_WORDS)} SELECT v, CASE {FORMATS_SQL} ELSE 'standard' END AS store_format, count(*) AS n FROM raw GROUP BY ALL")
+def _words(s, d) -> DataFrame:
+    """Every distinct word of all documents, signs, digits and line ends included."""
+    return table(s, d, "documents").select(F.explode(F.split("text", " ")).alias("v")).distinct()
+
+
+@query(
+    "store_format",
+    rf"""WITH {WORDS_SQL}, l AS (SELECT v, lower(v) AS x FROM w) SELECT v, CASE WHEN regexp_matches(x, '\b(atm|automated teller)\b') THEN 'atm' WHEN regexp_matches(x, '\bkiosk\b') THEN 'kiosk' WHEN regexp_matches(x, '\bcart\b') THEN 'cart'
+  WHEN regexp_matches(x, '\bbooth\b') THEN 'booth' WHEN regexp_matches(x, '\bexpress\b') THEN 'express' WHEN regexp_matches(x, '\bdrive[\s-]?(thru|through)\b') THEN 'drive-thru' WHEN regexp_matches(x, '\bsatellite\b') THEN 'satellite'
+  WHEN regexp_matches(x, '\b(extension|annex)\b') THEN 'extension' WHEN regexp_matches(x, '\bstall\b') THEN 'stall' WHEN regexp_matches(x, '\bcounter\b') THEN 'counter' WHEN regexp_matches(x, '\b(to[\s-]?go|take[\s-]?out)\b') THEN 'takeout' ELSE 'standard' END AS store_format FROM l""",
+)
 def _(s, d):
-    return tables.count_by(_raw(s, d, FORMAT_WORDS).withColumn("store_format", text.listing_format(F.col("v"))), "v", "store_format")
+    return _words(s, d).withColumn("store_format", text.listing_format(F.col("v")))
+
+
+#: White space as Unicode has it.
+BLANKS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+PLACE_PATTERN = "kiosk|cart|al fresco|food ?hall|food ?court|park|annex|bldg|building|roof|concourse|mezzanine|wing|atrium|activity|garden"
 
 
 @query(
     "floor_levels",
-    rf"""WITH {_by_part(FLOOR_WORDS)}, l AS (SELECT v, trim(v) AS t, lower(trim(v)) AS x FROM raw), m AS (SELECT *,
+    rf"""WITH {WORDS_SQL}, l AS (SELECT v, trim(regexp_replace(v, '{BLANKS}', ' ', 'g')) AS t, lower(trim(regexp_replace(v, '{BLANKS}', ' ', 'g'))) AS x FROM w), m AS (SELECT *,
   regexp_extract(x, '\b(?:basement|b)\s*(\d+)\b', 1) AS below, regexp_extract(x, '^(\d{{1,2}})\s*/?\s*(?:f|l)\b', 1) AS compact,
-  regexp_extract(x, '(?:level|floor)\s*(\d{{1,2}})', 1) AS one, regexp_extract(x, '\b(\d{{1,2}})\s*(?:st|nd|rd|th)?\s*(?:floor|level)', 1) AS two, regexp_matches(x, '{text.PLACES}') AS place FROM l),
-n AS (SELECT *, CASE WHEN compact <> '' THEN CAST(compact AS INTEGER) WHEN one <> '' THEN CAST(one AS INTEGER) WHEN two <> '' THEN CAST(two AS INTEGER) WHEN x LIKE '%third%' THEN 3 WHEN x LIKE '%ground%' THEN 0 END AS lev FROM m)
-SELECT v, count(*) AS n, CASE WHEN t = '' THEN NULL WHEN below <> '' THEN concat('Basement ', below) WHEN x LIKE '%basement%' THEN 'Basement' WHEN regexp_matches(x, '\blower ground\b|\blgf\b|\blg\b') THEN 'Lower Ground'
-  WHEN regexp_matches(x, '\bupper ground\b|\bugf\b') THEN 'Upper Ground' WHEN regexp_matches(x, '\bground\b|\bgf\b') AND NOT place THEN 'Ground' WHEN lev IS NOT NULL AND NOT place THEN concat('Level ', lev)
-  WHEN t = 'FOOD COURT 2F' THEN 'Food Court 2F' WHEN t = 'KIOSK AREA' THEN 'Kiosk Area' ELSE t END AS label,
-  CASE WHEN t = '' THEN NULL WHEN below <> '' THEN -CAST(below AS INTEGER) WHEN x LIKE '%basement%' THEN -1 WHEN regexp_matches(x, '\blower ground\b|\blgf\b|\blg\b') THEN -1
-  WHEN regexp_matches(x, '\bupper ground\b|\bugf\b') THEN 1 WHEN regexp_matches(x, '\bground\b|\bgf\b') AND NOT place THEN 0 WHEN lev IS NOT NULL AND NOT place THEN lev END AS level FROM n GROUP BY ALL""",
+  regexp_extract(x, '(?:level|floor)\s*(\d{{1,2}})', 1) AS one, regexp_extract(x, '\b(\d{{1,2}})\s*(?:st|nd|rd|th)?\s*(?:floor|level)', 1) AS two, regexp_matches(x, '{PLACE_PATTERN}') AS place FROM l),
+n AS (SELECT *, CASE WHEN compact <> '' THEN CAST(compact AS INTEGER) WHEN one <> '' THEN CAST(one AS INTEGER) WHEN two <> '' THEN CAST(two AS INTEGER) WHEN contains(x, 'ground') THEN 0 WHEN contains(x, 'first') THEN 1
+  WHEN contains(x, 'second') THEN 2 WHEN contains(x, 'third') THEN 3 WHEN contains(x, 'fourth') THEN 4 WHEN contains(x, 'fifth') THEN 5 WHEN contains(x, 'sixth') THEN 6 WHEN contains(x, 'seventh') THEN 7 WHEN contains(x, 'eighth') THEN 8
+  WHEN contains(x, 'ninth') THEN 9 WHEN contains(x, 'tenth') THEN 10 END AS lev FROM m)
+SELECT v, CASE WHEN t = '' THEN NULL WHEN below <> '' THEN concat('basement ', CAST(below AS BIGINT)) WHEN contains(x, 'basement') THEN 'basement' WHEN regexp_matches(x, '\b(lower ground|lgf|lg)\b') THEN 'lower ground'
+  WHEN regexp_matches(x, '\b(upper ground|ugf)\b') THEN 'upper ground' WHEN regexp_matches(x, '\b(ground|gf|g/f|gfl)\b') AND NOT place THEN 'ground' WHEN lev IS NOT NULL AND NOT place THEN concat('level ', lev) ELSE x END AS label,
+  CASE WHEN t = '' THEN NULL WHEN below <> '' THEN -CAST(below AS INTEGER) WHEN contains(x, 'basement') OR regexp_matches(x, '\b(lower ground|lgf|lg)\b') THEN -1 WHEN regexp_matches(x, '\b(upper ground|ugf)\b') THEN 1
+  WHEN regexp_matches(x, '\b(ground|gf|g/f|gfl)\b') AND NOT place THEN 0 WHEN lev IS NOT NULL AND NOT place THEN lev END AS level FROM n""",
 )
 def _(s, d):
-    out = _raw(s, d, FLOOR_WORDS).withColumn("f", text.floor(F.col("v"))).select("v", "f.*")
-    return tables.count_by(out, "v", "label", "level")
+    return _words(s, d).withColumn("f", text.floor(F.col("v"))).select("v", F.lower("f.label").alias("label"), "f.level")
+
+
+@query("title_words", "SELECT DISTINCT v, concat(upper(substr(v, 1, 1)), lower(substr(v, 2))) AS shown FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS v FROM documents)")
+def _(s, d):
+    runs = table(s, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("v")).distinct()
+    return runs.withColumn("shown", text.title(F.col("v")))
 
 
 @query(
     "phone_numbers",
-    rf"""WITH {_by_part(PHONE_WORDS)}, c AS (SELECT v, trim(v) AS t FROM raw), k AS (SELECT v, CASE WHEN t <> '' AND NOT regexp_matches(t, '(?i)^(?:[.\-_/\s]*|n/?a|none|nil|tba|correct|test|null)$') AND regexp_matches(t, '\d') THEN t END AS phone FROM c),
-g AS (SELECT v, phone, regexp_replace(regexp_extract(phone, '(?i)^(.*?)(?:\s*(?:/|;|,| or )\s*.*)?$', 1), '\D', '', 'g') AS x FROM k)
-SELECT v, phone, count(*) AS n, CASE WHEN x LIKE '63%' AND length(x) = 12 THEN concat('+', x) WHEN x LIKE '0%' AND length(x) = 11 THEN concat('+63', substr(x, 2)) WHEN x LIKE '9%' AND length(x) = 10 THEN concat('+639', substr(x, 2))
-  WHEN x LIKE '02%' AND length(x) IN (9, 10) THEN concat('+63', substr(x, 2)) END AS phone_e164 FROM g GROUP BY ALL""",
+    rf"""WITH {WORDS_SQL}, c AS (SELECT v, trim(regexp_replace(v, '{BLANKS}', ' ', 'g')) AS t FROM w),
+k AS (SELECT v, CASE WHEN t <> '' AND NOT regexp_matches(t, '(?i)^(?:[.\-_/\s]*|n/?a|none|nil|tba|correct|test|null)$') AND regexp_matches(t, '[0-9]') THEN t END AS phone FROM c),
+g AS (SELECT v, phone, regexp_replace(regexp_extract(phone, '(?i)^((?s).*?)(?:\s*(?:/|;|,| or )\s*(?s).*)?$', 1), '[^0-9]', '', 'g') AS x FROM k)
+SELECT v, phone, CASE WHEN x LIKE '63%' AND length(x) = 12 THEN concat('+', x) WHEN x LIKE '0%' AND length(x) = 11 THEN concat('+63', substr(x, 2)) WHEN x LIKE '9%' AND length(x) = 10 THEN concat('+639', substr(x, 2))
+  WHEN x LIKE '02%' AND length(x) IN (9, 10) THEN concat('+63', substr(x, 2)) END AS phone_e164 FROM g""",
 )
 def _(s, d):
-    out = _raw(s, d, PHONE_WORDS).withColumn("phone", text.clean_phone(F.col("v"))).withColumn("phone_e164", text.e164(F.col("phone")))
-    return tables.count_by(out, "v", "phone", "phone_e164")
+    return _words(s, d).withColumn("phone", text.clean_phone(F.col("v"))).withColumn("phone_e164", text.e164(F.col("phone")))
 
 
 @query(
@@ -456,16 +450,28 @@ def _(s, d):
     return properties(s, d).select("mall_id", geo.in_bounds(lat, lon).alias("inside"), geo.region_of_coordinate(lat, lon).alias("derived"))
 
 
-PLACE_WORDS = ("Ayala Ave, Makati", "Legazpi St., Makati", "Legazpi City, Albay", "Q.C. Circle", "Cebu IT Park", "Davao Gulf", "Baguio City", "Las Piñas", "nowhere", "Santa Rosa, Laguna")
+@query(
+    "text_regions",
+    f"""WITH {WORDS_SQL}, l AS (SELECT v, lower(strip_accents(v)) AS x FROM w)
+SELECT v, CASE WHEN regexp_matches(x, '\\bq\\.?\\s?c\\.?\\b') THEN 'metro-manila' {" ".join(f"WHEN regexp_matches(x, '{'|'.join(words)}') THEN '{r}'" for r, words in geo.REGION_WORDS)} END AS derived FROM l""",
+)
+def _(s, d):
+    return _words(s, d).withColumn("derived", geo.region_of_text(F.col("v")))
+
+
+@query("derived_regions", f"WITH {PROPS_SQL} SELECT mall_id, {REGION_CASE} AS derived FROM props")
+def _(s, d):
+    return properties(s, d).select("mall_id", geo.region(F.col("address"), F.col("lat"), F.col("lon")).alias("derived"))
 
 
 @query(
-    "text_regions",
-    f"""WITH {_by_part(PLACE_WORDS)}, l AS (SELECT v, lower(strip_accents(v)) AS x FROM raw)
-SELECT v, count(*) AS n, CASE WHEN regexp_matches(x, '\\bq\\.?\\s?c\\.?\\b') THEN 'metro-manila' {" ".join(f"WHEN regexp_matches(x, '{'|'.join(words)}') THEN '{r}'" for r, words in geo.REGION_WORDS)} END AS derived FROM l GROUP BY ALL""".replace("\\\\", "\\"),
+    "repeated_properties",
+    f"""{WITH}, twice AS (SELECT chain, mall_id FROM props WHERE CAST(mall_id AS INTEGER) % 9 = 0), h AS (SELECT DISTINCT chain, mall_id FROM list)
+SELECT 'error' AS severity, 'repeated_property' AS kind, concat(chain, ':', mall_id) AS key, '2' AS detail FROM twice UNION ALL SELECT 'warning', 'no_listings', concat(p.chain, ':', p.mall_id), '' FROM props p ANTI JOIN h ON p.chain = h.chain AND p.mall_id = h.mall_id""",
 )
 def _(s, d):
-    return tables.count_by(_raw(s, d, PLACE_WORDS).withColumn("derived", geo.region_of_text(F.col("v"))), "v", "derived")
+    p = properties(s, d)
+    return quality.contract_findings(p.unionByName(p.filter(F.col("mall_id").cast("int") % 9 == 0)), listings(s, d))
 
 
 HAVERSINE = "2 * 6371.0 * asin(sqrt(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lon) - radians(a.lon)) / 2), 2)))"
