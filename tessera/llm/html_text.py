@@ -29,7 +29,7 @@ ASIDE_WORDS = frozenset(
     "modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related share "
     "sharing sidebar social sponsor sponsored subscribe subscription toolbar widget".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentlist disqus replies".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies responses".split())
 PLACE_WORDS = frozenset(
     "area bar block bottom box btn button buttons container content form global group header icons inner item items left links list main outer page panel primary "
     "right secondary section sidebar site sticky text title top unit wrap wrapper".split()
@@ -217,8 +217,11 @@ def _choose(root: Node) -> Node:
             best = node
         if node.tag in CONTENT:
             return best
-    inner = max((n for n in _order(best) if n.tag in CONTENT), key=lambda n: (n.sum, n.chars), default=best)
-    return inner if 2 * inner.chars > best.chars else best
+    inner = max((n for n in _order(best) if n.tag in CONTENT), key=lambda n: (n.sum, n.chars), default=None)
+    if inner is not None:
+        return inner if 2 * inner.chars > best.chars else best
+    beside = max((n for n in nodes if n.tag in CONTENT), key=lambda n: (n.sum, n.chars), default=best)
+    return beside if 4 * beside.chars >= best.chars else best
 
 
 def main_text(html: str) -> str:

@@ -100,3 +100,13 @@ def test_awkward_rows(spark):
     got = sorted(((r.page_id, r.url, r.n_chars) for r in page_text(df).collect()), key=str)
     assert got == sorted([(1, "u", 0), (1, "u", 0), (None, None, 0), (3, "u", 249_999)], key=str)
     assert page_text(df.limit(0)).collect() == []
+
+
+def test_an_article_is_taken_before_longer_text_beside_it():
+    say = lambda n, what: "".join(f"<p>{what} number {i}, a sentence of several plain words, and then another one of them.</p>" for i in range(n))
+    for named in ("responses", "thread", "x"):
+        for inner in (say(6, "Reply"), "".join(f"<div>{say(1, 'Reply')}</div>" for _ in range(6))):
+            text = main_text(f'<body><article>{say(3, "Story")}</article><div class="{named}">{inner}</div></body>')
+            assert text.count("Story") == 3 and "Reply" not in text
+    text = main_text(f"<body><article>{say(1, 'Teaser')}</article><div>{say(12, 'Story')}</div></body>")
+    assert text.count("Story") == 12
