@@ -19,8 +19,6 @@ HIGH = bytes(range(128, 256))
 MARKED = re.compile(rb"[^A-Za-z0-9\x80-\xff](?:\s|\Z)")
 #: Steps between -0.5 and 1.5 in which raw scores are gathered for calibration.
 GRID = 2000
-#: Tasks that add up the tasks' normal equations; each sends one matrix to the driver.
-PARTS = 12
 
 
 def statistics(text: bytes) -> list[float]:
@@ -106,18 +104,19 @@ def _fit(train: DataFrame, features: int, width: float, ridge: float, seed: int)
             part = z.T @ np.column_stack([z, batch.column(1).to_numpy(zero_copy_only=False)])
             total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([line.tobytes() for line in total], pa.binary())], names=["line", "sums"])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((features + 1) * (features + 2))
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in batch.column(0).to_pylist():
-                total += np.frombuffer(part)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    # every task sums its own rows, PARTS tasks their sums
-    parts = train.select("x", "y").mapInArrow(sums, "sums binary").repartition(PARTS).mapInArrow(added, "sums binary").collect()
-    total = np.sum([np.frombuffer(r["sums"]).reshape(features + 1, -1) for r in parts], axis=0)
+            for line, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[line] = total.get(line, 0.0) + np.frombuffer(part)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["line", "sums"])
+
+    # every task sums its own rows; the lines of those matrices are dealt out and summed, each where it lies
+    kind = "line int, sums binary"
+    lines = train.select("x", "y").mapInArrow(sums, kind).repartition("line").mapInArrow(added, kind).collect()
+    total = np.array([np.frombuffer(r["sums"]) for r in sorted(lines, key=lambda r: r["line"])])
     penalty = ridge * first["n"] / features * np.eye(features + 1)
     penalty[-1, -1] = 0
     model["weights"] = np.linalg.solve(total[:, :-1] + penalty, total[:, -1])
@@ -156,8 +155,8 @@ def quality_scores(
     """(doc_id, held_out, score, predicted) for each row of ``docs``.
 
     Learns from labelled rows outside the held-out fold only, and sees nothing but statistics of the text.
-    Every labelled row counts: each task sums its part of the normal equations, ``PARTS`` tasks add those up,
-    the driver adds the ``PARTS`` matrices of ``features``² numbers and solves them; raw scores are gathered on a fixed grid and made
+    Every labelled row counts: each task sums its part of the normal equations, whose lines are dealt out and added up,
+    and the driver solves the one matrix of ``features``² numbers; raw scores are gathered on a fixed grid and made
     monotone. Null and empty texts get the score of all-zero statistics. Of several labels for an id the
     largest counts; null labels and ids count for nothing. Without any label all scores are 0.5. Repeated
     rows stay; other columns are ignored; an empty table gives an empty result.
