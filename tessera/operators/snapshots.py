@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,6 +37,20 @@ def extended_roster(roster: DataFrame, live: DataFrame, key: str) -> DataFrame:
     return roster.withColumn("is_new", F.lit(False)).unionByName(fresh, allowMissingColumns=True)
 
 
+def unlisted(live: DataFrame, known: list[DataFrame], key: str) -> DataFrame:
+    """Rows of ``live`` whose key none of the ``known`` tables has; their keys are one set first, so ``live`` is joined once."""
+    keys = functools.reduce(DataFrame.union, (df.select(key) for df in known)).distinct()
+    return live.join(keys, key, "left_anti")
+
+
+def check_groups(groups: list[str], known: DataFrame, group: str = "chain") -> None:
+    """Raises where a wanted group is none of those known, so that a misspelt run does not carry everything forward."""
+    spark = known.sparkSession
+    odd = spark.createDataFrame([(g,) for g in groups], f"{group} string").join(known.select(group), group, "left_anti").orderBy(group).first()
+    if odd:
+        raise ValueError(f"unknown {group} {odd[0]!r}")
+
+
 def last_bucket(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """One value for each key, the one of the last bucket."""
     return df.groupBy(key).agg(F.max_by(value, order).alias(value))

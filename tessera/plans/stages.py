@@ -71,8 +71,11 @@ def ingested(
     """Properties, listings and findings of a run over typed landed rows.
 
     Regions come from text first and from coordinates once placed. A run of some groups carries the other
-    groups' rows forward with the date they had. A broken contract raises.
+    groups' rows forward with the date they had. A broken contract raises, and so does a group that neither the landed rows nor the
+    previous run has.
     """
+    if groups is not None:
+        snapshots.check_groups(groups, properties.select("chain") if previous is None else properties.select("chain").union(previous[0].select("chain")))
     told = F.coalesce(F.col("region"), geo.region_of_text(F.concat_ws(" ", "mall_name", "address")))
     fresh = snapshots.stamped(properties.withColumn("region", told), run_date), snapshots.stamped(listings, run_date)
     old = previous or (None, None)

@@ -415,6 +415,17 @@ def _(s, d):
     return tables.count_by(snapshots.with_fallback(first, second, ["chain", "mall_id"]), "mall_id", "src")
 
 
+@query(
+    "unlisted_keys",
+    f"""{WITH}, known AS (SELECT brand_key FROM list WHERE scraped_at < '1995-02' UNION SELECT brand_key FROM list WHERE chain = 'ASIA' AND scraped_at < '1995-04' UNION SELECT concat(p_name, ' ', p_size) FROM part WHERE p_type = 'PROMO')
+SELECT DISTINCT brand_key FROM list ANTI JOIN known USING (brand_key)""",
+)
+def _(s, d):
+    rows = listings(s, d).select("brand_key", "scraped_at", "chain")
+    promoted = table(s, d, "part").filter("p_type = 'PROMO'").select(F.concat_ws(" ", "p_name", "p_size").alias("brand_key"))
+    return snapshots.unlisted(rows.select("brand_key").distinct(), [rows.filter("scraped_at < '1995-02'"), rows.filter("chain = 'ASIA' and scraped_at < '1995-04'"), promoted], "brand_key")
+
+
 @query("capped_groups", "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) = 4")
 def _(s, d):
     return quality.capped_groups(table(s, d, "lineitem"), ["l_orderkey"], 4)

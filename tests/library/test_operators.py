@@ -87,6 +87,9 @@ def test_carry_forward(spark, small):
     assert {r.mall_id for r in malls.collect()} == {"1", "3"}
     assert ("gone", "2") in {(r.kind, r.key) for r in found.collect()}
     assert snapshots.carry_forward(rows, fresh, None).count() == 1
+    with pytest.raises(ValueError, match="unknown chain 'zz'"):
+        stages.ingested(p, rows, "2024-03-01", _registry(spark), ["a", "zz"], (p, rows))
+    assert {r.mall_id for r in snapshots.unlisted(p, [p.filter("mall_id = '1'"), rows.filter("mall_id = '3'")], "mall_id").collect()} == {"2"}
 
 
 def test_orphans_break_the_contract(spark, small):
