@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+from cases import awkward, empty
 from pyspark.sql import functions as F
 from test_similar import components, plain_set
 from tokenizers import Tokenizer
@@ -54,3 +55,30 @@ def test_run(spark):
     assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     last = rows.orderBy(F.desc("start")).first()
     assert last.start + last.n_tokens == rows.agg(F.sum("n_tokens")).first()[0]
+
+
+def test_awkward_rows_through_all_stages(spark, tmp_path):
+    """Null, blank and very long texts, null and repeated ids, repeated rows and columns of clashing names."""
+    docs = awkward(spark)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, DATA).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = docs
+    ids = {name: sorted((r.doc_id for r in df.collect()), key=str) for name, df in kept.items()}
+    assert ids["toxicity"] == sorted([1, 2, 3, 4, 5, 6, 7, 7, 8, None], key=str)
+    # equal but for case: the smaller id; no word at all: one group; a repeated row stays with its like
+    assert ids["near_duplicates"] == ids["decontamination"] == sorted([1, 3, 6, 7, 7, 8, None], key=str)
+    assert set(ids["mixing"]) == {1, 3, 6, 7, 8, None} and len(ids["token_files"]) == len(ids["mixing"]) >= 7
+    assert all(kept[name].columns == awkward(spark).columns for name in ids if name != "token_files")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), DATA).collect() == [], name
+
+
+def test_toxic_documents_go_with_all_their_rows(spark):
+    toxic = spark.read.parquet(f"{DATA}/documents.parquet").join(spark.read.parquet(f"{DATA}/labels.parquet").filter("toxic = 1 and quality = 1"), "doc_id").select("text").first()
+    base = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(900_000, toxic.text), (900_000, toxic.text), (900_001, None), (None, toxic.text), (None, "plain words")], "doc_id long, text string")
+    kept = corpus_pipeline.drop_toxic(spark, base.unionByName(more), DATA)
+    left = [(r.doc_id, r.text) for r in kept.filter("doc_id is null or doc_id >= 900000").collect()]
+    assert sorted(left, key=str) == [(900_001, None), (None, "plain words")]
