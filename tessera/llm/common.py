@@ -6,7 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -49,10 +50,27 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go at the end, but for those written to be kept: nothing that is handed on may read the others."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: its lineage ends there, so lost executors cost a read only."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _passing and not keep:
+        _passing[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

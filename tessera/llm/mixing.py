@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import passing_tables, written
 
 #: Characters whose share of a text the classifier sees.
 MARKS = ("|", "!", "$", "%", "&", "*", "#", ".", ",")
@@ -184,7 +184,8 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     domains for an id the last in order counts. Without labelled rows there is one domain. Repeated rows stay;
     other columns are ignored; an empty table gives an empty result.
     """
-    mix = fit_mix(docs, labelled, targets, id_col=id_col, text_col=text_col, **options)
+    with passing_tables(docs.sparkSession):
+        mix = fit_mix(docs, labelled, targets, id_col=id_col, text_col=text_col, **options)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return mix.rated(mix.domains.with_posterior(with_statistics(rows, "text").drop("text"))).select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate", F.lit(mix.residual).alias("residual"))
 
@@ -196,7 +197,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     are right in expectation and a rerun draws the same. Rows without a token keep rate 1, and so one copy; rows
     that repeat another in every column are drawn alike. Columns of any names stay; an empty table stays empty.
     """
-    mix = fit_mix(docs, labelled, targets, text_col=text_col, **options)
+    with passing_tables(docs.sparkSession):
+        mix = fit_mix(docs, labelled, targets, text_col=text_col, **options)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rated = mix.rated(mix.domains.with_posterior(with_statistics(rows, "text").drop("text")))
     chance = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(1 << 40)) / float(1 << 40)

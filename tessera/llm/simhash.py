@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import written
+from tessera.llm.common import passing_tables, written
 from tessera.llm.components import connected_components
 
 BITS = 64
@@ -159,9 +159,10 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, similarity: float =
     """
     from tessera.llm.similar import similar_rows, text_key
 
-    marked = similar_rows(docs, id_col, text_col, words, radius, seed, similarity)
-    surplus = marked.filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))))
-    surplus = written(surplus.select(F.col("doc_id").alias("id"), "key").distinct(), "surplus")  # of a size that Spark knows
+    with passing_tables(docs.sparkSession):
+        marked = similar_rows(docs, id_col, text_col, words, radius, seed, similarity)
+        surplus = marked.filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))))
+        surplus = written(surplus.select(F.col("doc_id").alias("id"), "key").distinct(), "surplus", keep=True)  # of a size that Spark knows
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("own_id"), text_key(F.col(text_col)).alias("own_key"))
     same = (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("id"))
     return rows.join(surplus, same, "left_anti").select("row.*")

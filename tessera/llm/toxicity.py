@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, held, written
+from tessera.llm.common import fold, held, passing_tables, written
 
 #: Ends of sentences: . ! ? line ends, and the ideographic full stop.
 BREAK = re.compile(rb"[.!?\n\r]+|\xe3\x80\x82")
@@ -267,10 +267,11 @@ def fit(
     known = labels.groupBy(doc_id).agg(F.max(F.col(label_col).cast("int")).alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.filter(fold(F.col("doc_id"), folds) != held_fold)
     share = min(1.0, most_labelled / max(1, known.count()))
-    few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) < int(share * (1 << 62))), "labels")  # most_labelled rows, give or take chance
-    rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
-    sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
-    return Model(_fit(sample, features, rounds, decay, tolerance, parts))
+    with passing_tables(docs.sparkSession):
+        few = written(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) < int(share * (1 << 62))), "labels")  # most_labelled rows, give or take chance
+        rows = docs.select(doc_id, F.col(text_col).cast("binary").alias("text"))
+        sample = written(rows.join(F.broadcast(few), "doc_id").select("text", "y"), "sample")
+        return Model(_fit(sample, features, rounds, decay, tolerance, parts))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, **options) -> DataFrame:
