@@ -27,7 +27,7 @@ def frame(spark, names):
 @pytest.mark.parametrize(("letters", "longest", "threshold"), [("ab", 12, 0.86), ("abcdef ", 24, 0.86), ("aé漢😀 ", 16, 0.9), ("abcdefghij", 40, 0.75)])
 def test_no_pair_at_the_ratio_is_lost(spark, letters, longest, threshold):
     rnd = random.Random(len(letters) * longest)
-    names = {"".join(rnd.choice(letters) for _ in range(rnd.randint(1, longest))) for _ in range(90)}
+    names = {"".join(rnd.choice(letters) for _ in range(rnd.randint(1, longest))) for _ in range(60)}
     for n in list(names):
         names.add(mangled(rnd, mangled(rnd, n, letters) or "a", letters) or "a")
     names |= {"aaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaa", "abababababab", "babababababa"}
@@ -48,15 +48,15 @@ def test_codes_that_share_most_of_their_letters(spark):
 
 
 def test_pairs_grow_with_the_names(spark):
-    """At 1, 4 and 16 times the names, of which every second is a near copy, met pairs grow by a power below 1.3."""
+    """At 1 and 16 times the names, of which every second is a near copy, met pairs and candidates grow by a power below 1.3."""
     rnd = random.Random(5)
     letters = "abcdefghijklmnopqrstuvwxyz"
     counts = []
-    for n in (300, 1200, 4800):
+    for n in (300, 4800):
         base = ["".join(rnd.choice(letters) for _ in range(rnd.randint(12, 24))) for _ in range(n // 2)]
         names = frame(spark, sorted({*base, *(mangled(rnd, b, letters) for b in base)}))
         counts.append((similar.meetings(names, names, 0.86).filter("left < right").count(), similar.similar_candidates(names, names, 0.86, same=True).count()))
-    for one, four, sixteen in zip(*counts, strict=True):
+    for one, sixteen in zip(*counts, strict=True):
         assert math.log(sixteen / one, 16) < 1.3, counts
         assert one >= 140
 
