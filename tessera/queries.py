@@ -1236,6 +1236,15 @@ def _(s, d):
     return tables.count_by(stores.withColumn("what", F.lit("listings")), "what", "chain", "scraped_at").union(out)
 
 
+@query("resolve_stage")
+def _(s, d):
+    """Where each property is placed, by the registry or by a map feature, and why the others stay open."""
+    p = properties(s, d).withColumn("region", geo.region_of_coordinate(F.col("lat"), F.col("lon")))
+    known = _registry(s, d).filter(F.col("mall_id").cast("int") % 4 == 2).withColumns({"matched": F.lit(None).cast("string"), "ref": F.lit("registry")})
+    placed, open_ = stages.resolved_places(p, known, _features(s, d))
+    return placed.select("chain", "mall_id", F.col("ref").alias("told")).unionByName(open_.select("chain", "mall_id", F.col("reason").alias("told")))
+
+
 @query(
     "breakdown_stage",
     f"""{WITH}, {PRESENCE}, n AS (SELECT chain, mall_id, count(*) AS listings FROM list GROUP BY ALL), one AS (SELECT brand_key, min(chain) AS chain FROM pres GROUP BY brand_key HAVING count(DISTINCT chain) = 1)
