@@ -50,17 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-_passing: list[list[str]] = []
+_passing: list[list[tuple[str, str | None]]] = []
 
 
 @contextmanager
 def passing_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside go at the end, but for those written to be kept: nothing that is handed on may read the others."""
+    """Tables written inside go at the end: nothing that is handed on may read them. Those written to be kept go with the scope around, if there is one."""
     _passing.append([])
     try:
         yield
     finally:
-        for path in _passing.pop():
+        for path, name in _passing.pop():
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -69,12 +71,29 @@ def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: its lineage ends there, so lost executors cost a read only."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    if _passing and not keep:
-        _passing[-1].append(path)
+    _passes(path, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _passes(path: str, keep: bool, name: str | None = None) -> None:
+    if len(_passing) > keep:
+        _passing[-1 - keep].append((path, name))
+
+
+def bucketed(df: DataFrame, by: list[str], tag: str, keep: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder, in as many buckets of the columns ``by`` as the session has shuffle partitions.
+
+    Its rows are shuffled once; a join on all of ``by`` then moves the other side only. The catalog keeps an entry for it.
+    """
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"tessera_{tag}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    _passes(path, keep, name)
+    df.repartition(n, *by).write.format("parquet").bucketBy(n, *by).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

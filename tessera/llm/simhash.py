@@ -133,9 +133,9 @@ def near_duplicates(
     empty result.
     """
     if similarity is not None:
-        from tessera.llm.similar import similar_rows
+        from tessera.llm.similar import placed, similar_rows
 
-        return similar_rows(docs, id_col, text_col, words, radius, seed, similarity).select("doc_id", spelled("fp"), F.col("first.doc_id").alias("component_id"))
+        return similar_rows(placed(docs, id_col, text_col), text_col, words, radius, seed, similarity).select("doc_id", spelled("fp"), F.col("first.doc_id").alias("component_id"))
     prints = written(fingerprints(docs, id_col, text_col, words, seed), "prints")
     groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
     roots = connected_components(links(groups.select("fp"), radius)).withColumnRenamed("id", "fp")
@@ -157,12 +157,11 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, similarity: float =
     that id the one whose text hashes least; null ids come last. Rows that repeat both id and text are told
     apart by nothing and stay together. Null and empty texts form one group. An empty table stays empty.
     """
-    from tessera.llm.similar import similar_rows, text_key
+    from tessera.llm.similar import PLACE, at_place, placed, similar_rows
 
     with passing_tables(docs.sparkSession):
-        marked = similar_rows(docs, id_col, text_col, words, radius, seed, similarity)
+        rows = placed(docs, id_col, text_col)
+        marked = similar_rows(rows, text_col, words, radius, seed, similarity)
         surplus = marked.filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))))
-        surplus = written(surplus.select(F.col("doc_id").alias("id"), "key").distinct(), "surplus", keep=True)  # of a size that Spark knows
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("own_id"), text_key(F.col(text_col)).alias("own_key"))
-    same = (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("id"))
-    return rows.join(surplus, same, "left_anti").select("row.*")
+        surplus = written(surplus.select(*at_place("doc_id", "key")).distinct(), "surplus", keep=True)
+    return rows.join(surplus.hint("shuffle_hash"), PLACE, "left_anti").select("row.*")

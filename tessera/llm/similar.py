@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import written
+from tessera.llm.common import bucketed, written
 from tessera.llm.components import connected_components
 from tessera.llm.simhash import links, majority, shingle_hashes
 
@@ -30,6 +30,25 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text.cast("binary"))
 
 
+#: What tells rows apart, without nulls, so that a join on it is one on plain columns.
+PLACE = ["own_id", "no_id", "own_key"]
+
+
+def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` as the struct ``row``, in buckets of PLACE: texts are shuffled here and nowhere else.
+
+    Copies of a text have ids of their own, so no bucket is hot; only rows that repeat both id and text share one.
+    """
+    own = F.col(id_col).cast("long")
+    rows = docs.select(F.coalesce(own, F.lit(0)).alias("own_id"), own.isNull().alias("no_id"), text_key(F.col(text_col)).alias("own_key"), F.struct(*docs.columns).alias("row"))
+    return bucketed(rows, PLACE, "rows", keep=True)
+
+
+def at_place(doc_id: str, key: str) -> list[Column]:
+    """PLACE of a row whose id and text key are these columns."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("own_id"), F.col(doc_id).isNull().alias("no_id"), F.col(key).alias("own_key")]
+
+
 def _set(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate([np.empty(0, "<u8"), *parts]).view("<i8"))
 
@@ -177,17 +196,16 @@ def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words:
 
     pairs = written(candidates, "candidates")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    wanted = written(groups.join(ends, "set", "left_semi").select(F.col("key").alias("own_key"), F.col("first.doc_id").alias("own_id"), "set"), "wanted")  # of a size that Spark knows: texts stay where they are if it is small
-    own = (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
-    texts = rows.join(wanted, own).select("set", "text").mapInArrow(run, "set long, all array<long>")
+    wanted = written(groups.join(ends, "set", "left_semi").select(*at_place("first.doc_id", "key"), "set"), "wanted")
+    texts = rows.join(wanted.hint("shuffle_hash"), PLACE).select("set", "text").mapInArrow(run, "set long, all array<long>")
     full = written(texts.groupBy("set").agg(F.any_value("all").alias("all")), "full")
     both = pairs.join(full.withColumnsRenamed({"set": "a", "all": "all_a"}), "a").join(full.withColumnsRenamed({"set": "b", "all": "all_b"}), "b")
     shared = F.size(F.array_intersect("all_a", "all_b"))
     return written(both.filter(shared * share.denominator >= (F.size("all_a") + F.size("all_b") - shared) * share.numerator).select("a", "b"), "links")
 
 
-def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int, seed: int, similarity: float) -> DataFrame:
-    """(doc_id, key, fp, first) for each row of ``docs``; first is the struct (doc_id, key) of its component's first row.
+def similar_rows(docs: DataFrame, text_col: str, words: int, radius: int, seed: int, similarity: float) -> DataFrame:
+    """(doc_id, key, fp, first) for each row of ``docs``, which are those of placed; first is the struct (doc_id, key) of its component's first row.
 
     Texts link where the Jaccard similarity of their sets of ``words``-word shingles is ``similarity`` or more; no
     such pair is missed and none below it links. Sets are told apart by 128-bit digests and their sizes, and numbered. Pairs within a group that verified links of fingerprints and of
@@ -196,8 +214,9 @@ def similar_rows(docs: DataFrame, id_col: str, text_col: str, words: int, radius
     share = Fraction(str(similarity))
     if not 0 < share <= 1:
         raise ValueError("similarity must be above 0 and at most 1")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), text_key(F.col(text_col)).alias("key"))
-    sets = written(_sets(rows.select("doc_id", "key", "text"), words, seed, share), "sets")
+    rows = docs.select(*PLACE, F.col("row").getField(text_col).cast("binary").alias("text"))
+    named = rows.select(F.when(~F.col("no_id"), F.col("own_id")).alias("doc_id"), F.col("own_key").alias("key"), "text")
+    sets = written(_sets(named, words, seed, share), "sets")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     grouped = sets.groupBy("digest", "size").agg(F.min(order).alias("first"), F.min_by(F.struct("key", "fp", "prefix"), order).alias("one"))
     groups = written(grouped.select(F.monotonically_increasing_id().alias("set"), "digest", "size", "first", "one.*"), "groups")  # numbered once for all
