@@ -180,21 +180,25 @@ def open_gaps(gaps: DataFrame, today: str) -> DataFrame:
     return gaps.filter(F.col("property_type").endswith("mall") & (F.col("opened").isNull() | (F.substring("opened", 1, 10) <= today)))
 
 
-def _beginnings(df: DataFrame, key: str) -> DataFrame:
-    """(key, text): each key with all of its beginnings, the empty one and the whole included."""
-    own = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    return own.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.length(key)), lambda n: F.substring(F.col(key), F.lit(1), n))).alias("text"))
+def _beginnings(df: DataFrame, key: str, others: DataFrame, other: str) -> DataFrame:
+    """(key, text): each key with those of its beginnings, the whole included, that are as long as one of ``others``."""
+    sizes = others.agg(F.collect_set(F.length(other)).alias("_sizes"))
+    fits = F.filter("_sizes", lambda n: n <= F.length(key))
+    return df.crossJoin(F.broadcast(sizes)).select(key, F.explode(F.transform(fits, lambda n: F.substring(F.col(key), F.lit(1), n))).alias("text"))
 
 
 def unmatched_roster(roster: DataFrame, live: DataFrame, roster_key: str = "roster_key", live_key: str = "live_key") -> DataFrame:
     """Roster rows of which no live key is a prefix or an extension; null keys match none.
 
-    Keys meet by equality with the beginnings of the other side: each side spells its own, and only asks whether one is there.
+    Keys meet by equality with the beginnings of the other side that are as long as one of its own keys. All three joins are
+    on sorted exchanges: sizes of made texts can't be told before they are there, so none may be broadcast on a guess.
     """
-    live = live.select(F.col(live_key).alias("live"))
-    above = _beginnings(roster, roster_key).join(live.withColumnRenamed("live", "text"), "text", "left_semi").select(roster_key)
-    below = roster.select(roster_key).join(_beginnings(live, "live").select(F.col("text").alias(roster_key)), roster_key, "left_semi")
-    return roster.join(above.union(below).distinct(), roster_key, "left_anti")
+    keys = roster.select(roster_key).filter(F.col(roster_key).isNotNull()).distinct()
+    live = live.select(F.col(live_key).alias("live")).filter("live is not null").distinct()
+    above = _beginnings(keys, roster_key, live, "live").join(live.withColumnRenamed("live", "text").hint("merge"), "text", "left_semi").select(roster_key)
+    below = _beginnings(live, "live", keys, roster_key).select(F.col("text").alias(roster_key)).distinct()
+    below = keys.join(below.hint("merge"), roster_key, "left_semi")
+    return roster.join(above.union(below).distinct().hint("merge"), roster_key, "left_anti")
 
 
 def map_clusters(points: DataFrame, zoom: int) -> DataFrame:
