@@ -1,5 +1,8 @@
 """What has to hold on tables larger than the tests' own: plans, shares of tasks and ids of more digits."""
 
+from pyspark.sql import functions as F
+
+from tessera.functions import text
 from tessera.operators import places
 
 
@@ -15,3 +18,16 @@ def test_rosters_are_not_broadcast(spark):
     assert {r.roster_key for r in open_.collect()} == {"xyz", None}
     none = live.filter("live_key = 'none'")
     assert places.unmatched_roster(roster, none).count() == 6 and places.unmatched_roster(none.withColumnRenamed("live_key", "roster_key"), live).count() == 0
+
+
+def test_short_numbers_before_a_status_are_no_phones(spark):
+    cases = {
+        "ANVIL BRAND#7 MC12345 - (OPENING SOON)": "Anvil Brand#7 Mc12345",
+        "ANVIL 12345 - - (CLOSED)": "Anvil 12345",
+        "Uniqlo 0355276359 - (Opening Soon)": "Uniqlo",
+        "UNCLE JOHN'S0998-846-6030": "Uncle John's",
+        "Anvil '123-4567 ": "Anvil",
+        "Anvil mc12345 (02) 8123-1234": "Anvil mc12345",
+    }
+    df = spark.createDataFrame([(v,) for v in cases], "v string")
+    assert {r.v: r.n for r in df.select("v", text.clean_name(F.col("v")).alias("n")).collect()} == cases
