@@ -10,6 +10,7 @@ from tessera.functions import geo
 from tessera.functions.text import core_tokens, match_name, usable
 from tessera.operators.resolve import with_ratio
 from tessera.operators.similar import similar_candidates
+from tessera.scratch import written
 
 KEYS = ["chain", "mall_id"]
 ACCEPT, CERTAIN, CONTAINED = 0.90, 1.0, 0.93
@@ -40,13 +41,8 @@ def unplaced(properties: DataFrame, registry: DataFrame) -> DataFrame:
     return properties.filter(~is_operator_placed()).join(registry.select(*KEYS), KEYS, "left_anti")
 
 
-def name_matches(properties: DataFrame, features: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """(chain, mall_id, id, lat, lon, score) of features in bounds whose best name scores ``accept`` or more.
-
-    Equal names and equal sets of distinctive words score 1. A feature that has all of our two words or more
-    and at most two others scores at least CONTAINED. All else is the matching ratio of the two names. Each
-    of these ways is a join on a key of its own, so no two tables are compared row by row.
-    """
+def _named(properties: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The properties, and the names of features in bounds, with their plain forms and distinctive words."""
     ours = properties.select(*KEYS, match_name(F.col("mall_name")).alias("ours")).withColumn("our_words", core_tokens(F.col("ours")))
     theirs = (
         features.filter(geo.in_bounds(F.col("lat"), F.col("lon")))
@@ -54,6 +50,11 @@ def name_matches(properties: DataFrame, features: DataFrame, accept: float = ACC
         .select("id", "lat", "lon", match_name(F.col("name")).alias("theirs"))
         .withColumn("their_words", core_tokens(F.col("theirs")))
     )
+    return ours, theirs
+
+
+def _scored_names(ours: DataFrame, theirs: DataFrame, accept: float) -> DataFrame:
+    """(ours, theirs, score) of distinct names that score ``accept`` or more, as name_matches has it."""
     a, b = ours.select("ours", "our_words").distinct(), theirs.select("theirs", "their_words").distinct()
     pair = lambda df, score: df.select("ours", "theirs", score.cast("double").alias("score"))
     same = pair(a.join(b, F.col("ours") == F.col("theirs")), F.lit(1.0))
@@ -72,8 +73,38 @@ def name_matches(properties: DataFrame, features: DataFrame, accept: float = ACC
         "theirs",
         "score",
     )
-    scored = same.unionByName(words).unionByName(contained).unionByName(close).groupBy("ours", "theirs").agg(F.max("score").alias("score")).filter(F.col("score") >= accept)
-    return ours.join(scored, "ours").join(theirs, "theirs").groupBy(*KEYS, "id").agg(F.max("score").alias("score"), F.first("lat").alias("lat"), F.first("lon").alias("lon"))
+    return same.unionByName(words).unionByName(contained).unionByName(close).groupBy("ours", "theirs").agg(F.max("score").alias("score")).filter(F.col("score") >= accept)
+
+
+def name_matches(properties: DataFrame, features: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """(chain, mall_id, id, lat, lon, score) of features in bounds whose best name scores ``accept`` or more.
+
+    Equal names and equal sets of distinctive words score 1. A feature that has all of our two words or more
+    and at most two others scores at least CONTAINED. All else is the matching ratio of the two names. Each
+    of these ways is a join on a key of its own, so no two tables are compared row by row. Properties and features of one name
+    each match each: where many share a name, ask name_classes.
+    """
+    ours, theirs = _named(properties, features)
+    return ours.join(_scored_names(ours, theirs, accept), "ours").join(theirs, "theirs").groupBy(*KEYS, "id").agg(F.max("score").alias("score"), F.first("lat").alias("lat"), F.first("lon").alias("lon"))
+
+
+def name_classes(properties: DataFrame, features: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """(part, ours, theirs, score, chain, mall_id, id): what name_matches finds, a name standing for all that have it.
+
+    Part pair is two distinct names that match and their score, part ours a property and part theirs a feature in bounds, each of a name in some pair.
+    A property matches the features of all names that its own is paired with; rows grow with names and tables, not with their copies' product.
+    """
+    ours, theirs = _named(properties, features)
+    pairs = written(_scored_names(ours, theirs, accept), "names")
+    none = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    score = F.lit(None).cast("double").alias("score")
+    mine = ours.select(*KEYS, "ours").distinct().join(pairs.select("ours").distinct(), "ours", "left_semi")
+    other = theirs.select("id", "theirs").distinct().join(pairs.select("theirs").distinct(), "theirs", "left_semi")
+    return (
+        pairs.select(F.lit("pair").alias("part"), "ours", "theirs", "score", *none(*KEYS, "id"))
+        .union(mine.select(F.lit("ours"), "ours", *none("theirs"), score, *KEYS, *none("id")))
+        .union(other.select(F.lit("theirs"), *none("ours"), "theirs", score, *none(*KEYS), "id"))
+    )
 
 
 def best_features(properties: DataFrame, matches: DataFrame, certain: float = CERTAIN) -> DataFrame:
@@ -96,6 +127,14 @@ def best_features(properties: DataFrame, matches: DataFrame, certain: float = CE
     return one.select(*KEYS, *(F.when(good, F.col(f"top.{c}")).alias(c) for c in ("id", "lat", "lon", "score")), reason.alias("reason"))
 
 
+def best_named(properties: DataFrame, features: DataFrame) -> DataFrame:
+    """What best_features gives for all name_matches, settled once for each name and region that properties share."""
+    region = F.coalesce("region", F.lit(""))
+    kinds = properties.select(region.alias("chain"), F.col("mall_name").alias("mall_id"), "mall_name", region.alias("region")).distinct()
+    best = best_features(kinds, name_matches(kinds, features)).withColumnsRenamed({"chain": "_region", "mall_id": "mall_name"})
+    return properties.select(*KEYS, region.alias("_region"), "mall_name").join(best, ["_region", "mall_name"]).select(*KEYS, "id", "lat", "lon", "score", "reason")
+
+
 def attempts(properties: DataFrame, country: str = "Philippines") -> DataFrame:
     """(chain, mall_id, attempt, query, by_name, cap): what to ask a geocoder, best first."""
     address, name = usable(F.col("address")), F.col("mall_name")

@@ -52,3 +52,25 @@ def test_floors_of_values_of_several_words_are_counted(spark, tmp_path):
     assert got["FOOD COURT 2F"] == (2, "Food Court 2F", None) and got["Level 12 "] == (2, "Level 12", 12) and got["third level "] == (2, "Level 3", 3)
     assert got["thru B2"] == (1, "Basement 2", -2) and got["B2"][0] == 3 and got["the drive"] == (2, "the drive", None) and got[""] == (1, None, None) and got[" "] == (2, None, None)
     assert sum(n for n, _, _ in got.values()) == 28 + 5 + 6 + 1 + 4 + 5
+
+
+def namesakes(spark, copies):
+    names = ["SM City Baguio", "SM City Bagio", "Festival Mall", "Twin Plaza", "", None]
+    p = [("c", f"{i}-{k}", n, ("visayas", None, "mindanao", "")[(i + k) % 4]) for i, n in enumerate(names) for k in range(copies)]
+    f = [(f"n/{i}-{k}", [n or "x", "Twin Plazas"][: 1 + k % 2], 7.0 + (5 * i + 3 * k) % 13, 121.0 + k % 5) for i, n in enumerate(names) for k in range(copies)]
+    return spark.createDataFrame(p, "chain string, mall_id string, mall_name string, region string"), spark.createDataFrame(f, "id string, names array<string>, lat double, lon double")
+
+
+def test_name_classes_hold_every_match(spark):
+    p, f = namesakes(spark, 6)
+    got = places.name_classes(p, f).collect()
+    pairs = [r for r in got if r.part == "pair"]
+    told = {}
+    for pair in pairs:
+        for mine in (r for r in got if r.part == "ours" and r.ours == pair.ours):
+            for other in (r for r in got if r.part == "theirs" and r.theirs == pair.theirs):
+                key = mine.chain, mine.mall_id, other.id
+                told[key] = max(pair.score, told.get(key, 0))
+    assert told == {(r.chain, r.mall_id, r.id): r.score for r in places.name_matches(p, f).collect()} and len(told) > 200
+    more = places.name_classes(*namesakes(spark, 12)).groupBy("part").count()
+    assert {r.part: r["count"] for r in more.collect()} == {"pair": len(pairs), "ours": 2 * sum(r.part == "ours" for r in got), "theirs": 2 * sum(r.part == "theirs" for r in got)}
