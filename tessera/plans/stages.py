@@ -88,7 +88,7 @@ def ingested(
 def resolved_places(properties: DataFrame, registry: DataFrame, features: DataFrame, hits: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The registry with what map features and landed geocoder results settle, and why other properties stay open."""
     todo = places.unplaced(properties, registry)
-    best = places.best_features(todo, places.name_matches(todo, features))
+    best = places.best_named(todo, features)
     found = best.filter("id is not null").select(
         "chain", "mall_id", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), F.lit("osm").alias("source"), F.lit("exact").alias("precision"),
         F.lit(None).cast("string").alias("matched"), F.col("id").alias("ref"),
