@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -240,6 +242,25 @@ def unmatched_roster(roster: DataFrame, live: DataFrame, roster_key: str = "rost
     return roster.join(above.union(below).distinct().hint("merge"), roster_key, "left_anti")
 
 
+def pair_distances(points: DataFrame, group: str = "region", key: str = "mall_id", most: int = 2000) -> DataFrame:
+    """(one, other, km) of every two points of a group, the lower key first; points without a place or a group are in none.
+
+    The pairs grow with the square of a group. Points are dealt into blocks of about ``most`` of the largest group, and each two blocks meet on a key of
+    their own, so no task holds more than blocks and the number of tasks grows with the pairs.
+    """
+    placed = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(group).isNotNull()).select(F.col(key).alias("key"), F.col(group).alias("group"), "lat", "lon")
+    sizes = placed.groupBy("group").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    largest, pairs = sizes.agg(F.max("n"), F.sum(F.col("n") * F.col("n"))).first()
+    blocks = max(1, math.ceil((largest or 0) / most))
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * (pairs or 0) / most**2))
+    own, each = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    meet = ["group", "i", "j"]
+    a = placed.withColumn("i", own).withColumn("j", each).repartition(tasks, *meet)
+    b = placed.withColumn("j", own).withColumn("i", each).repartition(tasks, *meet).withColumnsRenamed({c: f"_{c}" for c in ("key", "lat", "lon")})
+    met = a.join(b.hint("merge"), meet).filter(F.col("key") < F.col("_key"))
+    return met.select(F.col("key").alias("one"), F.col("_key").alias("other"), geo.distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")).alias("km"))
+
+
 def map_clusters(points: DataFrame, zoom: int) -> DataFrame:
     """Grid cells of the map at a zoom: how many points each holds, their bounds and the middle of those."""
     x, y = geo.map_cell(F.col("lat"), F.col("lon"), zoom)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera import queries
-from tessera.functions import text
+from tessera.functions import geo, text
 from tessera.operators import places
 
 
@@ -80,3 +80,17 @@ def test_namesakes_of_a_region_are_settled_once(spark):
     p, f = namesakes(spark, 8)
     best = places.best_named(p, f)
     assert sorted(map(str, best.collect())) == sorted(map(str, places.best_features(p, places.name_matches(p, f)).select(*best.columns).collect())) and best.count() >= 30
+
+
+def test_pairs_of_points_are_dealt_out(spark):
+    rows = [(f"{i}", "r" if i % 5 else ("s", None)[i % 2], 5.0 + i % 11 if i % 13 else None, 120.0 + i % 7) for i in range(150)]
+    points = spark.createDataFrame(rows, "mall_id string, region string, lat double, lon double")
+    a, b = points.filter("lat is not null").alias("a"), points.filter("lat is not null").alias("b")
+    km = geo.distance_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
+    plain = a.join(b, F.expr("a.region = b.region and a.mall_id < b.mall_id")).select("a.mall_id", "b.mall_id", km)
+    for most in (7, 2000):
+        got = places.pair_distances(points, most=most)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.count() > 5000
+    held = places.pair_distances(points, most=7).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held < 800
+    assert places.pair_distances(points.limit(0)).collect() == []
