@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(df: DataFrame, tag: str) -> Iterator[DataFrame]:
+    """``df`` written as ``written`` does, for as long as the block lasts."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

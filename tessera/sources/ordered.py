@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.scratch import passing
+
 
 def columns(order: Sequence[str | Column]) -> list[Column]:
     """Columns to order by; a name after a minus is for falling values."""
@@ -22,18 +24,22 @@ def manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}.manifest"
 
 
-def write(df: DataFrame, path: str, order: Sequence[str | Column]) -> None:
+def write(df: DataFrame, path: str, order: Sequence[str | Column], most: int = 500_000) -> None:
     """Writes ``df`` in ranges of ``order``, each file sorted, and beside it (file, start, rows, first, last) for each file.
 
-    Rows are dealt by sampled ranges, so no task sorts more than one. ``first`` and ``last`` are a file's first and last row as JSON.
+    Rows are dealt by sampled ranges of about ``most`` rows, so no task sorts more than one, however many rows there are. They are written once before,
+    since they are counted, sampled and dealt. ``first`` and ``last`` are a file's first and last row as JSON.
     Where rows tie, what is written is their order from then on.
     """
     spark = df.sparkSession
-    df.repartitionByRange(*columns(order)).sortWithinPartitions(*columns(order)).write.mode("overwrite").parquet(path)
-    row = F.to_json(F.struct(*df.columns))
-    files = spark.read.parquet(path).groupBy(_file().alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), F.min_by(row, F.col("_metadata.row_index")).alias("first"), F.max_by(row, F.col("_metadata.row_index")).alias("last")
-    )
+    with passing(df, "unordered") as rows:
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // most))
+        rows.repartitionByRange(ranges, *columns(order)).sortWithinPartitions(*columns(order)).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).select(_file().alias("file"), F.col("_metadata.row_index").alias("at"), F.struct(*df.columns).alias("row"))
+    # rows are counted without their values, and only the first and last of a file are spelled
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    ends = rows.join(F.broadcast(files), "file").filter("at = 0 or at = rows - 1").select("file", "rows", "at", F.to_json("row").alias("row"))
+    files = ends.groupBy("file", "rows").agg(F.max(F.when(F.col("at") == 0, F.col("row"))).alias("first"), F.max(F.when(F.col("at") == F.col("rows") - 1, F.col("row"))).alias("last"))
     # tasks write their range under their own number, and a task's further files are numbered as well
     number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
     before = F.coalesce(F.sum("rows").over(Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tessera import queries
 from tessera.functions import geo, text
 from tessera.operators import places
+from tessera.sources import ordered
 
 
 def planned(df):
@@ -94,3 +95,14 @@ def test_pairs_of_points_are_dealt_out(spark):
     held = places.pair_distances(points, most=7).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert held < 800
     assert places.pair_distances(points.limit(0)).collect() == []
+
+
+def test_ordered_ranges_grow_with_the_rows(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id % 97 AS a", "id AS b")
+    for rows in (1000, 5000):
+        ordered.write(df.limit(rows), f"{tmp_path}/t{rows}", ("a", "-b"), most=250)
+        files = ordered.manifest_path(f"{tmp_path}/t{rows}")
+        assert spark.read.parquet(files).agg(F.max("rows")).first()[0] < 600
+        got = ordered.read(spark, f"{tmp_path}/t{rows}").orderBy("place").collect()
+        assert [(r.a, -r.b) for r in got] == sorted((r.a, -r.b) for r in got) and [r.place for r in got] == list(range(rows))
+        assert sorted((r.first, r.last) for r in spark.read.parquet(files).collect())[0][0].startswith('{"a":0,"b":')
