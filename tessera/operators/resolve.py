@@ -22,19 +22,19 @@ def resolve_aliases(listings: DataFrame, aliases: DataFrame, entity: str = "bran
     return listings.join(dim, entity, "left").withColumn(out, F.coalesce("_canonical", entity)).drop("_canonical")
 
 
-def category_votes(listings: DataFrame, entity: str = "brand_canonical", category: str = "category_std") -> DataFrame:
-    """The most frequent specific category of each entity; ties go to the lowest name."""
-    return (
-        listings.filter(usable(entity) & ~F.col(category).isin(*GENERIC_CATEGORIES)).groupBy(entity).agg(F.mode(category, True).alias("vote"))
-    )
+def category_votes(listings: DataFrame, entity: str = "brand_canonical", category: str = "category_std", weight: str | None = None) -> DataFrame:
+    """The most frequent specific category of each entity; ties go to the lowest name. A row counts once, or as often as ``weight`` says."""
+    specific = listings.filter(usable(entity) & ~F.col(category).isin(*GENERIC_CATEGORIES))
+    counts = specific.groupBy(entity, category).agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("_n"))
+    return counts.groupBy(entity).agg(F.min_by(category, F.struct(-F.col("_n"), category)).alias("vote"))
 
 
-def propagate_categories(listings: DataFrame, entity: str = "brand_canonical", category: str = "category_std", source: str = "category_source") -> DataFrame:
+def propagate_categories(listings: DataFrame, entity: str = "brand_canonical", category: str = "category_std", source: str = "category_source", weight: str | None = None) -> DataFrame:
     """Generic categories take the vote of their entity; ``source`` tells where each comes from.
 
     Where no listing has a specific category, all sources say "operator".
     """
-    votes = written(category_votes(listings, entity, category), "votes")
+    votes = written(category_votes(listings, entity, category, weight), "votes")
     generic = F.col(category).isin(*GENERIC_CATEGORIES)
     joined = listings.join(votes, entity, "left").crossJoin(F.broadcast(votes.agg((F.count(F.lit(1)) > 0).alias("_any"))))
     filled = F.when(generic & F.col("vote").isNotNull(), F.col("vote")).otherwise(F.col(category))

@@ -36,20 +36,24 @@ def once_each(df: DataFrame, column: str, made: dict[str, Column]) -> DataFrame:
 def enriched(listings: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Listings with standard columns beside the raw ones, and what is odd about each.
 
-    A directory spells few names, floors and categories very often, so each distinct one is worked out once.
+    A directory spells few names, floors and categories very often, so each distinct one is worked out once. All that follows from a name and a category,
+    votes included, is told from the counted pairs of the two and joined back once.
     """
     for column in ("category", "floor", "phone"):
         if column not in listings.columns:
             listings = listings.withColumn(column, F.lit(None).cast("string"))
     made = [c for c in CLEAN_COLUMNS if c in listings.columns and c not in ("chain", "mall_id", "store_name_raw", "category", "floor", "building", "phone", "source", "scraped_at")]
-    raw = F.col("store_name_raw")
-    names = listings.drop(*made).transform(once_each, "store_name_raw", {"store_name": text.clean_name(raw), "store_format": text.listing_format(raw)})
+    raw, rows = F.col("store_name_raw"), listings.drop(*made)
+    kinds = written(rows.groupBy("store_name_raw", "category").agg(F.count(F.lit(1)).alias("_n")), "kinds")
+    names = once_each(kinds, "store_name_raw", {"store_name": text.clean_name(raw), "store_format": text.listing_format(raw)})
     keyed = once_each(names, "store_name", {"brand_key": text.entity_key(F.col("store_name"))})
     keyed = resolve.resolve_aliases(keyed, aliases) if aliases is not None else keyed.withColumn("brand_canonical", F.col("brand_key"))
-    voted = resolve.propagate_categories(once_each(keyed, "category", {"category_std": text.category(F.col("category"))}))
-    floors = once_each(voted, "floor", {"_floor": text.floor(F.col("floor"))}).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")})
+    voted = resolve.propagate_categories(once_each(keyed, "category", {"category_std": text.category(F.col("category"))}), weight="_n").drop("_n")
+    floors = once_each(rows, "floor", {"_floor": text.floor(F.col("floor"))}).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")})
     phone = text.clean_phone(F.col("phone"))
     phones = once_each(floors, "phone", {"_phone": phone, "phone_e164": text.e164(phone)}).withColumn("phone", F.col("_phone"))
+    told = written(voted, "told").withColumnsRenamed({"store_name_raw": "_raw", "category": "_category"})
+    phones = phones.join(told, raw.eqNullSafe(F.col("_raw")) & F.col("category").eqNullSafe(F.col("_category")), "left")
     flagged = quality.quality_flags(phones)
     return flagged.select(*(c for c in CLEAN_COLUMNS if c in flagged.columns))
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera import queries
 from tessera.functions import geo, text
-from tessera.operators import places
+from tessera.operators import places, resolve
 from tessera.sources import ordered
 
 
@@ -106,3 +106,11 @@ def test_ordered_ranges_grow_with_the_rows(spark, tmp_path):
         got = ordered.read(spark, f"{tmp_path}/t{rows}").orderBy("place").collect()
         assert [(r.a, -r.b) for r in got] == sorted((r.a, -r.b) for r in got) and [r.place for r in got] == list(range(rows))
         assert sorted((r.first, r.last) for r in spark.read.parquet(files).collect())[0][0].startswith('{"a":0,"b":')
+
+
+def test_counted_pairs_vote_like_their_rows(spark):
+    rows = [("b", "x")] * 3 + [("b", "a")] * 2 + [("b", "unknown")] * 9 + [("c", "d"), ("c", "a"), ("", "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "brand_canonical string, category_std string")
+    counted = df.groupBy("brand_canonical", "category_std").agg(F.count(F.lit(1)).alias("n"))
+    told = {(r.brand_canonical, r.vote) for r in resolve.category_votes(counted, weight="n").collect()}
+    assert told == {("b", "x"), ("c", "a")} == {(r.brand_canonical, r.vote) for r in resolve.category_votes(df).collect()}
