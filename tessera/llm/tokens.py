@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,7 +20,12 @@ BLOCK, SEGMENT = 1024, 1 << 17
 #: Share of a block's ids that its bit width must hold; the others are stored as exceptions.
 PERCENTILE = 95
 #: Words that one worker keeps encoded, in two halves: the older is given up when the newer is full.
-CACHE = 600_000
+CACHE = 400_000
+#: Bytes of text whose words are looked up at once, each distinct one once.
+CHUNK = 4 << 20
+#: Letters and, behind them, ASCII marks but apostrophes: byte-level files part them there.
+LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ɏ]", r"[!-&(-/:-@\[-`{-~]"
+MARKED = rf"\A(?P<word>\n?{LETTERS}+)(?P<marks>{MARKS}+)\z"
 HEADER = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("patches", "<u2")])
 SEGMENTS = "shard int, first long, n_ids long, doc_ids array<long>, doc_lens array<long>, starts binary, payload binary"
 
@@ -51,6 +58,14 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
     return b"".join(out), starts.astype("<u4").tobytes()
 
 
+def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces of ``flat`` that begin at ``begins``, one after the other."""
+    before = np.cumsum(sizes, dtype=np.int64) - sizes
+    at = np.repeat(begins - before, sizes)
+    at += np.arange(len(at))
+    return flat[at]
+
+
 def unpack(payload: bytes, starts: bytes) -> np.ndarray:
     """The ids of every block of ``payload``, as uint32."""
     out = [np.empty(0, np.uint32)]
@@ -74,7 +89,8 @@ class Encoder:
     """Encodes texts with the tokenizers library; ids come as little-endian uint32 bytes.
 
     A byte-level BPE never joins what a single blank or line end between two words parts, so the library encodes
-    each distinct word once, with the blank or line end before it, and a bounded cache keeps the ids.
+    each distinct word once, with the blank or line end before it, and a bounded cache keeps the ids. A word
+    with marks behind it is made of the two, so it takes no place in the cache.
     Texts with any other white space, or with a special token's string, go to the library whole.
     """
 
@@ -90,6 +106,7 @@ class Encoder:
         for token, i in vocab.items():  # how byte-level files spell a blank and a line end
             self.begins[" "][i], self.begins["\n"][i] = token.startswith("Ġ"), token == "Ċ"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.parts = getattr(self.library.pre_tokenizer, "use_regex", False) and not any(re.fullmatch(rf"\n?{LETTERS}*{MARKS}*", s) for s in self.special)
         # Ids of words; False: its text goes to the library whole. Words in use move from the older half to the newer.
         self.words: dict[str, bytes | bool] = {}
         self.older: dict[str, bytes | bool] = {}
@@ -111,33 +128,52 @@ class Encoder:
             raw, mark = ids.tobytes(), before.strip(" ")
             self.words.update((mark + w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
 
-    def _add(self, used: set[str]) -> None:
-        """Puts words that the newer half lacks into it; where it is full, it becomes the older half first."""
-        if len(self.words) + len(used) > CACHE // 2:
+    def _codes(self, used: list[str]) -> list[bytes | bool]:
+        """The ids of distinct words; the newer half gets those it lacks, and becomes the older half first where it is full."""
+        codes = list(map(self.words.get, used))
+        gaps = [i for i, code in enumerate(codes) if code is None]
+        if len(self.words) + len(gaps) > CACHE // 2:
             self.older, self.words = self.words, {}
         new = []
-        for w in used:
-            if (code := self.older.get(w)) is None:
+        for i in gaps:
+            if (code := self.older.get(w := used[i])) is None:
                 new.append(w)
             else:
                 self.words[w] = code
         self._learn([w for w in new if w[:1] != "\n"], " ")
         self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        docs = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]  # words after a line end keep it
-        coded = [list(map(self.words.get, doc)) for doc in docs]
-        gaps = [[i for i, code in enumerate(codes) if code is None] for codes in coded]
-        self._add({doc[i] for doc, own in zip(docs, gaps, strict=True) for i in own})
-        out = []
-        for text, doc, codes, own in zip(texts, docs, coded, gaps, strict=True):
-            for i in own:
-                codes[i] = self.words[doc[i]]
-            try:
-                out.append(b"".join(codes)[4:])  # less the line end put before
-            except TypeError:
-                out.append(self._whole(text))
-        return out
+        for i in gaps:
+            codes[i] = self.words[used[i]]
+        return codes
+
+    def _encoded(self, texts: pa.Array) -> list[bytes]:
+        first, none = (pa.scalar(x, texts.type) for x in ("\n", ""))
+        docs = pc.split_pattern(pc.binary_join_element_wise(first, pc.replace_substring(texts, "\n", " \n"), none), " ")  # words after a line end keep it
+        words = docs.flatten().dictionary_encode()
+        at, distinct = words.indices.to_numpy(), words.dictionary
+        parted = pc.extract_regex(distinct if self.parts else pa.nulls(len(distinct), distinct.type), MARKED)
+        bare = pc.coalesce(pc.struct_field(parted, "word"), distinct).dictionary_encode()
+        marks = pc.coalesce(pc.struct_field(parted, "marks"), none).dictionary_encode()
+        codes = self._codes(bare.dictionary.to_pylist())
+        whole = np.array([code is False for code in codes])[bare.indices.to_numpy()]  # of each distinct word: its text goes to the library whole
+        pieces = [code or b"" for code in codes] + [self._whole(m) for m in marks.dictionary.to_pylist()]
+        # the ids of each distinct word, its marks behind it, and then of each word
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        pairs = np.stack([bare.indices.to_numpy(), marks.indices.to_numpy() + len(codes)], axis=1)
+        flat = gathered(np.frombuffer(b"".join(pieces), "<u4"), (np.cumsum(sizes) - sizes)[pairs.ravel()], sizes[pairs.ravel()])
+        sizes = sizes[pairs].sum(axis=1)
+        ids = gathered(flat, (np.cumsum(sizes) - sizes)[at], sizes[at]).tobytes()
+        firsts = docs.offsets.to_numpy() - docs.offsets[0].as_py()
+        cuts = (4 * np.append(0, np.cumsum(sizes[at]))[firsts]).tolist()
+        beyond = np.add.reduceat(whole[at], firsts[:-1]) > 0
+        return [self._whole(texts[i].as_py()) if far else ids[a + 4 : b] for i, (far, a, b) in enumerate(zip(beyond.tolist(), cuts[:-1], cuts[1:], strict=True))]  # less the line end put before
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text; null texts have none."""
+        column = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string()), "")
+        chunk = np.cumsum(pc.binary_length(column).to_numpy()) // CHUNK
+        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(column)]
+        return [code for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b for code in self._encoded(column.slice(a, b - a))]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -177,15 +213,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
             return row
 
         for batch in batches:
-            keys, texts, shards = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            keys, shards = batch.column(0).to_pylist(), batch.column(2)
             shard = shards[0].as_py() if len(shards) else shard
-            for at in range(0, len(texts), 256):
-                for key, code in zip(keys[at : at + 256], coder.encode([t or "" for t in texts[at : at + 256]]), strict=True):
-                    ids.append(key)
-                    raw.append(code + end)
-                    size += len(code) // 4 + 1
-                    if size >= SEGMENT:
-                        yield close()
+            for key, code in zip(keys, coder.encode(batch.column(1)), strict=True):
+                ids.append(key)
+                raw.append(code + end)
+                size += len(code) // 4 + 1
+                if size >= SEGMENT:
+                    yield close()
         if ids:
             yield close()
 

@@ -55,3 +55,12 @@ def test_documents(spark):
 
 def test_empty(spark):
     assert token_files(empty(spark)).collect() == []
+
+
+def test_words_with_marks_take_no_place_in_the_cache():
+    library, coder, rnd = Tokenizer.from_file(PATH), Encoder(PATH), random.Random(3)
+    coder.encode(["sat, sat. sat!? sat"])
+    assert set(coder.words) == {"\nsat", "sat"}
+    parts = ["sat", "Übër", "naïve", "ǅ", "×", "x²", "don't", "9", ",", ".", "%%%", "_", "'", "''", "<|", "endoftext", "|>", "(", "\n", " ", "̀", "ɐ", "Ġ"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(5000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
