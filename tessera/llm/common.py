@@ -113,7 +113,12 @@ def held(key: Hashable, make: Callable[[], Any]) -> Any:
     Workers outlive their tasks, so models and their caches of words stay warm, but no two operators' at once.
     """
     if key not in _held:
-        _held.clear()
-        pa.default_memory_pool().release_unused()
+        hold_nothing()
         _held[key] = make()
     return _held[key]
+
+
+def hold_nothing() -> None:
+    """Gives up what the worker process keeps: for tasks that keep nothing, lest an earlier operator's model stands beside them."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()

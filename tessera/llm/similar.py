@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import bucketed, written
+from tessera.llm.common import bucketed, hold_nothing, written
 from tessera.llm.components import connected_components
 from tessera.llm.simhash import links, majority, shingle_hashes
 
@@ -62,6 +62,7 @@ def _common(rows: DataFrame, words: int, seed: int) -> tuple[np.ndarray, np.ndar
     """Shingles that several of some 20,000 documents have, sorted, and in how many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         for batch in batches:
             own = [shingles(t or b"", words, seed) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *own]))], names=["shingle"])
@@ -85,6 +86,7 @@ def _sets(rows: DataFrame, words: int, seed: int, share: Fraction) -> DataFrame:
         return own[np.lexsort((own, rank))][: len(own) + 1 - _least(share, len(own))] if len(own) else own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         for batch in batches:
             parts = [list(shingle_hashes(t or b"", words, seed)) for t in batch.column(2).to_pylist()]
             sets = [_set(p) for p in parts]
@@ -190,6 +192,7 @@ def _verified(rows: DataFrame, groups: DataFrame, candidates: DataFrame, words:
     """Those pairs (a, b) whose Jaccard similarity is ``share`` or more, counted over all shingles of both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         for batch in batches:
             sets = [shingles(t or b"", words, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["set", "all"])

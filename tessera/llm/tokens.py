@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import held, shared_dir
+from tessera.llm.common import held, hold_nothing, shared_dir
 
 #: Ids in a block, and ids after which a segment (one row) is closed at the next document's end.
 BLOCK, SEGMENT = 1024, 1 << 17
@@ -22,7 +22,7 @@ PERCENTILE = 95
 #: Words that one worker keeps encoded, in two halves: the older is given up when the newer is full.
 CACHE = 400_000
 #: Bytes of text whose words are looked up at once, each distinct one once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Letters and, behind them, ASCII marks but apostrophes: byte-level files part them there.
 LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ɏ]", r"[!-&(-/:-@\[-`{-~]"
 MARKED = rf"\A(?P<word>\n?{LETTERS}+)(?P<marks>{MARKS}+)\z"
@@ -61,8 +61,8 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
 def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The pieces of ``flat`` that begin at ``begins``, one after the other."""
     before = np.cumsum(sizes, dtype=np.int64) - sizes
-    at = np.repeat(begins - before, sizes)
-    at += np.arange(len(at))
+    at = np.repeat((begins - before).astype(np.int32), sizes)
+    at += np.arange(len(at), dtype=np.int32)
     return flat[at]
 
 
@@ -236,6 +236,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     import zlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         for batch in batches:
             for row in batch.to_pylist():
                 flat = unpack(row["payload"], row["starts"])

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, held, passing_tables, written
+from tessera.llm.common import fold, held, hold_nothing, passing_tables, written
 
 #: Ends of sentences: . ! ? line ends, and the ideographic full stop.
 BREAK = re.compile(rb"[.!?\n\r]+|\xe3\x80\x82")
@@ -58,6 +58,7 @@ def _counted(sample: DataFrame) -> DataFrame:
     """(feature, toxic, clean): documents of either label that have the feature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         seen = np.zeros((2, 1 << HASH_BITS), np.int32)
         for batch in batches:
             for text, y in zip(_batches(batch.column(0)), batch.column(1).to_pylist(), strict=True):
@@ -90,6 +91,7 @@ def _encoded(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
     column = {int(f): i for i, f in enumerate(chosen)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         cache: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
             rows: tuple[list, list] = ([], [])
@@ -139,6 +141,7 @@ def _loss(encoded: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
     """noisy_or_gradient over all of ``encoded``: each task sends one loss and one gradient."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         total = np.zeros(1 + len(weights))
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):

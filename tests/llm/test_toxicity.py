@@ -1,11 +1,13 @@
 import zlib
+from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
 from cases import awkward, empty
 from pyspark.sql import functions as F
 
-from tessera.llm.toxicity import fit, minimised, noisy_or_gradient, sentences, toxicity
+from tessera.llm import common
+from tessera.llm.toxicity import _counted, _encoded, fit, minimised, noisy_or_gradient, sentences, toxicity
 
 DATA = "/root/testdata/sf0.1"
 
@@ -118,3 +120,13 @@ def test_few_labels(spark):
     assert sum(toxic) >= 0.9 * len(toxic) > 0 and sum(clean) <= 0.05 * len(clean)
     assert all(r.predicted for r in rows if r.held_out and truth.get(r.doc_id, (0, 0))[0])
     assert any(r.offending for r in rows)
+
+
+@pytest.mark.parametrize("task", [_counted, lambda docs: _encoded(docs, np.array([1]))])
+def test_fits_keep_no_model_of_another_operator(spark, task):
+    tasks = MagicMock()
+    task(tasks)
+    run = tasks.select.return_value.mapInArrow.call_args.args[0]
+    common.held("tokens", list)
+    list(run(iter([])))
+    assert not common._held
