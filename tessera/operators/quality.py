@@ -12,8 +12,11 @@ GEO_SOURCES, GEO_PRECISIONS = ("operator", "osm", "nominatim"), ("exact", "addre
 
 
 def is_repeated(*keys: str) -> Column:
-    """Whether other rows have the same keys; nulls are equal."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    """Whether other rows have the same keys; nulls are equal.
+
+    A hash of the keys stands before them: rows are sorted by it, and texts, which begin alike, are compared only where it ties.
+    """
+    return F.count(F.lit(1)).over(Window.partitionBy(F.xxhash64(*keys), *keys)) > 1
 
 
 def quality_flags(listings: DataFrame) -> DataFrame:
@@ -32,16 +35,17 @@ def quality_flags(listings: DataFrame) -> DataFrame:
     return marked.withColumn("dq_flags", F.concat_ws("|", *(F.when(test, name) for test, name in flags))).drop("_repeated")
 
 
-def mapping_audit(listings: DataFrame, standard: Column, group: str = "chain", category: str = "category") -> DataFrame:
-    """Listings of each raw category and the standard one it maps to; the null category is a group."""
-    return listings.select(group, category, standard.alias("category_std")).groupBy(group, category, "category_std").agg(F.count(F.lit(1)).alias("listings"))
+def mapping_audit(listings: DataFrame, standard: Column, group: str = "chain", category: str = "category", weight: str | None = None) -> DataFrame:
+    """Listings of each raw category and the standard one it maps to; the null category is a group. A row counts once, or as often as ``weight`` says."""
+    rows = listings.select(group, category, standard.alias("category_std"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
+    return rows.groupBy(group, category, "category_std").agg(F.sum("_n").alias("listings"))
 
 
 def variant_review(listings: DataFrame, entity: str = "brand_key", raw: str = "store_name_raw", clean: str = "store_name", group: str = "chain", shown: int = 8) -> DataFrame:
     """Keys whose spellings deserve a look, with the first ``shown`` of them."""
-    rows = listings.filter(F.col(entity) != "")
+    rows = listings.filter(F.col(entity) != "").groupBy(entity, raw, clean, group).agg(F.count(F.lit(1)).alias("_n"))  # spellings are far fewer than listings
     per = rows.groupBy(entity).agg(
-        F.countDistinct(raw).alias("raw_variants"), F.countDistinct(clean).alias("clean_variants"), F.count(F.lit(1)).alias("listings"), F.countDistinct(group).alias("chains")
+        F.countDistinct(raw).alias("raw_variants"), F.countDistinct(clean).alias("clean_variants"), F.sum("_n").alias("listings"), F.countDistinct(group).alias("chains")
     )
     odd = per.filter((F.col("raw_variants") > 1) & ((F.col("clean_variants") > 1) | (F.col("raw_variants") >= 5)))
     first = rows.select(entity, raw).distinct().withColumn("rank", F.row_number().over(Window.partitionBy(entity).orderBy(raw))).filter(F.col("rank") <= shown)

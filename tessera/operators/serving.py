@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import search_alias
 from tessera.operators.quality import GEO_PRECISIONS, GEO_SOURCES
-from tessera.operators.tables import edges, listing_counts, totals, usable
+from tessera.operators.tables import edges, listing_counts, most_frequent, totals, usable
 from tessera.scratch import written
 
 ENTITY = "brand_canonical"
@@ -28,25 +28,28 @@ def codes(values: DataFrame, column: str, most: int = 100_000) -> DataFrame:
 def dense_codes(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """``df`` with positions 0, 1, ... in the order of the given columns, for tables of any size.
 
-    First pass: rows are dealt by ranges, numbered within theirs and written, which settles the sampled bounds and the order of ties.
+    First pass: rows are dealt by ranges, sorted and numbered within theirs where they are and written, which settles the sampled bounds and the order of ties.
     Second pass: one count for each range of the written table tells where the range begins. Whatever is repeated later reads
     the same table, so a row keeps its code.
     """
-    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    ranked = written(dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1), "ranges")
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    own = F.col("_id")  # a task's number times 2^33, and how many rows of it went before
+    ranked = written(dealt.withColumn("_id", F.monotonically_increasing_id()).withColumns({"_part": F.shiftright(own, 33), "_in": F.pmod(own, F.lit(1 << 33))}).drop("_id"), "ranges")
     sizes = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
     return ranked.join(F.broadcast(starts), "_part").withColumn(out, (F.col("_start") + F.col("_in")).cast("long")).drop("_part", "_in", "_start")
 
 
-def adjacency(edges: DataFrame, nodes: DataFrame, node: str, neighbour: str) -> tuple[DataFrame, DataFrame]:
+def adjacency(edges: DataFrame, nodes: DataFrame, node: str, neighbour: str, distinct: bool = False) -> tuple[DataFrame, DataFrame]:
     """Sparse rows of a graph: offsets (node, first, n), and a flat array (pos, neighbour) in the order of nodes and then neighbours.
 
     ``nodes`` are numbered 0, 1, ... without gaps; those without edges have n = 0 and begin where the next one does. One numbering of edges
     and nodes together, each node ahead of its own edges, gives both: as many nodes as a row's own number tells stand before it.
+    Repeated edges count once; where the caller knows that there are none, ``distinct`` spares looking for them.
     """
-    marked = nodes.select(F.col(node).cast("long").alias(node), F.lit(None).cast("long").alias(neighbour)).unionByName(edges.select(F.col(node).cast("long").alias(node), F.col(neighbour).cast("long").alias(neighbour)).distinct())
-    placed = written(dense_codes(marked, [node, neighbour], "_at"), "adjacency")  # nulls come first
+    pairs = edges.select(F.col(node).cast("long").alias(node), F.col(neighbour).cast("long").alias(neighbour))
+    marked = nodes.select(F.col(node).cast("long").alias(node), F.lit(None).cast("long").alias(neighbour)).unionByName(pairs if distinct else pairs.distinct())
+    placed = dense_codes(marked, [node, neighbour], "_at")  # nulls come first; its rows are written, so whatever reads them finds the same codes
     own = placed.filter(F.col(neighbour).isNotNull())
     flat = own.select((F.col("_at") - F.col(node) - 1).alias("pos"), neighbour)
     counts = own.groupBy(node).agg(F.count(F.lit(1)).alias("n"))
@@ -82,18 +85,19 @@ def has_group(bits: Column, code: int) -> Column:
     return F.call_function("getbit", F.element_at(bits, code // WORD + 1), F.lit(code % WORD)) == 1
 
 
-def entity_rows(listings: DataFrame, chains: DataFrame, entity: str = ENTITY) -> DataFrame:
+def entity_rows(listings: DataFrame, chains: DataFrame, entity: str = ENTITY, linked: DataFrame | None = None) -> DataFrame:
     """Per entity: shown name, primary and all categories, containers, groups as bits, and a search alias.
 
+    ``linked`` are the edges of the listings, where they are at hand.
     ``chain_bits`` holds the bits of any number of groups; ``chain_mask`` is the single word of up to WORD groups, null beyond.
     """
     groups = chains.count()
     named = listings.filter(usable(entity))
     known = F.when(F.col("category_std") != "unknown", F.col("category_std"))
-    shown = named.groupBy(entity).agg(
-        F.mode("store_name", True).alias("name"), F.mode(known, True).alias("category"), F.array_sort(F.collect_set(known)).alias("categories")
-    )
-    spread = coded(edges(listings, entity), chains, "chain", "chain_code")
+    kinds = named.groupBy(entity, known.alias("_known")).agg(F.count(known).alias("_n"))  # an entity's categories, counted
+    held = kinds.groupBy(entity).agg(F.min_by("_known", F.struct(-F.col("_n"), F.col("_known"))).alias("category"), F.array_sort(F.collect_set("_known")).alias("categories"))
+    shown = most_frequent(named, entity, "store_name", "name").join(held, entity)
+    spread = coded(edges(listings, entity) if linked is None else linked, chains, "chain", "chain_code")
     bits = group_bits(spread, entity, "chain_code", groups, "chain_bits")
     none = F.array_repeat(F.lit(0).cast("long"), max(1, -(-groups // WORD)))
     mask = F.element_at("chain_bits", 1) if groups <= WORD else F.lit(None).cast("long")
@@ -141,10 +145,11 @@ def coded_graph(properties: DataFrame, listings: DataFrame, entity: str = ENTITY
     for dim, column, missing in (("chains", "chain", -1), ("regions", "region", -1), ("property_types", "property_type", 0), ("geo_sources", "geo_source", -1), ("geo_precisions", "geo_precision", -1)):
         rows = coded(rows, dims[dim], column, f"{column}_ix", missing)
     rows = rows.withColumns({c: F.round(c, COORDINATE_DIGITS) for c in ("lat", "lon")})
-    named = coded(entity_rows(listings, dims["chains"], entity), dims["categories"], "category", "category_ix")
+    linked = written(edges(listings, entity), "linked")
+    named = coded(entity_rows(listings, dims["chains"], entity, linked), dims["categories"], "category", "category_ix")
     entities = dense_codes(named, [entity], "brand_ix")
     entities, rows = written(entities, "entities"), written(rows, "properties")
-    pairs = edges(listings, entity).join(entities.select(entity, "brand_ix"), entity).join(rows.select("chain", "mall_id", "mall_ix"), ["chain", "mall_id"])
+    pairs = linked.join(entities.select(entity, "brand_ix"), entity).join(rows.select("chain", "mall_id", "mall_ix"), ["chain", "mall_id"])
     return dims, rows, entities, pairs.select("brand_ix", "mall_ix")
 
 
@@ -154,7 +159,7 @@ def bundle(properties: DataFrame, listings: DataFrame, entity: str = ENTITY, cav
     pairs = written(pairs, "edges")
     sparse = {}
     for name, nodes, node, other in (("entity", entities, "brand_ix", "mall_ix"), ("property", rows, "mall_ix", "brand_ix")):
-        sparse[f"{name}_offsets"], sparse[f"{name}_neighbours"] = adjacency(pairs, nodes, node, other)
+        sparse[f"{name}_offsets"], sparse[f"{name}_neighbours"] = adjacency(pairs, nodes, node, other, distinct=True)
     return {
         **dims,
         "properties": rows.join(property_flags(properties, listings, caveats), ["chain", "mall_id"]),

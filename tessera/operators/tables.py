@@ -26,37 +26,58 @@ def edges(listings: DataFrame, entity: str = ENTITY, group: str = GROUP, contain
     return listings.filter(usable(entity)).select(entity, group, container).dropDuplicates()
 
 
-def presence(listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER) -> DataFrame:
-    """Edges with the name and region of their property; edges of unknown properties drop out."""
-    return edges(listings, entity, group, container).join(properties.select(group, container, "mall_name", "region"), [group, container])
+def links(listings: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER) -> DataFrame:
+    """Each edge once, with the number of its listings: what summaries of the same listings share."""
+    return listings.filter(usable(entity)).groupBy(entity, group, container).agg(F.count(F.lit(1)).alias("listings"))
 
 
-def entity_summary(listings: DataFrame, properties: DataFrame, groups: list[str] | None = None, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER) -> DataFrame:
+def most_frequent(df: DataFrame, key: str, column: str, out: str) -> DataFrame:
+    """(key, out): each key's most frequent value of ``column``, ties to the lowest; null only where a key has no other.
+
+    Values are counted where the rows are, so rows are moved once counted and none is held for its key.
+    """
+    counts = df.groupBy(key, F.col(column).alias(out)).agg(F.count(column).alias("_n"))
+    return counts.groupBy(key).agg(F.min_by(out, F.struct(-F.col("_n"), F.col(out))).alias(out))
+
+
+def presence(listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, linked: DataFrame | None = None) -> DataFrame:
+    """Edges with the name and region of their property; edges of unknown properties drop out.
+
+    ``linked`` are the ``links`` of the listings, where they are at hand; here and below they spare a pass over all listings.
+    """
+    found = edges(listings, entity, group, container) if linked is None else linked.select(entity, group, container)
+    return found.join(properties.select(group, container, "mall_name", "region"), [group, container])
+
+
+def entity_summary(
+    listings: DataFrame, properties: DataFrame, groups: list[str] | None = None, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, linked: DataFrame | None = None
+) -> DataFrame:
     """Per entity: containers in each group, in all, number of groups and the most frequent raw name.
 
     Ties of names go to the lowest. Groups without listings get a column of zeros.
     """
     groups = groups_of(properties, group) if groups is None else groups
-    counts = presence(listings, properties, entity, group, container).groupBy(entity, group).agg(F.countDistinct(container).alias("n"))
+    found = edges(listings, entity, group, container) if linked is None else linked
+    counts = found.join(properties.select(group, container), [group, container], "left_semi").groupBy(entity, group).agg(F.count(F.lit(1)).alias("n"))
     per = counts.groupBy(entity).agg(
         *(F.coalesce(F.sum(F.when(F.col(group) == g, F.col("n"))), F.lit(0)).alias(f"n_malls_{g}") for g in groups),
         F.sum("n").alias("n_malls_total"),
         F.count(group).alias("n_chains"),
     )
-    names = listings.filter(usable(entity)).groupBy(entity).agg(F.mode("store_name_raw", True).alias("display_name"))
+    names = most_frequent(listings.filter(usable(entity)), entity, "store_name_raw", "display_name")
     return per.join(names, entity).withColumns({"in_all_chains": F.col("n_chains") == len(groups), "in_multiple_chains": F.col("n_chains") > 1})
 
 
-def unique_entities(listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER) -> DataFrame:
+def _alone(found: DataFrame, entity: str) -> DataFrame:
+    """The rows of entities that have one only. Rows are counted first: their least values, which are texts, would be told by sorting all."""
+    return found.join(found.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1").select(entity), entity, "left_semi")
+
+
+def unique_entities(listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, linked: DataFrame | None = None) -> DataFrame:
     """Entities in one container only, with that container."""
-    only = (
-        presence(listings, properties, entity, group, container)
-        .groupBy(entity)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(group, container, "mall_name", "region")).alias("at"))
-        .filter(F.col("n") == 1)
-    )
-    names = listings.filter(usable(entity)).groupBy(entity).agg(F.mode("store_name_raw", True).alias("display_name"))
-    return only.join(names, entity).select(entity, "display_name", "at.*")
+    only = _alone(presence(listings, properties, entity, group, container, linked), entity)
+    names = most_frequent(listings.filter(usable(entity)), entity, "store_name_raw", "display_name")
+    return only.join(names, entity).select(entity, "display_name", group, container, "mall_name", "region")
 
 
 def top_categories(listings: DataFrame, k: int = 3, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, category: str = "category") -> DataFrame:
@@ -68,11 +89,14 @@ def top_categories(listings: DataFrame, k: int = 3, entity: str = ENTITY, group:
     return ranked.groupBy(group, container).agg(F.array_join(F.transform(F.array_sort(F.collect_list(shown)), lambda s: s["text"]), ", ").alias("top_categories"))
 
 
-def container_summary(listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, category: str = "category") -> DataFrame:
+def container_summary(
+    listings: DataFrame, properties: DataFrame, entity: str = ENTITY, group: str = GROUP, container: str = CONTAINER, category: str = "category", linked: DataFrame | None = None
+) -> DataFrame:
     """Per container with listings: how many, of how many entities, its top categories and its exclusive entities."""
     keys = [group, container]
-    counts = listings.filter(usable(entity)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_stores"), F.countDistinct(entity).alias("n_brands"))
-    alone = unique_entities(listings, properties, entity, group, container).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_unique_brands"))
+    linked = links(listings, entity, group, container) if linked is None else linked
+    counts = linked.groupBy(*keys).agg(F.sum("listings").alias("n_stores"), F.count(F.lit(1)).alias("n_brands"))
+    alone = _alone(presence(listings, properties, entity, group, container, linked), entity).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_unique_brands"))
     return (
         counts.join(top_categories(listings, 3, entity, group, container, category), keys)
         .join(properties.select(*keys, "mall_name", "region"), keys)

@@ -107,12 +107,13 @@ def resolved_places(properties: DataFrame, registry: DataFrame, features: DataFr
 
 
 def report_tables(properties: DataFrame, listings: DataFrame) -> dict[str, DataFrame]:
-    """brand_presence, brand_summary, unique_brands and mall_summary."""
+    """brand_presence, brand_summary, unique_brands and mall_summary, told from the same links."""
+    linked = written(tables.links(listings), "links")
     return {
-        "brand_presence": tables.presence(listings, properties),
-        "brand_summary": tables.entity_summary(listings, properties),
-        "unique_brands": tables.unique_entities(listings, properties),
-        "mall_summary": tables.container_summary(listings, properties),
+        "brand_presence": tables.presence(listings, properties, linked=linked),
+        "brand_summary": tables.entity_summary(listings, properties, linked=linked),
+        "unique_brands": tables.unique_entities(listings, properties, linked=linked),
+        "mall_summary": tables.container_summary(listings, properties, linked=linked),
     }
 
 
@@ -141,7 +142,8 @@ def clean(store: Snapshots, run_date: str, aliases: DataFrame | None = None) ->
     stores = store.need(run_date, STAGES[0], "stores")
     store.write(run_date, STAGES[1], "stores_clean", enriched(stores, aliases), order=CLEAN_ORDER)
     cleaned = store.need(run_date, STAGES[1], "stores_clean")
-    store.write(run_date, STAGES[1], "category_mapping", quality.mapping_audit(cleaned, text.category(F.col("category"))), order=AUDIT_ORDER)
+    counted = cleaned.groupBy("chain", "category").agg(F.count(F.lit(1)).alias("_n"))  # so each category is mapped once
+    store.write(run_date, STAGES[1], "category_mapping", quality.mapping_audit(counted, text.category(F.col("category")), weight="_n"), order=AUDIT_ORDER)
     store.write(run_date, STAGES[1], "normalization_review", quality.variant_review(cleaned), order=REVIEW_ORDER)
 
 

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from tessera import queries
 from tessera.functions import geo, text
-from tessera.operators import places, resolve
+from tessera.operators import places, quality, resolve, serving
+from tessera.plans import stages
+from tessera.scratch import written
 from tessera.sources import ordered
 
 
@@ -114,3 +116,44 @@ def test_counted_pairs_vote_like_their_rows(spark):
     counted = df.groupBy("brand_canonical", "category_std").agg(F.count(F.lit(1)).alias("n"))
     told = {(r.brand_canonical, r.vote) for r in resolve.category_votes(counted, weight="n").collect()}
     assert told == {("b", "x"), ("c", "a")} == {(r.brand_canonical, r.vote) for r in resolve.category_votes(df).collect()}
+
+
+def test_report_tables_share_the_links_of_their_listings(spark, tmp_path):
+    rows = [(f"b{i % 7}" if i % 11 else ("", None)[i % 2], "c" if i % 3 else "d", f"{i % 5}" if i % 13 else None, ("x", "y", None)[i % 3], f"n{i % 4}" if i % 7 else None, f"k{i % 3}") for i in range(300)]
+    rows += [("alone", "c", "1", "x", "zz", "k0")] * 2 + [("unknown", "e", "9", "x", "zz", "k0")]
+    spark.createDataFrame(rows, "brand_key string, chain string, mall_id string, category string, store_name_raw string, category_std string").write.parquet(f"{tmp_path}/listed")
+    listed = spark.read.parquet(f"{tmp_path}/listed")
+    places_ = spark.createDataFrame([(c, f"{m}", f"{c}{m}", "r") for c in "cd" for m in range(5)], "chain string, mall_id string, mall_name string, region string")
+    told = stages.report_tables(places_, listed)
+    plain = listed.filter("brand_key <> ''").join(places_, ["chain", "mall_id"])
+    seen = {(r.brand_key, r.chain, r.mall_id) for r in plain.collect()}
+    assert {(r.brand_key, r.chain, r.mall_id) for r in told["brand_presence"].collect()} == seen and told["brand_presence"].count() == len(seen)
+    shown = {r.brand_key: r.n for r in listed.filter("brand_key <> ''").groupBy("brand_key").agg(F.mode("store_name_raw", True).alias("n")).collect()}
+    assert {r.brand_key: (r.n_malls_total, r.display_name) for r in told["brand_summary"].collect()} == {b: (sum(k[0] == b for k in seen), shown[b]) for b in {k[0] for k in seen}}
+    assert shown["b0"] is None and [(r.brand_key, r.mall_name) for r in told["unique_brands"].collect()] == [("alone", "c1")]
+    per = {(r.chain, r.mall_id): (r.n_stores, r.n_brands, r.n_unique_brands) for r in told["mall_summary"].collect()}
+    count = lambda at: ([r.brand_key for r in plain.collect() if (r.chain, r.mall_id) == at], int(at == ("c", "1")))
+    assert per == {at: (len(count(at)[0]), len(set(count(at)[0])), count(at)[1]) for at in per} and len(per) == 10
+    assert "/listed" not in planned(told["brand_presence"]) and "mode(" not in planned(told["brand_summary"]) + planned(told["unique_brands"])
+
+
+def test_numbering_moves_rows_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(serving, "written", lambda df, tag: (plans.append(planned(df)), written(df, tag))[1])
+    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS a")
+    got = serving.dense_codes(df, ["a"], "code")
+    assert {(r.a, r.code) for r in got.collect()} == {(i, i) for i in range(5000)} and got.columns == ["a", "code"]
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1
+
+
+def test_texts_are_not_what_repeated_rows_are_sorted_by_first(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, None)], "a string, b string").withColumn("twice", quality.is_repeated("a", "b"))
+    assert sorted(r.twice for r in df.collect()) == [False, False, True, True]
+    assert "xxhash64" in planned(df)
+
+
+def test_categories_are_mapped_once_counted(spark):
+    df = spark.createDataFrame([("c", "Dining")] * 3 + [("c", None)] * 2 + [("d", "Dining")], "chain string, category string")
+    counted = df.groupBy("chain", "category").agg(F.count(F.lit(1)).alias("n"))
+    standard = text.category(F.col("category"))
+    assert sorted(map(str, quality.mapping_audit(counted, standard, weight="n").collect())) == sorted(map(str, quality.mapping_audit(df, standard).collect()))
