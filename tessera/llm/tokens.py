@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +87,25 @@ def unpack(payload: bytes, starts: bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
+class Kept(NamedTuple):
+    """Ids of words, one word after the other: how many each has, and whether its text goes to the library whole."""
+
+    flat: np.ndarray
+    sizes: np.ndarray
+    whole: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list[Kept]) -> Kept:
+        return cls(*(np.concatenate(columns) for columns in zip(*parts, strict=True)))
+
+    def take(self, at: np.ndarray) -> Kept:
+        begins = np.cumsum(self.sizes) - self.sizes
+        return Kept(gathered(self.flat, begins[at], self.sizes[at]), self.sizes[at], self.whole[at])
+
+
+NONE = Kept(np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, bool))
+
+
 class Encoder:
     """Encodes texts with the tokenizers library; ids come as little-endian uint32 bytes.
 
@@ -107,44 +128,59 @@ class Encoder:
             self.begins[" "][i], self.begins["\n"][i] = token.startswith("Ġ"), token == "Ċ"
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.parts = getattr(self.library.pre_tokenizer, "use_regex", False) and not any(re.fullmatch(rf"\n?{LETTERS}*{MARKS}*", s) for s in self.special)
-        # Ids of words; False: its text goes to the library whole. Words in use move from the older half to the newer.
-        self.words: dict[str, bytes | bool] = {}
-        self.older: dict[str, bytes | bool] = {}
+        # Places of words in what is kept of their half. Words in use move from the older half to the newer.
+        self.words: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.kept = self.older_kept = NONE
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, new: list[str], before: str) -> None:
+    def _learn(self, new: list[str], before: str) -> Kept:
         """The ids of each of ``new`` after the character ``before``; a token that begins with it begins a word."""
+        out = [NONE]
         for i in range(0, len(new), 2048):
             part = new[i : i + 2048]
             joined = before + before.join(part)
             if joined.split() != part or any(s in joined for s in self.special):
-                for w in part:
-                    self.words[before.strip(" ") + w] = False if w.split() != [w] or any(s in w for s in self.special) else self._whole(before + w)
+                far = [w.split() != [w] or any(s in w for s in self.special) for w in part]
+                pieces = [b"" if f else self._whole(before + w) for f, w in zip(far, part, strict=True)]
+                out.append(Kept(np.frombuffer(b"".join(pieces), "<u4"), np.array([len(p) // 4 for p in pieces]), np.array(far)))
                 continue
             ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.append(np.flatnonzero(self.begins[before][ids]), len(ids)) * 4
-            raw, mark = ids.tobytes(), before.strip(" ")
-            self.words.update((mark + w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-
-    def _codes(self, used: list[str]) -> list[bytes | bool]:
-        """The ids of distinct words; the newer half gets those it lacks, and becomes the older half first where it is full."""
-        codes = list(map(self.words.get, used))
-        gaps = [i for i, code in enumerate(codes) if code is None]
+            sizes = np.diff(np.flatnonzero(self.begins[before][ids]), append=len(ids))
+            if len(sizes) != len(part):
+                raise ValueError("a word of the text does not begin with a token of its own")
+            out.append(Kept(ids, sizes, np.zeros(len(part), bool)))
+        return Kept.joined(out)
+
+    def _codes(self, used: list[str]) -> tuple[Kept, np.ndarray]:
+        """Ids that are kept, and which of them each of the distinct words ``used`` has.
+
+        The newer half gets those it lacks, and becomes the older half first where it is full.
+        """
+        places = lambda half, words: np.fromiter(map(half.get, words, repeat(-1)), np.int64, len(words))
+        kept, at = self.kept, places(self.words, used)
+        gaps = np.flatnonzero(at < 0)
+        if not len(gaps):
+            return kept, at
         if len(self.words) + len(gaps) > CACHE // 2:
-            self.older, self.words = self.words, {}
-        new = []
-        for i in gaps:
-            if (code := self.older.get(w := used[i])) is None:
-                new.append(w)
-            else:
-                self.words[w] = code
-        self._learn([w for w in new if w[:1] != "\n"], " ")
-        self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
-        for i in gaps:
-            codes[i] = self.words[used[i]]
-        return codes
+            self.older, self.older_kept, self.words, self.kept = self.words, self.kept, {}, NONE
+        lacking = [used[i] for i in gaps.tolist()]
+        before = places(self.older, lacking)
+        lined = np.fromiter((w[:1] == "\n" for w in lacking), bool, len(lacking))
+        old, blank, line = (np.flatnonzero(x) for x in (before >= 0, (before < 0) & ~lined, (before < 0) & lined))
+        more = Kept.joined([
+            self.older_kept.take(before[old]),
+            self._learn([lacking[i] for i in blank.tolist()], " "),
+            self._learn([lacking[i][1:] for i in line.tolist()], "\n"),
+        ])
+        order = np.concatenate([old, blank, line])
+        at[gaps[order]] = len(kept.sizes) + np.arange(len(order))
+        self.words.update(zip([lacking[i] for i in order.tolist()], range(len(self.kept.sizes), len(self.kept.sizes) + len(order)), strict=True))
+        both = Kept.joined([kept, more])
+        self.kept = both if self.kept is kept else more
+        return both, at
 
     def _encoded(self, texts: pa.Array) -> list[bytes]:
         first, none = (pa.scalar(x, texts.type) for x in ("\n", ""))
@@ -154,15 +190,16 @@ class Encoder:
         parted = pc.extract_regex(distinct if self.parts else pa.nulls(len(distinct), distinct.type), MARKED)
         bare = pc.coalesce(pc.struct_field(parted, "word"), distinct).dictionary_encode()
         marks = pc.coalesce(pc.struct_field(parted, "marks"), none).dictionary_encode()
-        codes = self._codes(bare.dictionary.to_pylist())
-        whole = np.array([code is False for code in codes])[bare.indices.to_numpy()]  # of each distinct word: its text goes to the library whole
-        pieces = [code or b"" for code in codes] + [self._whole(m) for m in marks.dictionary.to_pylist()]
+        kept, place = self._codes(bare.dictionary.to_numpy(zero_copy_only=False).tolist())
+        place = place[bare.indices.to_numpy()]  # of each distinct word's letters
+        whole = kept.whole[place]  # of each distinct word: its text goes to the library whole
+        pieces = [self._whole(m) for m in marks.dictionary.to_pylist()]
+        behind = Kept(np.frombuffer(b"".join(pieces), "<u4"), np.array([len(p) // 4 for p in pieces], np.int64), np.zeros(len(pieces), bool))
         # the ids of each distinct word, its marks behind it, and then of each word
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        pairs = np.stack([bare.indices.to_numpy(), marks.indices.to_numpy() + len(codes)], axis=1)
-        flat = gathered(np.frombuffer(b"".join(pieces), "<u4"), (np.cumsum(sizes) - sizes)[pairs.ravel()], sizes[pairs.ravel()])
-        sizes = sizes[pairs].sum(axis=1)
-        ids = gathered(flat, (np.cumsum(sizes) - sizes)[at], sizes[at]).tobytes()
+        pairs = np.stack([place, marks.indices.to_numpy() + len(kept.sizes)], axis=1)
+        own = Kept.joined([kept, behind]).take(pairs.ravel())
+        sizes = own.sizes.reshape(-1, 2).sum(axis=1)
+        ids = gathered(own.flat, (np.cumsum(sizes) - sizes)[at], sizes[at]).tobytes()
         firsts = docs.offsets.to_numpy() - docs.offsets[0].as_py()
         cuts = (4 * np.append(0, np.cumsum(sizes[at]))[firsts]).tolist()
         beyond = np.add.reduceat(whole[at], firsts[:-1]) > 0

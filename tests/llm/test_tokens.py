@@ -64,3 +64,17 @@ def test_words_with_marks_take_no_place_in_the_cache():
     parts = ["sat", "Übër", "naïve", "ǅ", "×", "x²", "don't", "9", ",", ".", "%%%", "_", "'", "''", "<|", "endoftext", "|>", "(", "\n", " ", "̀", "ɐ", "Ġ"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(5000)]
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_of_kept_words_stand_in_flat_arrays(monkeypatch):
+    monkeypatch.setattr("tessera.llm.tokens.CACHE", 40)
+    library, coder, rnd = Tokenizer.from_file(PATH), Encoder(PATH), random.Random(5)
+    words = [f"stri{chr(97 + i % 26)}ng{chr(97 + i // 26)}" for i in range(60)] + ["a b", "<|endoftext|>", "é", "x's"]
+    for n in range(40):  # words stay, move from the older half, and are learned anew
+        texts = [rnd.choice(" \n").join(rnd.sample(words[n % 20 : n % 20 + 44], rnd.randint(1, 9))) for _ in range(3)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(coder.words) == len(coder.kept.sizes) and coder.kept.sizes.sum() == len(coder.kept.flat)
+        for half, kept in ((coder.words, coder.kept), (coder.older, coder.older_kept)):
+            for w, at in half.items():
+                if not kept.whole[at]:
+                    assert kept.take(np.array([at])).flat.tolist() == library.encode(w if w[:1] == "\n" else " " + w, add_special_tokens=False).ids
