@@ -61,6 +61,20 @@ def test_pairs_grow_with_the_names(spark):
         assert one >= 140
 
 
+def test_codes_meet_on_what_is_left_of_them(spark):
+    """Names that differ by their digits meet only if enough characters recur in order, however many share the rest."""
+    for n in (500, 4000):
+        names = [f"supplier {i * 89:09d}" for i in range(n)]
+        digits = [name[9:] for name in names]
+        fewer = {}
+        for d in digits:
+            for short in {d[:i] + d[i + 1 :] for i in range(9)}:
+                fewer.setdefault(short, []).append(d)
+        pairs = {(a, b) for same in fewer.values() for a in same for b in same if a < b}
+        met = {(r.left[9:], r.right[9:]) for r in similar.meetings(frame(spark, names), frame(spark, names), 0.9).filter("left < right").collect()}
+        assert pairs <= met and len(met) <= 1.1 * len(pairs), (n, len(pairs), len(met))
+
+
 def test_empty_tables_and_texts(spark):
     none = frame(spark, [])
     assert similar.similar_candidates(none, none, 0.9).collect() == []
