@@ -19,8 +19,8 @@ def is_repeated(*keys: str) -> Column:
     return F.count(F.lit(1)).over(Window.partitionBy(F.xxhash64(*keys), *keys)) > 1
 
 
-def quality_flags(listings: DataFrame) -> DataFrame:
-    """``listings`` with dq_flags, what is odd about each row in a fixed order, "" where nothing is."""
+def quality_flags(listings: DataFrame, repeated: Column | None = None) -> DataFrame:
+    """``listings`` with dq_flags, what is odd about each row in a fixed order, "" where nothing is. ``repeated`` tells the repeated rows, where that is known."""
     c = F.col
     flags = (
         (c("brand_key") == "", "empty_brand_key"),
@@ -31,7 +31,7 @@ def quality_flags(listings: DataFrame) -> DataFrame:
         (c("store_name").rlike(r"\d+\.\d+$"), "numeric_tail"),
         (c("_repeated"), "duplicate_in_mall"),
     )
-    marked = listings.withColumn("_repeated", is_repeated("chain", "mall_id", "brand_canonical", "floor_std"))
+    marked = listings.withColumn("_repeated", is_repeated("chain", "mall_id", "brand_canonical", "floor_std") if repeated is None else repeated)
     return marked.withColumn("dq_flags", F.concat_ws("|", *(F.when(test, name) for test, name in flags))).drop("_repeated")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geo, text
 from tessera.operators import places, quality, resolve, serving, snapshots, tables
-from tessera.scratch import written
+from tessera.scratch import held, written
 from tessera.sources.snapshots import STAGES, Snapshots
 
 CLEAN_COLUMNS = (
@@ -36,7 +36,7 @@ def once_each(df: DataFrame, column: str, made: dict[str, Column]) -> DataFrame:
 def enriched(listings: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Listings with standard columns beside the raw ones, and what is odd about each.
 
-    A directory spells few names, floors and categories very often, so each distinct one is worked out once. All that follows from a name and a category,
+    A directory spells few names, floors and categories very often, so each distinct one is worked out once; phones are worked out where they stand. All that follows from a name and a category,
     votes included, is told from the counted pairs of the two and joined back once.
     """
     for column in ("category", "floor", "phone"):
@@ -49,12 +49,16 @@ def enriched(listings: DataFrame, aliases: DataFrame | None = None) -> DataFrame
     keyed = once_each(names, "store_name", {"brand_key": text.entity_key(F.col("store_name"))})
     keyed = resolve.resolve_aliases(keyed, aliases) if aliases is not None else keyed.withColumn("brand_canonical", F.col("brand_key"))
     voted = resolve.propagate_categories(once_each(keyed, "category", {"category_std": text.category(F.col("category"))}), weight="_n").drop("_n")
-    floors = once_each(rows, "floor", {"_floor": text.floor(F.col("floor"))}).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")})
-    phone = text.clean_phone(F.col("phone"))
-    phones = once_each(floors, "phone", {"_phone": phone, "phone_e164": text.e164(phone)}).withColumn("phone", F.col("_phone"))
+    floors = once_each(rows, "floor", {"_floor": text.floor(F.col("floor"))}).withColumns({"floor_std": F.col("_floor.label"), "floor_level": F.col("_floor.level")}).drop("_floor")
     told = written(voted, "told").withColumnsRenamed({"store_name_raw": "_raw", "category": "_category"})
-    phones = phones.join(told, raw.eqNullSafe(F.col("_raw")) & F.col("category").eqNullSafe(F.col("_category")), "left")
-    flagged = quality.quality_flags(phones)
+    own = raw.eqNullSafe(F.col("_raw")) & F.col("category").eqNullSafe(F.col("_category"))
+    # repeated rows are told while rows are narrow, for that moves them all
+    keyed = floors.join(told.select("_raw", "_category", "brand_canonical"), own, "left").drop("_raw", "_category")
+    marked = keyed.withColumn("_twice", quality.is_repeated("chain", "mall_id", "brand_canonical", "floor_std")).drop("brand_canonical")
+    # phones are nearly as many as the listings that have one, so a join would only move all rows once more
+    phone = text.clean_phone(F.col("phone"))
+    phones = marked.withColumns({"phone": phone, "phone_e164": text.e164(phone)})
+    flagged = quality.quality_flags(phones.join(told, own, "left"), F.col("_twice"))
     return flagged.select(*(c for c in CLEAN_COLUMNS if c in flagged.columns))
 
 
@@ -174,9 +178,12 @@ def website(store: Snapshots, run_date: str) -> str:
 
 
 def build(store: Snapshots, run_date: str, aliases: DataFrame | None = None) -> str:
-    """Clean, report, bundle, publish."""
-    clean(store, run_date, aliases)
-    report(store, run_date)
-    digest = website(store, run_date)
+    """Clean, report, bundle, publish. What a step writes on its way goes when its tables are stored."""
+    with held(store.spark):
+        clean(store, run_date, aliases)
+    with held(store.spark):
+        report(store, run_date)
+    with held(store.spark):
+        digest = website(store, run_date)
     store.publish(run_date)
     return digest

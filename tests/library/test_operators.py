@@ -79,6 +79,23 @@ def test_snapshots(spark, small, tmp_path):
     assert store.read("latest", STAGES[2], "brand_summary").count() == 2
 
 
+def test_build_leaves_its_tables_only(spark, small, tmp_path, monkeypatch):
+    """What the steps of a build write on their way goes with them, and the CSV twins are zipped."""
+    from tessera import scratch
+
+    p, rows = small
+    (tmp_path / "shared").mkdir()
+    monkeypatch.setattr(scratch, "folder", lambda _: f"file://{tmp_path}/shared")
+    store = Snapshots(spark, f"file://{tmp_path}/snap")
+    store.write("2024-01-01", STAGES[0], "malls", p)
+    store.write("2024-01-01", STAGES[0], "stores", rows)
+    stages.build(store, "2024-01-01")
+    assert [f.name for f in (tmp_path / "shared").iterdir() if f.is_dir()] == []
+    twin = f"file://{tmp_path}/snap/2024-01-01/2_clean/stores_clean.csv"
+    assert spark.read.option("header", True).csv(twin).count() == rows.count()
+    assert {f.suffix for f in (tmp_path / "snap").rglob("part-*") if ".csv" in f.name} == {".gz"}
+
+
 def test_carry_forward(spark, small):
     p, rows = small
     fresh = rows.filter("chain = 'a'").limit(1)
