@@ -57,7 +57,9 @@ def _named(properties: DataFrame, features: DataFrame) -> tuple[DataFrame, DataF
 
 def _scored_names(ours: DataFrame, theirs: DataFrame, accept: float) -> DataFrame:
     """(ours, theirs, score) of distinct names that score ``accept`` or more, as name_matches has it."""
-    a, b = ours.select("ours", "our_words").distinct(), theirs.select("theirs", "their_words").distinct()
+    tasks = int(ours.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # in as many files, as names are few bytes and much work
+    once = lambda df, name, words: written(df.select(name, words).repartition(tasks, name).distinct(), name)
+    a, b = once(ours, "ours", "our_words"), once(theirs, "theirs", "their_words")
     pair = lambda df, score: df.select("ours", "theirs", score.cast("double").alias("score"))
     same = pair(a.join(b, F.col("ours") == F.col("theirs")), F.lit(1.0))
     words = pair(a.filter(F.size("our_words") > 0).join(b, F.col("our_words") == F.col("their_words")), F.lit(1.0))

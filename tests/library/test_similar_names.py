@@ -75,6 +75,15 @@ def test_codes_meet_on_what_is_left_of_them(spark):
         assert pairs <= met and len(met) <= 1.1 * len(pairs), (n, len(pairs), len(met))
 
 
+def test_ratio_is_that_of_difflib(spark):
+    rnd = random.Random(11)
+    for letters, longest in (("ab", 14), ("abc ", 25), ("aé漢😀 ", 30), ("ab", 260)):
+        for _ in range(300):
+            a, b = ("".join(rnd.choice(letters) for _ in range(rnd.randint(0, longest))) for _ in range(2))
+            b = rnd.choice((b, a[: len(b)] + b[:2] + a[len(b) + 1 :]))
+            assert resolve.matching_ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
+
+
 def test_empty_tables_and_texts(spark):
     none = frame(spark, [])
     assert similar.similar_candidates(none, none, 0.9).collect() == []
